@@ -132,3 +132,107 @@ def silver_select(table: str = "silver") -> str:
   CAST(total_amount AS DOUBLE) AS total_amount, CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge,
   CAST(airport_fee AS DOUBLE) AS airport_fee
 FROM {table}"""
+
+
+def _period_counts(table: str) -> str:
+    return f"SELECT metadata_year, metadata_month, count(*) AS n FROM {table} GROUP BY metadata_year, metadata_month"
+
+
+def _scaled_cte() -> str:
+    return """stats AS (
+  SELECT avg(CAST(tip_amount AS DOUBLE)) AS m, stddev_pop(CAST(tip_amount AS DOUBLE)) AS s FROM split),
+scaled AS (
+  SELECT split.*, (CAST(tip_amount AS DOUBLE) - m) / (CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END) AS z
+  FROM split, stats)"""
+
+
+def oracle_queries() -> dict[str, str]:
+    """DuckDB SQL per registered query key (none for model and stream-progress
+    queries, which have no SQL form)."""
+    from math import ceil
+
+    from farecast.functions.hashing import HASH_MODULUS
+
+    s = SILVER_CHAIN
+    m = MATRIX_CHAIN
+    sp = SPLIT_CHAIN
+    raw_cols = """event_id, VendorID, strftime(tpep_pickup_datetime, '{f}') AS tpep_pickup_datetime,
+  strftime(tpep_dropoff_datetime, '{f}') AS tpep_dropoff_datetime, Passenger_count,
+  CAST(Trip_distance AS DOUBLE) AS Trip_distance, PULocationID, DOLocationID, RateCodeID, Payment_type,
+  {money}, metadata_year, metadata_month""".format(
+        f=TS_FMT,
+        money=", ".join(
+            f"CAST({c} AS DOUBLE) AS {c}"
+            for c in ["fare_amount", "extra", "mta_tax", "improvement_surcharge", "tip_amount", "tolls_amount",
+                      "total_amount", "congestion_surcharge", "airport_fee"]
+        ),
+    )
+    matrix_cols = """trip_id, CAST(tip_amount AS DOUBLE) AS tip_amount, pickup_taxi_zone_id, pickup_hour,
+  payment_cash, payment_no_charge, payment_credit_card, payment_dispute, payment_unknown"""
+    h = hash_order_sql("trip_id")
+    train_t = min(HASH_MODULUS, ceil(TRAIN_FRACTION * HASH_MODULUS))
+    frac_t = min(HASH_MODULUS, ceil(0.25 * HASH_MODULUS))
+    upsert_amount = "CAST(tip_amount + CASE WHEN metadata_month IN (11, 12) THEN 1 ELSE 0 END AS DOUBLE)"
+    return {
+        "bronze_trips": with_ctes(raw_cte(), body=f"SELECT {raw_cols} FROM raw"),
+        "row_index": with_ctes(raw_cte(), indexed_cte(), body="SELECT event_id, idx FROM indexed"),
+        "trip_key": with_ctes(
+            raw_cte(), indexed_cte(), bronze_cte(),
+            body="""SELECT event_id, trip_id,
+  CAST(CAST(metadata_year AS VARCHAR) || CAST(metadata_month AS VARCHAR) || CAST(idx AS VARCHAR) AS BIGINT)
+    AS compat_id
+FROM bronze""",
+        ),
+        "key_collisions": with_ctes(
+            raw_cte(), indexed_cte(),
+            body="""SELECT compat_id, count(*) AS n FROM (
+  SELECT CAST(CAST(metadata_year AS VARCHAR) || CAST(metadata_month AS VARCHAR) || CAST(idx AS VARCHAR)
+         AS BIGINT) AS compat_id FROM indexed) k
+GROUP BY compat_id HAVING count(*) > 1""",
+        ),
+        "silver_trips": with_ctes(*s, body=silver_select()),
+        "counts_by_period": with_ctes(*s, body=_period_counts("silver")),
+        "total_count": with_ctes(*s, body="SELECT count(*) AS n FROM silver"),
+        "pickup_hour": with_ctes(*s, body="SELECT trip_id, CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour FROM silver"),
+        "payment_flags": with_ctes(
+            *m,
+            body="""SELECT trip_id, payment_cash, payment_no_charge, payment_credit_card, payment_dispute,
+  payment_unknown FROM matrix""",
+        ),
+        "matrix_joined": with_ctes(*m, body=f"SELECT {matrix_cols} FROM matrix"),
+        "matrix_fused": with_ctes(*m, body=f"SELECT {matrix_cols} FROM matrix"),
+        "sample_top_n": with_ctes(*m, sample_cte(), body=f"SELECT {matrix_cols} FROM sample"),
+        "sample_fraction": with_ctes(*m, body=f"SELECT trip_id FROM matrix WHERE {h} < {frac_t}"),
+        "split_exact": with_ctes(*sp, body="SELECT trip_id, data_type FROM split"),
+        "split_hashed": with_ctes(
+            *m,
+            body=f"SELECT trip_id, CASE WHEN {h} < {train_t} THEN 'train' ELSE 'test' END AS data_type FROM matrix",
+        ),
+        "train_rows": with_ctes(*sp, body="SELECT trip_id FROM split WHERE data_type = 'train'"),
+        "scaler_stats": with_ctes(
+            *sp,
+            body="""SELECT 'all' AS fit_on, round(avg(CAST(tip_amount AS DOUBLE)), 6) AS mean,
+  round(stddev_pop(CAST(tip_amount AS DOUBLE)), 6) AS std FROM split
+UNION ALL
+SELECT 'train' AS fit_on, round(avg(CAST(tip_amount AS DOUBLE)), 6) AS mean,
+  round(stddev_pop(CAST(tip_amount AS DOUBLE)), 6) AS std FROM split WHERE data_type = 'train'""",
+        ),
+        "scaled_target": with_ctes(*sp, _scaled_cte(), body="SELECT trip_id, round(z, 6) AS z FROM scaled"),
+        "inverse_scaled": with_ctes(*sp, body="SELECT trip_id, CAST(tip_amount AS DOUBLE) AS tip_amount FROM split"),
+        "baseline_mse": with_ctes(
+            *sp, _scaled_cte(),
+            """hour_mean AS (
+  SELECT pickup_hour, avg(z) AS hour_mean FROM scaled WHERE data_type = 'train' GROUP BY pickup_hour)""",
+            "overall AS (SELECT avg(z) AS overall FROM scaled WHERE data_type = 'train')",
+            body="""SELECT data_type, data_type || '_mean_square_error' AS metric,
+  round(avg(power(z - coalesce(hour_mean, overall), 2)), 4) AS value
+FROM scaled LEFT JOIN hour_mean USING (pickup_hour), overall
+GROUP BY data_type""",
+        ),
+        "replace_period": with_ctes(*s, body=_period_counts("silver")),
+        "append_table": with_ctes(*s, body="SELECT count(*) AS n FROM silver"),
+        "upsert_latest": with_ctes(*s, body=f"SELECT trip_id, {upsert_amount} AS amount FROM silver"),
+        "materialized": with_ctes(*s, body=_period_counts("silver")),
+        "stream_silver": with_ctes(*s, body=silver_select()),
+        "apply_scalar": with_ctes(*s, body="SELECT trip_id, CAST(tip_amount AS DOUBLE) * 2 AS tip_doubled FROM silver"),
+    }

@@ -98,11 +98,12 @@ def split_exact(
     validation: float = 0.0,
     key: str = "trip_id",
     multiplier: int = HASH_MULTIPLIER,
+    total: int | None = None,
 ) -> DataFrame:
     """Tag ``data_type``: the first ``int(train * rows)`` rows of the hash
     order are 'train', the next ``int(validation * rows)`` 'validation', the
-    rest 'test'."""
-    total = df.count()
+    rest 'test'. ``total`` is the row count if the caller knows it."""
+    total = df.count() if total is None else total
     k_train = int(train * total)
     k_val = int(validation * total)
     ranked = hash_rank(df, key, _RANK, multiplier, total)

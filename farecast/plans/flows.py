@@ -41,7 +41,9 @@ def training_split(
     silver: DataFrame, rows: int = DEFAULT_SAMPLE_ROWS, train: float = DEFAULT_TRAIN_FRACTION
 ) -> DataFrame:
     """matrix -> first ``rows`` of the hash order -> positional train/test split."""
-    return split_exact(take_first(model_matrix(silver), rows), train)
+    matrix = model_matrix(silver)
+    total = matrix.count()
+    return split_exact(take_first(matrix, rows, total=total), train, total=min(total, rows))
 
 
 def train_flow(

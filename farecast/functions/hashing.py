@@ -4,6 +4,11 @@
 residues, computable in Spark and in plain SQL alike, with no overflow for
 non-negative ids (P * P < 2**63). Sampling, top-n and the hashed split are all
 defined on this value, so they give the same rows whatever the partitioning.
+
+P is the Mersenne prime 2**31 - 1, so a hash value is shared by about
+rows / 2**31 rows: about 500 rows at 10**12 rows, which keeps threshold
+filters on the hash fine-grained at any table size. M is P times the golden
+ratio's fractional part, which spreads consecutive ids evenly.
 """
 
 from __future__ import annotations
@@ -12,8 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values of the hash order
-HASH_MODULUS = 1000003
-HASH_MULTIPLIER = 611953
+HASH_MODULUS = 2147483647
+HASH_MULTIPLIER = 1327217885
 
 
 def hash_order(key: Column | str, multiplier: int = HASH_MULTIPLIER, modulus: int = HASH_MODULUS) -> Column:

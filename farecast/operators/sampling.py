@@ -67,7 +67,7 @@ def take_first(
     if total <= n:
         return df
     hashed = df.withColumn(_H, hash_order(key, multiplier))
-    t = _threshold(min(1.0, 1.5 * n / total)) + 64
+    t = _threshold(min(1.0, 1.5 * n / total)) + 1
     while t < HASH_MODULUS and hashed.where(F.col(_H) < F.lit(t)).count() < n:
         t = min(HASH_MODULUS, 2 * t)
     candidates = hashed.where(F.col(_H) < F.lit(t)) if t < HASH_MODULUS else hashed

@@ -62,12 +62,17 @@ def upsert(
         .parquet(path)
     )
     if check_unique:
-        part = spark.read.parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}").select(key)
+        part = spark.read.parquet(batch_partition(path, batch_id)).select(key)
         dup = part.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
         if dup:
             raise ValueError(f"batch {batch_id} holds key {dup[0][key]} more than once")
 
 
+def batch_partition(path: str, batch_id: int) -> str:
+    """Directory of one batch inside an upsert log."""
+    return f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
+
+
 def latest(spark: SparkSession, path: str, key: str = "trip_id") -> DataFrame:
     """Latest-wins view of an upsert log: per key the row of its highest batch."""
     log = spark.read.parquet(path)

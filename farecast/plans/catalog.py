@@ -20,12 +20,12 @@ from farecast.functions.scalar import apply_scalar, comparable
 from farecast.operators.features import model_matrix, model_matrix_joined, payment_flags, pickup_hour
 from farecast.operators.keys import trip_key, trip_key_compat, with_row_index
 from farecast.operators.model import evaluate, load_run, train_run
-from farecast.operators.sampling import sample_fraction, split_exact, split_hashed, take_first
+from farecast.operators.sampling import sample_fraction, split_hashed, take_first
 from farecast.operators.scaling import fit_scaler, inverse_scale, scale, scaler_stats
-from farecast.operators.silver import load_bronze, tag_period, to_silver
+from farecast.operators.silver import tag_period, to_silver
 from farecast.operators.sinks import append, latest, materialize, replace_period, upsert
 from farecast.plans.flows import bronze_from_events, score_flow, training_split
-from farecast.schemas import PERIOD_COLUMNS, RAW
+from farecast.schemas import PERIOD_COLUMNS
 from farecast.session import scratch_path
 from farecast.sources.files import read_format, read_table, read_trips
 from farecast.sources.fixtures import events_table, fixture_periods, land_monthly, raw_trips_from_events
@@ -44,6 +44,7 @@ FRACTION_SAMPLE = 0.25
 STREAM_FILES = 4
 FOREST = {"num_trees": 20, "max_depth": 5}
 
+_BRONZE: dict[tuple[str, str], str] = {}
 _SILVER: dict[tuple[str, str], str] = {}
 _RUNS: dict[tuple[str, str], tuple[str, str]] = {}
 
@@ -56,12 +57,23 @@ def build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(bronze_from_events(spark, sf_dir))
 
 
+def saved_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed bronze of ``sf_dir``, written once per session, partitioned by period."""
+    k = _key(spark, sf_dir)
+    if k not in _BRONZE:
+        path = scratch_path(spark, "bronze")
+        replace_period(bronze_from_events(spark, sf_dir), path)
+        _BRONZE[k] = path
+    return read_table(spark, _BRONZE[k])
+
+
 def saved_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver of ``sf_dir``, written once per session, partitioned by period."""
+    """Silver of ``sf_dir`` built from the saved bronze, written once per
+    session, partitioned by period."""
     k = _key(spark, sf_dir)
     if k not in _SILVER:
         path = scratch_path(spark, "silver")
-        replace_period(build_silver(spark, sf_dir), path)
+        replace_period(to_silver(saved_bronze(spark, sf_dir)), path)
         _SILVER[k] = path
     return read_table(spark, _SILVER[k])
 
@@ -271,8 +283,9 @@ def q_materialized(spark, sf_dir):
 
 
 def _landed_bronze(spark, sf_dir) -> str:
+    """The saved bronze table landed as STREAM_FILES files, one per micro-batch."""
     landing = scratch_path(spark, "stream-in")
-    land_files(bronze_from_events(spark, sf_dir), landing, STREAM_FILES)
+    land_files(saved_bronze(spark, sf_dir), landing, STREAM_FILES)
     return landing
 
 

@@ -183,3 +183,28 @@ def test_stream_scoring_equals_batch_scoring(spark, scratch, trained):
     want = score(__import__("farecast.operators.features", fromlist=["model_matrix"]).model_matrix(to_silver(bronze)), result.run)
     got = latest(spark, pred_log).select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, scratch):
+    bronze = bronze_from_events(spark, SMALL)
+    landing, log = scratch("in"), scratch("log")
+    land_files(bronze, landing, 2)
+    q = run_stream(stream_trips(spark, landing, max_files=1), silver_batch(log), scratch("ckpt"), trigger="1 second")
+    try:
+        p = await_progress(q, 8)
+        assert not p.finished and q.isActive
+        assert p.batches == 2 and p.rows == bronze.count()
+    finally:
+        q.stop()
+    assert latest(spark, log).count() == bronze.count()
+
+
+def test_ensure_database_and_table_in_it(spark, scratch):
+    from farecast.operators.sinks import ensure_database
+
+    ensure_database(spark, "farecast_test_db")
+    ensure_database(spark, "farecast_test_db")  # idempotent
+    silver = saved_silver(spark, SMALL)
+    materialize(silver, scratch("db"), "farecast_test_db.silver", "silver in a database")
+    assert table_exists(spark, "farecast_test_db.silver")
+    drop_table(spark, "farecast_test_db.silver")

@@ -74,14 +74,22 @@ def predict_scaled(model: PipelineModel, df: DataFrame, out: str = "scaled_predi
     return model.transform(model_inputs(df)).select(*keep, F.col("prediction").cast("double").alias(out))
 
 
-def evaluate(pred: DataFrame, label: str = LABEL, predicted: str = PREDICTED) -> DataFrame:
+def evaluate(pred: DataFrame, label: str = LABEL, predicted: str = PREDICTED, with_r2: bool = False) -> DataFrame:
     """Mean squared error per data_type, rounded to 4 digits.
 
-    One row per split present; a split without rows yields no row.
+    One row per split present; a split without rows yields no row. With
+    ``with_r2`` each split also gets ``<split>_r2`` = 1 - MSE / Var(label)
+    (NULL for a constant label), from the same single aggregate.
     """
-    err = F.pow(F.col(label).cast("double") - F.col(predicted).cast("double"), 2)
-    out = pred.groupBy("data_type").agg(F.round(F.avg(err), 4).alias("value"))
-    return conform(out.withColumn("metric", F.concat(F.col("data_type"), F.lit("_mean_square_error"))), METRICS)
+    y = F.col(label).cast("double")
+    err = F.pow(y - F.col(predicted).cast("double"), 2)
+    stats = pred.groupBy("data_type").agg(F.avg(err).alias("mse"), F.var_pop(y).alias("var"))
+    rows = [F.struct(F.lit("_mean_square_error").alias("suffix"), F.round("mse", 4).alias("value"))]
+    if with_r2:
+        r2 = F.when(F.col("var") > 0, F.lit(1.0) - F.col("mse") / F.col("var"))
+        rows.append(F.struct(F.lit("_r2").alias("suffix"), F.round(r2, 4).alias("value")))
+    long = stats.select("data_type", F.inline(F.array(*rows)))
+    return conform(long.withColumn("metric", F.concat(F.col("data_type"), F.col("suffix"))), METRICS)
 
 
 def save_run(run: Run) -> Run:
@@ -122,20 +130,22 @@ def train_run(
     max_depth: int = 5,
     seed: int = SEED,
     save: bool = True,
+    with_r2: bool = False,
 ) -> TrainResult:
     """Scale, fit, predict on train + test, evaluate, save.
 
-    The scaled split is checkpointed to the shared folder first: the forest
-    reads its input several times and the split's plan (top-n, rank) should
-    run once and survive a lost executor.
+    The split is checkpointed to the shared folder first: the scaler fit and
+    the forest read it several times, and the split's plan (top-n, rank)
+    should run once and survive a lost executor.
     """
     run_id = run_id or uuid.uuid4().hex
+    split = split.checkpoint(eager=True)
     scaler = fit_scaler(split, LABEL, fit_on)
-    scaled = scale(split, scaler, LABEL).checkpoint(eager=True)
+    scaled = scale(split, scaler, LABEL)
     model = fit_forest(scaled, num_trees, max_depth, seed)
     run = Run(run_id, root, model, scaler)
     pred = predict_scaled(model, scaled, PREDICTED).select("trip_id", "data_type", LABEL, PREDICTED)
-    metrics = evaluate(pred)
+    metrics = evaluate(pred, with_r2=with_r2)
     if save:
         save_run(run)
         record_metrics(metrics, root, run_id)

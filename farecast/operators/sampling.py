@@ -6,11 +6,13 @@ picks the same rows.
 
 * ``sample_fraction`` (N1): keep rows whose hash falls below a threshold --
   a per-row filter, no shuffle.
-* ``take_first`` (N2): the first ``n`` rows of the hash order. Hashes are
-  uniform, so a filter ``hash < t`` with ``t`` sized from the row count keeps
-  about ``1.5 n`` candidates; ``t`` is doubled until at least ``n`` pass (a
-  count of one column). Only those candidates reach the final top-n, so the
-  one merging task sees O(n) rows whatever the table size.
+* ``take_first`` (N2): the first ``n`` rows of the hash order. One aggregate
+  over the key column counts all rows and the rows below each power of two;
+  the smallest power with at least ``n`` rows below it leaves fewer than
+  about ``2 n`` candidates (hashes are uniform, and half that threshold holds
+  fewer than ``n``). Only those candidates reach the
+  final top-n, so the one merging task sees O(n) rows whatever the table
+  size, and the table is scanned twice in all.
 * ``split_exact`` (N3 + N4): positional split of the hash order,
   ``int(fraction * rows)`` train rows, tagged in one pass with a CASE. The
   rank is a single-task window only when the input's counted size is within
@@ -55,23 +57,45 @@ def sample_fraction(
     return df.where(hash_order(key, multiplier) < F.lit(_threshold(fraction)))
 
 
-def take_first(
-    df: DataFrame,
-    n: int = DEFAULT_SAMPLE_ROWS,
-    key: str = "trip_id",
-    multiplier: int = HASH_MULTIPLIER,
-    total: int | None = None,
-) -> DataFrame:
-    """The first ``n`` rows by (hash order, key); all rows if there are fewer."""
-    total = df.count() if total is None else total
+def hash_threshold(df: DataFrame, n: int, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER) -> tuple[int, int]:
+    """``(rows, t)``: the row count and the smallest power of two ``t`` with at
+    least ``n`` rows of hash below it (``t = P`` keeps every row).
+
+    One aggregate job: rows are counted per bit length of their hash (at most
+    32 groups, combined map-side); the rows below ``2**k`` are those with bit
+    length <= k.
+    """
+    h = hash_order(key, multiplier)
+    bits = F.when(h == F.lit(0), F.lit(0)).otherwise(F.length(F.bin(h)))
+    per_length = dict(df.select(bits.alias("b")).groupBy("b").count().collect())
+    total = sum(per_length.values())
+    chosen = HASH_MODULUS
+    below = total - per_length.get(31, 0)  # rows with hash < 2**30
+    for k in range(30, -1, -1):
+        if below < n:
+            break
+        chosen = 2**k
+        below -= per_length.get(k, 0)  # now rows with hash < 2**(k-1)
+    return int(total), chosen
+
+
+def take_first_counted(
+    df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
+) -> tuple[DataFrame, int]:
+    """``take_first`` plus the number of rows it returns, ``min(rows, n)``."""
+    total, t = hash_threshold(df, n, key, multiplier)
     if total <= n:
-        return df
+        return df, total
     hashed = df.withColumn(_H, hash_order(key, multiplier))
-    t = _threshold(min(1.0, 1.5 * n / total)) + 1
-    while t < HASH_MODULUS and hashed.where(F.col(_H) < F.lit(t)).count() < n:
-        t = min(HASH_MODULUS, 2 * t)
     candidates = hashed.where(F.col(_H) < F.lit(t)) if t < HASH_MODULUS else hashed
-    return candidates.orderBy(_H, key).limit(n).drop(_H)
+    return candidates.orderBy(_H, key).limit(n).drop(_H), n
+
+
+def take_first(
+    df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
+) -> DataFrame:
+    """The first ``n`` rows by (hash order, key); all rows if there are fewer."""
+    return take_first_counted(df, n, key, multiplier)[0]
 
 
 def hash_rank(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from farecast.operators.features import model_matrix
 from farecast.operators.model import Run, TrainResult, score, train_run
-from farecast.operators.sampling import DEFAULT_SAMPLE_ROWS, DEFAULT_TRAIN_FRACTION, split_exact, take_first
+from farecast.operators.sampling import DEFAULT_SAMPLE_ROWS, DEFAULT_TRAIN_FRACTION, split_exact, take_first_counted
 from farecast.operators.silver import load_bronze, to_silver
 from farecast.operators.sinks import replace_period
 from farecast.sources.files import read_table, read_trips
@@ -41,9 +41,8 @@ def training_split(
     silver: DataFrame, rows: int = DEFAULT_SAMPLE_ROWS, train: float = DEFAULT_TRAIN_FRACTION
 ) -> DataFrame:
     """matrix -> first ``rows`` of the hash order -> positional train/test split."""
-    matrix = model_matrix(silver)
-    total = matrix.count()
-    return split_exact(take_first(matrix, rows, total=total), train, total=min(total, rows))
+    sample, count = take_first_counted(model_matrix(silver), rows)
+    return split_exact(sample, train, total=count)
 
 
 def train_flow(

@@ -108,3 +108,15 @@ def test_window_rank_matches_brute(spark, matrix):
     want = matrix.select("trip_id", (F.row_number().over(w) - 1).alias("r"))
     got = hash_rank(matrix, name="r").select("trip_id", "r")
     assert got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 5, 50, 400, 999, 1000])
+def test_hash_threshold_is_minimal_power_of_two(spark, matrix, n):
+    from farecast.operators.sampling import hash_threshold
+
+    hs = sorted(r["h"] for r in matrix.select(hash_order("trip_id").alias("h")).collect())
+    total, t = hash_threshold(matrix, n)
+    assert total == len(hs)
+    assert sum(h < t for h in hs) >= min(n, total)
+    if t != HASH_MODULUS:
+        assert sum(h < t // 2 for h in hs) < n or t == 1

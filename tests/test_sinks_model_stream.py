@@ -208,3 +208,11 @@ def test_ensure_database_and_table_in_it(spark, scratch):
     materialize(silver, scratch("db"), "farecast_test_db.silver", "silver in a database")
     assert table_exists(spark, "farecast_test_db.silver")
     drop_table(spark, "farecast_test_db.silver")
+
+
+def test_evaluate_with_r2(spark):
+    df = spark.createDataFrame([(1.0, 1.0, "test"), (3.0, 2.0, "test"), (5.0, 5.0, "test")],
+                               "tip_amount double, tip_amount_predicted double, data_type string")
+    got = {r["metric"]: r["value"] for r in evaluate(df, with_r2=True).collect()}
+    mse, var = 1.0 / 3, 8.0 / 3
+    assert got == {"test_mean_square_error": round(mse, 4), "test_r2": round(1 - mse / var, 4)}

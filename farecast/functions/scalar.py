@@ -37,16 +37,20 @@ def apply_scalar(
     return df.withColumn(out_col, udf(F.col(in_col)))
 
 
-def comparable(df: DataFrame) -> DataFrame:
+def comparable(df: DataFrame, text_cols: tuple[str, ...] = ()) -> DataFrame:
     """Project a result to types that compare equal across engines.
 
     decimal and float -> double, timestamps -> 'yyyy-MM-dd HH:mm:ss.SSSSSS'
-    text. Used only at the output of the registered check queries.
+    text, ``text_cols`` (integer columns holding NULLs, which pandas turns
+    into floats on one side and nullable ints on the other) -> text. Used
+    only at the output of the registered check queries.
     """
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
+        if f.name in text_cols:
+            c = c.cast("string")
+        elif isinstance(f.dataType, (T.DecimalType, T.FloatType)):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")

@@ -103,7 +103,7 @@ def q_bronze_trips(spark, sf_dir):
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return comparable(out)
+    return comparable(out, text_cols=("Payment_type",))
 
 
 def q_row_index(spark, sf_dir):

@@ -158,7 +158,8 @@ def oracle_queries() -> dict[str, str]:
     sp = SPLIT_CHAIN
     raw_cols = """event_id, VendorID, strftime(tpep_pickup_datetime, '{f}') AS tpep_pickup_datetime,
   strftime(tpep_dropoff_datetime, '{f}') AS tpep_dropoff_datetime, Passenger_count,
-  CAST(Trip_distance AS DOUBLE) AS Trip_distance, PULocationID, DOLocationID, RateCodeID, Payment_type,
+  CAST(Trip_distance AS DOUBLE) AS Trip_distance, PULocationID, DOLocationID, RateCodeID,
+  CAST(Payment_type AS VARCHAR) AS Payment_type,
   {money}, metadata_year, metadata_month""".format(
         f=TS_FMT,
         money=", ".join(

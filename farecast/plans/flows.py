@@ -13,7 +13,7 @@ from farecast.operators.features import model_matrix
 from farecast.operators.model import Run, TrainResult, score, train_run
 from farecast.operators.sampling import DEFAULT_SAMPLE_ROWS, DEFAULT_TRAIN_FRACTION, split_exact, take_first_counted
 from farecast.operators.silver import load_bronze, to_silver
-from farecast.operators.sinks import replace_period
+from farecast.operators.sinks import ensure_database, materialize, replace_period
 from farecast.sources.files import read_table, read_trips
 from farecast.sources.fixtures import events_table, raw_trips_from_events
 
@@ -61,3 +61,16 @@ def train_flow(
 def score_flow(silver: DataFrame, run: Run) -> DataFrame:
     """silver (table, stream batch or literal rows) -> predictions."""
     return score(model_matrix(silver), run)
+
+
+def materialized_flow(bronze: DataFrame, run: Run, root: str, database: str | None = None) -> DataFrame:
+    """Two commented datasets, the second reading the first (K7):
+    ``bronze_trips`` (the given bronze rows) -> ``predictions`` (scored).
+    With ``database`` both are registered there under those names with their
+    comments. Returns the predictions dataset as read back."""
+    root = root.rstrip("/")
+    names = (f"{database}.bronze_trips", f"{database}.predictions") if database else (None, None)
+    if database:
+        ensure_database(bronze.sparkSession, database)
+    stored = materialize(bronze, f"{root}/bronze_trips", names[0], "Loading data from the bronze trips")
+    return materialize(score_flow(to_silver(stored), run), f"{root}/predictions", names[1], "Prediction")

@@ -216,3 +216,15 @@ def test_evaluate_with_r2(spark):
     got = {r["metric"]: r["value"] for r in evaluate(df, with_r2=True).collect()}
     mse, var = 1.0 / 3, 8.0 / 3
     assert got == {"test_mean_square_error": round(mse, 4), "test_r2": round(1 - mse / var, 4)}
+
+
+def test_materialized_flow_scores_bronze_dataset(spark, scratch, trained):
+    from farecast.plans.flows import materialized_flow
+
+    result, _ = trained
+    bronze = bronze_from_events(spark, SMALL)
+    preds = materialized_flow(bronze, result.run, scratch("datasets"), database="farecast_flow_db")
+    assert preds.columns == ["trip_id", "predicted_tip_amount"]
+    assert spark.catalog.getTable("farecast_flow_db.predictions").description == "Prediction"
+    assert preds.count() == bronze.count()
+    assert preds.join(bronze, "trip_id", "left_anti").count() == 0

@@ -12,15 +12,21 @@
   key, the row of the highest batch -- one aggregate, no join.
 * ``compact`` rewrites the view into a new directory (never over the path
   being read).
+* ``create_upsert_table`` / ``upsert_into`` / ``latest_of_table``: the same
+  log as a catalog table bucketed by key. Every batch is written into the
+  same buckets, so the latest-wins view reads bucket by bucket and needs no
+  shuffle of the log, however large it grows.
 * ``materialize`` (K7): named, commented dataset written once and read back.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BATCH_COL = "batch_id"
 
@@ -51,7 +57,8 @@ def upsert(
 
     A key may appear once per batch (as MERGE requires); with
     ``check_unique`` the written partition is checked from its key column and
-    a duplicate fails the call.
+    a duplicate fails the call (the partition stays until the batch is
+    replayed with corrected rows, which overwrites it).
     """
     spark = batch.sparkSession
     (
@@ -73,14 +80,61 @@ def batch_partition(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
 
 
-def latest(spark: SparkSession, path: str, key: str = "trip_id") -> DataFrame:
-    """Latest-wins view of an upsert log: per key the row of its highest batch."""
-    log = spark.read.parquet(path)
+def _newest_per_key(log: DataFrame, key: str) -> DataFrame:
     cols = [c for c in log.columns if c not in (key, BATCH_COL)]
     newest = F.max(F.struct(F.col(BATCH_COL), *[F.col(c) for c in cols])).alias("__row")
     return log.groupBy(key).agg(newest).select(key, *[F.col(f"__row.{c}").alias(c) for c in cols])
 
 
+def latest(spark: SparkSession, path: str, key: str = "trip_id") -> DataFrame:
+    """Latest-wins view of an upsert log: per key the row of its highest batch."""
+    return _newest_per_key(spark.read.parquet(path), key)
+
+
+def create_upsert_table(
+    spark: SparkSession, name: str, schema: StructType, path: str, key: str = "trip_id", buckets: int = 64
+) -> None:
+    """Create (if absent) an upsert log table at ``path``: partitioned by
+    ``batch_id``, bucketed and sorted by ``key`` into ``buckets`` buckets.
+    Size ``buckets`` for the whole log (e.g. log size / 256 MB); it is fixed
+    for the life of the table."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != BATCH_COL)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {BATCH_COL} BIGINT) USING parquet "
+        f"PARTITIONED BY ({BATCH_COL}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS "
+        f"LOCATION '{path}'"
+    )
+
+
+def upsert_into(batch: DataFrame, name: str, batch_id: int, key: str = "trip_id", check_unique: bool = True) -> None:
+    """Write one batch into an upsert log table, replacing only its own
+    ``batch_id`` partition (a replay changes nothing).
+
+    The key check reads the written partition's key column; a batch that
+    fails it stays written until it is replayed with corrected rows, which
+    overwrites the same partition.
+    """
+    spark = batch.sparkSession
+    table_cols = [c for c in spark.table(name).columns if c != BATCH_COL]
+    view = f"__upsert_batch_{uuid.uuid4().hex[:12]}"
+    batch.select(*table_cols).createOrReplaceTempView(view)
+    cols = ", ".join(f"`{c}`" for c in table_cols)
+    # a static partition spec replaces exactly this batch's partition
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH_COL} = {int(batch_id)}) SELECT {cols} FROM {view}")
+    spark.catalog.dropTempView(view)
+    if check_unique:
+        part = spark.table(name).where(F.col(BATCH_COL) == F.lit(int(batch_id))).select(key)
+        dup = part.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"batch {batch_id} holds key {dup[0][key]} more than once")
+
+
+def latest_of_table(spark: SparkSession, name: str, key: str = "trip_id") -> DataFrame:
+    """Latest-wins view of an upsert log table; bucketed by key, so the
+    aggregate runs per bucket without an exchange."""
+    return _newest_per_key(spark.table(name), key)
+
+
 def compact(spark: SparkSession, path: str, new_path: str, key: str = "trip_id") -> DataFrame:
     """Rewrite the latest-wins view as batch 0 of a new log at ``new_path``."""
     if new_path.rstrip("/") == path.rstrip("/"):

@@ -13,13 +13,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from farecast.operators.features import model_matrix
 from farecast.operators.model import Run, score
 from farecast.operators.silver import to_silver
-from farecast.operators.sinks import batch_partition, upsert
+from farecast.operators.sinks import BATCH_COL, batch_partition, upsert, upsert_into
 from farecast.schemas import BRONZE
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -45,16 +46,33 @@ def land_files(df: DataFrame, path: str, files: int, key: str = "trip_id") -> No
     df.repartitionByRange(int(files), key).write.mode("append").parquet(path)
 
 
-def silver_batch(silver_log: str) -> BatchFn:
-    """foreachBatch function: bronze batch -> silver rows upserted by trip_id."""
+def _write(df: DataFrame, target: str, batch_id: int, table: bool, check_unique: bool = True) -> None:
+    if table:
+        upsert_into(df, target, batch_id, check_unique=check_unique)
+    else:
+        upsert(df, target, batch_id, check_unique=check_unique)
+
+
+def _written(spark: SparkSession, target: str, batch_id: int, table: bool) -> DataFrame:
+    if table:
+        return spark.table(target).where(F.col(BATCH_COL) == F.lit(int(batch_id))).drop(BATCH_COL)
+    return spark.read.parquet(batch_partition(target, batch_id))
+
+
+def silver_batch(silver_log: str, table: bool = False) -> BatchFn:
+    """foreachBatch function: bronze batch -> silver rows upserted by trip_id.
+
+    ``silver_log`` is a path, or with ``table=True`` an upsert log table (see
+    ``create_upsert_table``) whose latest view needs no shuffle.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert(to_silver(batch), silver_log, batch_id)
+        _write(to_silver(batch), silver_log, batch_id, table)
 
     return run
 
 
-def scoring_batch(silver_log: str, prediction_log: str, run: Run) -> BatchFn:
+def scoring_batch(silver_log: str, prediction_log: str, run: Run, table: bool = False) -> BatchFn:
     """foreachBatch function (M3, M4): bronze batch -> silver -> features ->
     prediction, both upserted by trip_id under the micro-batch id.
 
@@ -64,9 +82,9 @@ def scoring_batch(silver_log: str, prediction_log: str, run: Run) -> BatchFn:
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert(to_silver(batch), silver_log, batch_id)
-        silver = batch.sparkSession.read.parquet(batch_partition(silver_log, batch_id))
-        upsert(score(model_matrix(silver), run), prediction_log, batch_id, check_unique=False)
+        _write(to_silver(batch), silver_log, batch_id, table)
+        silver = _written(batch.sparkSession, silver_log, batch_id, table)
+        _write(score(model_matrix(silver), run), prediction_log, batch_id, table, check_unique=False)
 
     return run_batch
 

@@ -228,3 +228,59 @@ def test_materialized_flow_scores_bronze_dataset(spark, scratch, trained):
     assert spark.catalog.getTable("farecast_flow_db.predictions").description == "Prediction"
     assert preds.count() == bronze.count()
     assert preds.join(bronze, "trip_id", "left_anti").count() == 0
+
+
+def test_bucketed_upsert_table_latest_without_shuffle(spark, scratch):
+    import contextlib
+    import io
+
+    from farecast.operators.sinks import create_upsert_table, latest_of_table, upsert_into
+
+    silver = saved_silver(spark, SMALL)
+    name = "farecast_upsert_log"
+    drop_table(spark, name)
+    create_upsert_table(spark, name, silver.schema, scratch("ulog"), buckets=4)
+    upsert_into(silver.where(F.col("metadata_month").isin(1, 11)), name, 0)
+    bumped = silver.where(F.col("metadata_month").isin(11, 12)).withColumn(
+        "tip_amount", (F.col("tip_amount") + F.lit(1)).cast("decimal(13,2)")
+    )
+    upsert_into(bumped, name, 1)
+    upsert_into(bumped, name, 1)  # replay
+    view = latest_of_table(spark, name)
+    assert view.count() == silver.count()
+    want = silver.select("trip_id", F.when(F.col("metadata_month").isin(11, 12), F.col("tip_amount") + 1)
+                         .otherwise(F.col("tip_amount")).cast("decimal(13,2)").alias("tip_amount"))
+    assert view.select("trip_id", "tip_amount").exceptAll(want).count() == 0
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        view.explain()
+    assert "Exchange" not in buf.getvalue() and "Bucketed: true" in buf.getvalue()
+    with pytest.raises(ValueError, match="more than once"):
+        upsert_into(silver.unionByName(silver.limit(1)), name, 2)
+    drop_table(spark, name)
+
+
+def test_stream_into_bucketed_tables(spark, scratch, trained):
+    from farecast.operators.features import model_matrix
+    from farecast.operators.silver import to_silver
+    from farecast.operators.sinks import create_upsert_table, latest_of_table
+    from farecast.schemas import PREDICTION, SILVER
+
+    result, _ = trained
+    bronze = bronze_from_events(spark, SMALL)
+    landing = scratch("in")
+    land_files(bronze, landing, 3)
+    for name in ("farecast_silver_log", "farecast_pred_log"):
+        drop_table(spark, name)
+    create_upsert_table(spark, "farecast_silver_log", SILVER, scratch("sl"), buckets=4)
+    create_upsert_table(spark, "farecast_pred_log", PREDICTION, scratch("pl"), buckets=4)
+    q = run_stream(
+        stream_trips(spark, landing),
+        scoring_batch("farecast_silver_log", "farecast_pred_log", result.run, table=True),
+        scratch("ckpt"),
+    )
+    assert await_progress(q, 300).batches == 3
+    want = score(model_matrix(to_silver(bronze)), result.run)
+    got = latest_of_table(spark, "farecast_pred_log").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert latest_of_table(spark, "farecast_silver_log").count() == bronze.count()

@@ -26,7 +26,7 @@ from farecast.operators.silver import tag_period, to_silver
 from farecast.operators.sinks import append, latest, materialize, replace_period, upsert
 from farecast.plans.flows import bronze_from_events, score_flow, training_split
 from farecast.schemas import PERIOD_COLUMNS
-from farecast.session import scratch_path
+from farecast.session import scratch_path, session_id
 from farecast.sources.files import read_format, read_table, read_trips
 from farecast.sources.fixtures import events_table, fixture_periods, land_monthly, raw_trips_from_events
 from farecast.streaming.stream import (
@@ -50,7 +50,7 @@ _RUNS: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    return (session_id(spark), sf_dir.rstrip("/"))
 
 
 def build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:

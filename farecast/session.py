@@ -40,7 +40,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and set; on a cluster an unset folder is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext: the server owns the folder
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server") from None
+        return found.rstrip("/")
     found = sc.getCheckpointDir()
     if not found:
         found = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +61,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identity of the running application (memo key for saved tables)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder for one intermediate table."""
     return f"{checkpoint_dir(spark)}/farecast/{label}-{uuid.uuid4().hex[:12]}"

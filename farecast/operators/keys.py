@@ -13,8 +13,8 @@ in the order of ``order_cols`` without ever sorting a group in one task:
 3. count rows per (group, range) from the written table -- a column scan
    whose output has at most ``num_ranges + groups`` rows;
 4. running sum of those counts per group gives each range's start offset;
-   the offset table is broadcast after its size is checked, else joined by
-   shuffle;
+   the small offset table is written once, counted, and broadcast if within
+   the row bound, else joined by shuffle;
 5. index = range offset + (position - first position of the group in range).
 
 The order must be total (unique), e.g. (pickup time, natural id).
@@ -70,10 +70,13 @@ def with_row_index(
         F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST)
     )
     before = Window.partitionBy(*partition_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(
+    offsets_path = scratch_path(spark, "row-index-offsets")
+    stats.select(
         *partition_cols, _PID, _FIRST, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF)
-    )
-    offsets, _ = broadcast_if_small(offsets, max_broadcast_rows)
+    ).write.parquet(offsets_path)
+    # the offset table is written once (one scan of three columns of the big
+    # table); its size check and the join then only read the small table
+    offsets, _ = broadcast_if_small(spark.read.parquet(offsets_path), max_broadcast_rows)
 
     left = ranged.withColumn(_PID, F.shiftrightunsigned(F.col(_POS), 33))
     joined = left.join(offsets, null_safe_on(left, offsets, [*partition_cols, _PID]), "inner")

@@ -32,6 +32,7 @@ from farecast.sources.fixtures import events_table, fixture_periods, land_monthl
 from farecast.streaming.stream import (
     await_progress,
     land_files,
+    rows_changed,
     run_stream,
     scoring_batch,
     silver_batch,
@@ -318,8 +319,11 @@ def q_stream_predictions(spark, sf_dir):
 
 
 def q_stream_progress(spark, sf_dir):
-    _, p = _stream_silver(spark, sf_dir)
-    return spark.createDataFrame([(p.batches, p.rows)], "batches long, rows long")
+    """Micro-batches and rows read (from the query's progress), and rows the
+    run added to the sink (a count before and after, as a monitor would)."""
+    silver_log, p = _stream_silver(spark, sf_dir)
+    added = rows_changed(0, latest(spark, silver_log).count())  # the sink is new: 0 rows before
+    return spark.createDataFrame([(p.batches, p.rows, added)], "batches long, rows long, rows_added long")
 
 
 # --- UDF surface ---------------------------------------------------------------

@@ -83,6 +83,7 @@ def take_first_counted(
     df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
 ) -> tuple[DataFrame, int]:
     """``take_first`` plus the number of rows it returns, ``min(rows, n)``."""
+    df = df.where(F.col(key).isNotNull())
     total, t = hash_threshold(df, n, key, multiplier)
     if total <= n:
         return df, total
@@ -94,7 +95,8 @@ def take_first_counted(
 def take_first(
     df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
 ) -> DataFrame:
-    """The first ``n`` rows by (hash order, key); all rows if there are fewer."""
+    """The first ``n`` rows by (hash order, key); all rows if there are fewer.
+    Rows with a NULL key have no place in the order and are never taken."""
     return take_first_counted(df, n, key, multiplier)[0]
 
 

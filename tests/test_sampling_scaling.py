@@ -120,3 +120,10 @@ def test_hash_threshold_is_minimal_power_of_two(spark, matrix, n):
     assert sum(h < t for h in hs) >= min(n, total)
     if t != HASH_MODULUS:
         assert sum(h < t // 2 for h in hs) < n or t == 1
+
+
+def test_take_first_skips_null_keys(spark):
+    df = spark.createDataFrame([(None, 0)] + [(i, i) for i in range(1, 40)], "trip_id long, x long")
+    assert take_first(df, 100).where(F.col("trip_id").isNull()).count() == 0
+    assert take_first(df, 100).count() == 39
+    assert take_first(df, 5).count() == 5

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +32,26 @@ def tag_period(raw: DataFrame, year: int, month: int) -> DataFrame:
     )
 
 
-def load_bronze(raw: DataFrame, year: int | None = None, month: int | None = None, num_ranges: int | None = None) -> DataFrame:
+TRIP_ORDER = ("tpep_pickup_datetime", "event_id")
+
+
+def load_bronze(
+    raw: DataFrame,
+    year: int | None = None,
+    month: int | None = None,
+    num_ranges: int | None = None,
+    order_cols: Sequence[str] = TRIP_ORDER,
+) -> DataFrame:
     """Bronze rows: raw + load period + trip key, assigned here once.
 
     With ``year``/``month`` the rows are one monthly file and are tagged with
     the literals; without, they must already carry the period columns.
-    The key is assigned at load so that batch and stream share it.
+    The key is assigned at load so that batch and stream share it. Rows are
+    numbered in ``order_cols`` order, which must identify a row (for files
+    without a natural id, list enough columns to make the order total).
     """
     tagged = tag_period(raw, year, month) if year is not None else raw
-    return conform(assign_trip_key(tagged, num_ranges=num_ranges), BRONZE)
+    return conform(assign_trip_key(tagged, order_cols=order_cols, num_ranges=num_ranges), BRONZE)
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:

@@ -7,12 +7,14 @@ parameters are keyword arguments (C3).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from farecast.operators.features import model_matrix
 from farecast.operators.model import Run, TrainResult, score, train_run
 from farecast.operators.sampling import DEFAULT_SAMPLE_ROWS, DEFAULT_TRAIN_FRACTION, split_exact, take_first_counted
-from farecast.operators.silver import load_bronze, to_silver
+from farecast.operators.silver import TRIP_ORDER, load_bronze, to_silver
 from farecast.operators.sinks import ensure_database, materialize, replace_period
 from farecast.sources.files import read_table, read_trips
 from farecast.sources.fixtures import events_table, raw_trips_from_events
@@ -24,11 +26,17 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_month(
-    spark: SparkSession, landing: str, year: int, month: int, bronze_path: str, silver_path: str | None = None
+    spark: SparkSession,
+    landing: str,
+    year: int,
+    month: int,
+    bronze_path: str,
+    silver_path: str | None = None,
+    order_cols: Sequence[str] = TRIP_ORDER,
 ) -> DataFrame:
     """Load one monthly file: scan, tag, key, replace the period in bronze
     (and silver when ``silver_path`` is given). Returns the period's silver."""
-    bronze = load_bronze(read_trips(spark, landing, year, month), year, month)
+    bronze = load_bronze(read_trips(spark, landing, year, month), year, month, order_cols=order_cols)
     replace_period(bronze, bronze_path)
     silver = to_silver(read_table(spark, bronze_path, (year, month)))
     if silver_path:

@@ -14,10 +14,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "farecast") -> SparkSession:
-    """Session used by tests and bench: local mode, AQE on, no UI."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "farecast", event_log_dir: str | None = None
+) -> SparkSession:
+    """Session used by tests and bench: local mode, AQE on, no UI.
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    without a UI)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

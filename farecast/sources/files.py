@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from farecast.schemas import RAW, SILVER
 
+# fixed value: name of one landed monthly file (month zero-padded)
 MONTHLY_FILE = "yellow_tripdata_{year}-{month:02d}.parquet"
 
 

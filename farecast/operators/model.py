@@ -131,15 +131,20 @@ def train_run(
     seed: int = SEED,
     save: bool = True,
     with_r2: bool = False,
+    partitions: int | None = None,
 ) -> TrainResult:
     """Scale, fit, predict on train + test, evaluate, save.
 
-    The split is checkpointed to the shared folder first: the scaler fit and
-    the forest read it several times, and the split's plan (top-n, rank)
-    should run once and survive a lost executor.
+    The split is spread over ``partitions`` tasks by a hash of trip_id (the
+    top-n and rank before it leave one partition; the hash keeps the
+    placement, and so the forest, the same on every run) and checkpointed to
+    the shared folder: the scaler fit and the forest read it several times,
+    and the split's plan should run once and survive a lost executor.
     """
     run_id = run_id or uuid.uuid4().hex
-    split = split.checkpoint(eager=True)
+    spark = split.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    split = split.repartition(partitions, "trip_id").checkpoint(eager=True)
     scaler = fit_scaler(split, LABEL, fit_on)
     scaled = scale(split, scaler, LABEL)
     model = fit_forest(scaled, num_trees, max_depth, seed)

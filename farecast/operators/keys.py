@@ -102,6 +102,13 @@ def trip_key(year: str, month: str, index: str) -> "F.Column":
     )
 
 
+def key_period(key: str = "trip_id") -> tuple["F.Column", "F.Column"]:
+    """(year, month) of a padded trip key, by exact integer division."""
+    year = F.expr(f"`{key}` div {KEY_YEAR_FACTOR}").cast("int")
+    month = F.pmod(F.expr(f"`{key}` div {KEY_MONTH_FACTOR}"), F.lit(100)).cast("int")
+    return year, month
+
+
 def trip_key_compat(year: str, month: str, index: str) -> "F.Column":
     """Unpadded key concat(year, month, index) as a long.
 

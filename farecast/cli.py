@@ -6,6 +6,7 @@
     ... score  --silver S --runs R --run-id ID --out P [--year Y --month M]
     ... stream --bronze B --runs R --run-id ID --silver-log SL --prediction-log PL --checkpoint C
                [--trigger availableNow|'10 seconds'] [--max-files N] [--timeout SECONDS]
+               [--tables LOG_ROOT --buckets N]   (logs as bucketed tables named SL and PL)
 
 Each command prints one JSON line with what it did. All paths should be on
 storage every executor can read (the cluster's shared file system).
@@ -21,7 +22,8 @@ from pyspark.sql import SparkSession
 
 from farecast.operators.keys import key_period
 from farecast.operators.model import load_run
-from farecast.operators.sinks import replace_period
+from farecast.operators.sinks import create_upsert_table, replace_period
+from farecast.schemas import PREDICTION, SILVER
 from farecast.plans.flows import load_month, score_flow, train_flow
 from farecast.sources.files import read_table
 from farecast.streaming.stream import await_progress, run_stream, scoring_batch, stream_trips
@@ -69,6 +71,10 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--trigger", default="availableNow")
     stream.add_argument("--max-files", type=int, default=1)
     stream.add_argument("--timeout", type=float)
+    stream.add_argument("--tables", metavar="LOG_ROOT",
+                        help="use bucketed upsert-log tables named by --silver-log/--prediction-log, "
+                             "created below LOG_ROOT if absent")
+    stream.add_argument("--buckets", type=int, default=64)
     return p
 
 
@@ -94,9 +100,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"run_id": args.run_id, "rows": read_table(spark, args.out, period).count()}
     else:
         run = load_run(spark, args.runs, args.run_id)
+        if args.tables:
+            root = args.tables.rstrip("/")
+            create_upsert_table(spark, args.silver_log, SILVER, f"{root}/silver_log", buckets=args.buckets)
+            create_upsert_table(spark, args.prediction_log, PREDICTION, f"{root}/prediction_log", buckets=args.buckets)
         query = run_stream(
             stream_trips(spark, args.bronze, max_files=args.max_files),
-            scoring_batch(args.silver_log, args.prediction_log, run),
+            scoring_batch(args.silver_log, args.prediction_log, run, table=bool(args.tables)),
             args.checkpoint,
             args.trigger,
         )

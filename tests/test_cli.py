@@ -36,3 +36,12 @@ def test_cli_load_train_score_stream(spark, scratch):
                      "--silver-log", scratch("sl"), "--prediction-log", scratch("pl"), "--checkpoint", scratch("ck"),
                      "--max-files", "100", "--timeout", "300"], spark)
     assert streamed["rows"] == raw.count() and streamed["finished"]
+    from farecast.operators.sinks import drop_table, latest_of_table
+
+    for t in ("cli_silver_log", "cli_pred_log"):
+        drop_table(spark, t)
+    tabled = main(["stream", "--bronze", bronze, "--runs", runs, "--run-id", trained["run_id"],
+                   "--silver-log", "cli_silver_log", "--prediction-log", "cli_pred_log", "--checkpoint", scratch("ck"),
+                   "--max-files", "100", "--timeout", "300", "--tables", scratch("logs"), "--buckets", "4"], spark)
+    assert tabled["rows"] == raw.count()
+    assert latest_of_table(spark, "cli_pred_log").count() == raw.count()

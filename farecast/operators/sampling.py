@@ -80,24 +80,40 @@ def hash_threshold(df: DataFrame, n: int, key: str = "trip_id", multiplier: int
 
 
 def take_first_counted(
-    df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
+    df: DataFrame,
+    n: int = DEFAULT_SAMPLE_ROWS,
+    key: str = "trip_id",
+    multiplier: int = HASH_MULTIPLIER,
+    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
 ) -> tuple[DataFrame, int]:
-    """``take_first`` plus the number of rows it returns, ``min(rows, n)``."""
+    """``take_first`` plus the number of rows it returns, ``min(rows, n)``.
+
+    Up to ``max_single_task_rows`` the candidates meet in one top-n task
+    (``TakeOrderedAndProject``); a larger ``n`` ranks the candidates with the
+    distributed ``with_row_index`` and keeps ranks below ``n``.
+    """
     df = df.where(F.col(key).isNotNull())
     total, t = hash_threshold(df, n, key, multiplier)
     if total <= n:
         return df, total
     hashed = df.withColumn(_H, hash_order(key, multiplier))
     candidates = hashed.where(F.col(_H) < F.lit(t)) if t < HASH_MODULUS else hashed
-    return candidates.orderBy(_H, key).limit(n).drop(_H), n
+    if n <= max_single_task_rows:
+        return candidates.orderBy(_H, key).limit(n).drop(_H), n
+    ranked = with_row_index(candidates, [_H, key], [], _RANK)
+    return ranked.where(F.col(_RANK) < F.lit(n)).drop(_H, _RANK), n
 
 
 def take_first(
-    df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
+    df: DataFrame,
+    n: int = DEFAULT_SAMPLE_ROWS,
+    key: str = "trip_id",
+    multiplier: int = HASH_MULTIPLIER,
+    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """The first ``n`` rows by (hash order, key); all rows if there are fewer.
     Rows with a NULL key have no place in the order and are never taken."""
-    return take_first_counted(df, n, key, multiplier)[0]
+    return take_first_counted(df, n, key, multiplier, max_single_task_rows)[0]
 
 
 def hash_rank(

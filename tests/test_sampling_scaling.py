@@ -127,3 +127,10 @@ def test_take_first_skips_null_keys(spark):
     assert take_first(df, 100).where(F.col("trip_id").isNull()).count() == 0
     assert take_first(df, 100).count() == 39
     assert take_first(df, 5).count() == 5
+
+
+@pytest.mark.parametrize("n", [3, 250, 999])
+def test_take_first_distributed_path_equals_top_n(spark, matrix, n):
+    a = take_first(matrix, n).select("trip_id")
+    b = take_first(matrix, n, max_single_task_rows=0).select("trip_id")
+    assert b.count() == n and a.exceptAll(b).count() == 0

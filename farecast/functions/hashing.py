@@ -21,6 +21,14 @@ HASH_MODULUS = 2147483647
 HASH_MULTIPLIER = 1327217885
 
 
+def multiplier_for_seed(seed: int | None, modulus: int = HASH_MODULUS) -> int:
+    """The multiplier plays the role of a sampling seed: each seed gives
+    another permutation of the ids. ``None`` gives the default order."""
+    if seed is None:
+        return HASH_MULTIPLIER
+    return 1 + (int(seed) * HASH_MULTIPLIER) % (modulus - 1)
+
+
 def hash_order(key: Column | str, multiplier: int = HASH_MULTIPLIER, modulus: int = HASH_MODULUS) -> Column:
     k = F.col(key) if isinstance(key, str) else key
     return F.pmod(F.pmod(k, F.lit(modulus)) * F.lit(multiplier), F.lit(modulus))

@@ -29,7 +29,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farecast.functions.hashing import HASH_MODULUS, HASH_MULTIPLIER, hash_order
+from farecast.functions.hashing import HASH_MODULUS, HASH_MULTIPLIER, hash_order, multiplier_for_seed
 from farecast.operators.keys import with_row_index
 
 _H = "__hash"
@@ -44,17 +44,23 @@ def _threshold(fraction: float, modulus: int = HASH_MODULUS) -> int:
 
 
 def sample_fraction(
-    df: DataFrame, fraction: float, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
+    df: DataFrame,
+    fraction: float,
+    key: str = "trip_id",
+    multiplier: int = HASH_MULTIPLIER,
+    seed: int | None = None,
 ) -> DataFrame:
     """Rows whose hash order lies in the first ``fraction`` of the hash range.
 
     ``fraction=1.0`` keeps every row. The kept set only grows with the
     fraction, and the first ``n`` rows of the hash order are the first ``n``
-    of any sample that holds at least ``n`` rows.
+    of any sample that holds at least ``n`` rows. ``seed`` picks another
+    hash order (it overrides ``multiplier``).
     """
     if fraction >= 1.0:
         return df
-    return df.where(hash_order(key, multiplier) < F.lit(_threshold(fraction)))
+    m = multiplier_for_seed(seed) if seed is not None else multiplier
+    return df.where(hash_order(key, m) < F.lit(_threshold(fraction)))
 
 
 def hash_threshold(df: DataFrame, n: int, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER) -> tuple[int, int]:

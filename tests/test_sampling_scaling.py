@@ -134,3 +134,12 @@ def test_take_first_distributed_path_equals_top_n(spark, matrix, n):
     a = take_first(matrix, n).select("trip_id")
     b = take_first(matrix, n, max_single_task_rows=0).select("trip_id")
     assert b.count() == n and a.exceptAll(b).count() == 0
+
+
+def test_seeded_samples_differ_and_repeat(spark, matrix):
+    a = sample_fraction(matrix, 0.3, seed=12345).select("trip_id")
+    b = sample_fraction(matrix, 0.3, seed=12345).select("trip_id")
+    c = sample_fraction(matrix, 0.3, seed=7).select("trip_id")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(c).count() > 0
+    assert 0.2 < a.count() / matrix.count() < 0.4

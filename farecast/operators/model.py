@@ -94,7 +94,7 @@ def evaluate(pred: DataFrame, label: str = LABEL, predicted: str = PREDICTED, wi
 
 def save_run(run: Run) -> Run:
     """Write model and scaler under ``root/run_id`` (K8)."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     run.model.write().overwrite().save(f"{run.path}/model")
     spark.createDataFrame([(run.scaler.mean, run.scaler.std)], "mean double, std double").coalesce(1).write.mode(
         "overwrite"

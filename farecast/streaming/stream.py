@@ -59,20 +59,24 @@ def _written(spark: SparkSession, target: str, batch_id: int, table: bool) -> Da
     return spark.read.parquet(batch_partition(target, batch_id))
 
 
-def silver_batch(silver_log: str, table: bool = False) -> BatchFn:
+def silver_batch(silver_log: str, table: bool = False, check_unique: bool = True) -> BatchFn:
     """foreachBatch function: bronze batch -> silver rows upserted by trip_id.
 
     ``silver_log`` is a path, or with ``table=True`` an upsert log table (see
     ``create_upsert_table``) whose latest view needs no shuffle.
+    ``check_unique`` verifies each batch's keys (one extra job per batch);
+    keys assigned by ``load_bronze`` are unique by construction.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        _write(to_silver(batch), silver_log, batch_id, table)
+        _write(to_silver(batch), silver_log, batch_id, table, check_unique)
 
     return run
 
 
-def scoring_batch(silver_log: str, prediction_log: str, run: Run, table: bool = False) -> BatchFn:
+def scoring_batch(
+    silver_log: str, prediction_log: str, run: Run, table: bool = False, check_unique: bool = True
+) -> BatchFn:
     """foreachBatch function (M3, M4): bronze batch -> silver -> features ->
     prediction, both upserted by trip_id under the micro-batch id.
 
@@ -82,7 +86,7 @@ def scoring_batch(silver_log: str, prediction_log: str, run: Run, table: bool =
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        _write(to_silver(batch), silver_log, batch_id, table)
+        _write(to_silver(batch), silver_log, batch_id, table, check_unique)
         silver = _written(batch.sparkSession, silver_log, batch_id, table)
         _write(score(model_matrix(silver), run), prediction_log, batch_id, table, check_unique=False)
 

@@ -285,3 +285,15 @@ def test_stream_into_bucketed_tables(spark, scratch, trained):
     got = latest_of_table(spark, "farecast_pred_log").select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert latest_of_table(spark, "farecast_silver_log").count() == bronze.count()
+
+
+def test_read_table_by_catalog_name_with_period(spark, scratch):
+    silver = saved_silver(spark, SMALL)
+    path = scratch("named")
+    replace_period(silver, path)
+    drop_table(spark, "farecast_named_silver")
+    spark.catalog.createTable("farecast_named_silver", path=path, source="parquet")
+    spark.sql("MSCK REPAIR TABLE farecast_named_silver")  # register the period partitions
+    nov = read_table(spark, "farecast_named_silver", (2022, 11))
+    assert nov.count() == silver.where(F.col("metadata_month") == 11).count()
+    drop_table(spark, "farecast_named_silver")

@@ -42,7 +42,12 @@ KEY_YEAR_FACTOR = 10**14
 
 
 def default_ranges(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Number of ranges: the larger of ``spark.sql.shuffle.partitions`` and
+    the input's partition count (file splits of ``maxPartitionBytes``), so a
+    range never holds much more than one input split whatever the session's
+    shuffle setting. Reading the partition count plans the input; no job runs."""
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, df.rdd.getNumPartitions())
 
 
 def with_row_index(

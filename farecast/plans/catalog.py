@@ -300,7 +300,7 @@ def _stream_silver(spark, sf_dir):
     landing = _landed_bronze(spark, sf_dir)
     silver_log = scratch_path(spark, "stream-silver")
     query = run_stream(stream_trips(spark, landing), silver_batch(silver_log), scratch_path(spark, "stream-ckpt"))
-    progress = await_progress(query, 600)
+    progress = await_progress(query, 600, stop=True)
     return silver_log, progress
 
 
@@ -314,7 +314,7 @@ def q_stream_predictions(spark, sf_dir):
     landing = _landed_bronze(spark, sf_dir)
     silver_log, pred_log = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-pred")
     query = run_stream(stream_trips(spark, landing), scoring_batch(silver_log, pred_log, run), scratch_path(spark, "stream-ckpt"))
-    await_progress(query, 600)
+    await_progress(query, 600, stop=True)
     return comparable(latest(spark, pred_log))
 
 

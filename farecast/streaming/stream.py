@@ -121,14 +121,18 @@ class Progress:
     finished: bool
 
 
-def await_progress(query: StreamingQuery, timeout_s: float | None = None) -> Progress:
+def await_progress(query: StreamingQuery, timeout_s: float | None = None, stop: bool = False) -> Progress:
     """Wait for the query (bounded by ``timeout_s``) and report batches with
     input and rows read (M6, F4). Counts come from the query's recent progress
-    reports, not from re-counting the sink."""
+    reports, not from re-counting the sink. With ``stop`` a query still
+    running after the wait is stopped (its progress stays in the checkpoint,
+    so a restart resumes)."""
     finished = bool(query.awaitTermination(timeout_s)) if timeout_s is not None else (query.awaitTermination() or True)
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
     reports = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
+    if stop and query.isActive:
+        query.stop()
     return Progress(len(reports), sum(int(p["numInputRows"]) for p in reports), finished)
 
 

@@ -77,6 +77,7 @@ SILVER = T.StructType(
     ]
 )
 
+# fixed values: the model's input features, in this order
 FEATURES = [
     "pickup_hour",
     "pickup_taxi_zone_id",

@@ -297,3 +297,15 @@ def test_read_table_by_catalog_name_with_period(spark, scratch):
     nov = read_table(spark, "farecast_named_silver", (2022, 11))
     assert nov.count() == silver.where(F.col("metadata_month") == 11).count()
     drop_table(spark, "farecast_named_silver")
+
+
+def test_read_format_other_formats_with_schema(spark, scratch):
+    from farecast.schemas import SILVER
+
+    silver = saved_silver(spark, SMALL).select(*SILVER.fieldNames())
+    path = scratch("json")
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # JSON's default keeps only milliseconds
+    silver.write.option("timestampNTZFormat", micros).json(path)
+    back = read_format(spark, path, "json", schema=SILVER, timestampNTZFormat=micros)
+    assert back.schema == SILVER
+    assert back.exceptAll(silver).count() == 0 and silver.exceptAll(back).count() == 0

@@ -69,7 +69,8 @@ def upsert(
         .parquet(path)
     )
     if check_unique:
-        part = spark.read.parquet(batch_partition(path, batch_id)).select(key)
+        key_only = StructType([batch.schema[key]])  # a known schema: no footer-reading job
+        part = spark.read.schema(key_only).parquet(batch_partition(path, batch_id))
         dup = part.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
         if dup:
             raise ValueError(f"batch {batch_id} holds key {dup[0][key]} more than once")

@@ -53,10 +53,10 @@ def _write(df: DataFrame, target: str, batch_id: int, table: bool, check_unique:
         upsert(df, target, batch_id, check_unique=check_unique)
 
 
-def _written(spark: SparkSession, target: str, batch_id: int, table: bool) -> DataFrame:
+def _written(spark: SparkSession, target: str, batch_id: int, table: bool, schema: T.StructType) -> DataFrame:
     if table:
         return spark.table(target).where(F.col(BATCH_COL) == F.lit(int(batch_id))).drop(BATCH_COL)
-    return spark.read.parquet(batch_partition(target, batch_id))
+    return spark.read.schema(schema).parquet(batch_partition(target, batch_id))
 
 
 def silver_batch(silver_log: str, table: bool = False, check_unique: bool = True) -> BatchFn:
@@ -86,8 +86,9 @@ def scoring_batch(
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        _write(to_silver(batch), silver_log, batch_id, table, check_unique)
-        silver = _written(batch.sparkSession, silver_log, batch_id, table)
+        silver = to_silver(batch)
+        _write(silver, silver_log, batch_id, table, check_unique)
+        silver = _written(batch.sparkSession, silver_log, batch_id, table, silver.schema)
         _write(score(model_matrix(silver), run), prediction_log, batch_id, table, check_unique=False)
 
     return run_batch

@@ -25,7 +25,7 @@ from farecast.operators.scaling import fit_scaler, inverse_scale, scale, scaler_
 from farecast.operators.silver import tag_period, to_silver
 from farecast.operators.sinks import append, latest, materialize, replace_period, upsert
 from farecast.plans.flows import bronze_from_events, score_flow, training_split
-from farecast.schemas import PERIOD_COLUMNS
+from farecast.schemas import BRONZE, PERIOD_COLUMNS, SILVER
 from farecast.session import scratch_path, session_id
 from farecast.sources.files import read_format, read_table, read_trips
 from farecast.sources.fixtures import events_table, fixture_periods, land_monthly, raw_trips_from_events
@@ -65,7 +65,7 @@ def saved_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "bronze")
         replace_period(bronze_from_events(spark, sf_dir), path)
         _BRONZE[k] = path
-    return read_table(spark, _BRONZE[k])
+    return read_table(spark, _BRONZE[k], schema=BRONZE)
 
 
 def saved_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def saved_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "silver")
         replace_period(to_silver(saved_bronze(spark, sf_dir)), path)
         _SILVER[k] = path
-    return read_table(spark, _SILVER[k])
+    return read_table(spark, _SILVER[k], schema=SILVER)
 
 
 def saved_run(spark: SparkSession, sf_dir: str):

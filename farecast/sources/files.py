@@ -38,13 +38,19 @@ def read_table(
     path: str,
     period: tuple[int, int] | None = None,
     period_cols: Sequence[str] = ("metadata_year", "metadata_month"),
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Read a saved table (a path, or a catalog name if it has no '/').
 
     ``period`` filters on the partition columns; on a table written with
     ``partitionBy(year, month)`` the filter prunes directories at planning.
+    A known ``schema`` (partition columns included) spares the job that
+    reads Parquet footers to infer it.
     """
-    df = spark.table(path) if "/" not in path and ":" not in path else spark.read.parquet(path)
+    if "/" not in path and ":" not in path:
+        df = spark.table(path)
+    else:
+        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if period is not None:
         y, m = period
         df = df.where((F.col(period_cols[0]) == F.lit(int(y))) & (F.col(period_cols[1]) == F.lit(int(m))))

@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farecast.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, null_safe_on
 from farecast.session import scratch_path
@@ -73,19 +74,20 @@ def with_row_index(
         .withColumn(_POS, F.monotonically_increasing_id())
         .write.parquet(path)
     )
-    ranged = spark.read.parquet(path)
+    ranged = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_POS, T.LongType(), False)])).parquet(path)
 
     stats = ranged.groupBy(*partition_cols, F.shiftrightunsigned(F.col(_POS), 33).alias(_PID)).agg(
         F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST)
     )
     before = Window.partitionBy(*partition_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets_path = scratch_path(spark, "row-index-offsets")
-    stats.select(
+    offsets = stats.select(
         *partition_cols, _PID, _FIRST, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF)
-    ).write.parquet(offsets_path)
+    )
+    offsets.write.parquet(offsets_path)
     # the offset table is written once (one scan of three columns of the big
     # table); its size check and the join then only read the small table
-    offsets, _ = broadcast_if_small(spark.read.parquet(offsets_path), max_broadcast_rows)
+    offsets, _ = broadcast_if_small(spark.read.schema(offsets.schema).parquet(offsets_path), max_broadcast_rows)
 
     left = ranged.withColumn(_PID, F.shiftrightunsigned(F.col(_POS), 33))
     joined = left.join(offsets, null_safe_on(left, offsets, [*partition_cols, _PID]), "inner")

@@ -309,3 +309,14 @@ def test_read_format_other_formats_with_schema(spark, scratch):
     back = read_format(spark, path, "json", schema=SILVER, timestampNTZFormat=micros)
     assert back.schema == SILVER
     assert back.exceptAll(silver).count() == 0 and silver.exceptAll(back).count() == 0
+
+
+def test_upserts_continue_on_a_compacted_log(spark, scratch):
+    path, new = scratch("log"), scratch("compacted")
+    upsert(spark.createDataFrame([(1, "a"), (2, "b")], "trip_id long, v string"), path, 0)
+    upsert(spark.createDataFrame([(2, "B")], "trip_id long, v string"), path, 1)
+    compact(spark, path, new)  # the view becomes batch 0 of the new log
+    upsert(spark.createDataFrame([(1, "A"), (3, "c")], "trip_id long, v string"), new, 2)
+    assert sorted(tuple(r) for r in latest(spark, new).collect()) == [(1, "A"), (2, "B"), (3, "c")]
+    with pytest.raises(ValueError, match="new directory"):
+        compact(spark, new, new)

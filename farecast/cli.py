@@ -2,7 +2,7 @@
 
     spark-submit --py-files farecast.zip -m farecast.cli load  --landing L --year 2022 --month 11 --bronze B --silver S
     ... counts --silver S
-    ... train  --silver S --runs R [--run-id ID] [--rows 50000] [--train 0.7] [--fit-on all|train]
+    ... train  --silver S --runs R [--run-id ID] [--rows 50000] [--train 0.7] [--validation 0.0] [--fit-on all|train]
     ... score  --silver S --runs R --run-id ID --out P [--year Y --month M]
     ... stream --bronze B --runs R --run-id ID --silver-log SL --prediction-log PL --checkpoint C
                [--trigger availableNow|'10 seconds'] [--max-files N] [--timeout SECONDS]
@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--run-id")
     train.add_argument("--rows", type=int, default=50000)
     train.add_argument("--train", type=float, default=0.7)
+    train.add_argument("--validation", type=float, default=0.0)
     train.add_argument("--fit-on", choices=["all", "train"], default="all")
     train.add_argument("--trees", type=int, default=20)
     train.add_argument("--depth", type=int, default=5)
@@ -89,7 +90,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"counts": sorted([r[0], r[1], r[2]] for r in rows)}
     elif args.cmd == "train":
         result = train_flow(read_table(spark, args.silver), args.runs, args.run_id, args.rows, args.train,
-                            args.fit_on, args.trees, args.depth)
+                            args.fit_on, args.trees, args.depth, args.validation)
         out = {"run_id": result.run.run_id, "metrics": {r["metric"]: r["value"] for r in result.metrics.collect()}}
     elif args.cmd == "score":
         period = (args.year, args.month) if args.year is not None and args.month is not None else None

@@ -46,11 +46,12 @@ def load_month(
 
 
 def training_split(
-    silver: DataFrame, rows: int = DEFAULT_SAMPLE_ROWS, train: float = DEFAULT_TRAIN_FRACTION
+    silver: DataFrame, rows: int = DEFAULT_SAMPLE_ROWS, train: float = DEFAULT_TRAIN_FRACTION, validation: float = 0.0
 ) -> DataFrame:
-    """matrix -> first ``rows`` of the hash order -> positional train/test split."""
+    """matrix -> first ``rows`` of the hash order -> positional train /
+    (optional) validation / test split."""
     sample, count = take_first_counted(model_matrix(silver), rows)
-    return split_exact(sample, train, total=count)
+    return split_exact(sample, train, validation, total=count)
 
 
 def train_flow(
@@ -62,8 +63,10 @@ def train_flow(
     fit_on: str = "all",
     num_trees: int = 20,
     max_depth: int = 5,
+    validation: float = 0.0,
 ) -> TrainResult:
-    return train_run(training_split(silver, rows, train), root, run_id, fit_on, num_trees, max_depth)
+    """Sample, split, scale, fit and save; metrics get one row per split."""
+    return train_run(training_split(silver, rows, train, validation), root, run_id, fit_on, num_trees, max_depth)
 
 
 def score_flow(silver: DataFrame, run: Run) -> DataFrame:

@@ -27,6 +27,9 @@ def test_cli_load_train_score_stream(spark, scratch):
     assert sum(c[2] for c in counts) == raw.count() and len(counts) == 3
     trained = main(["train", "--silver", silver, "--runs", runs, "--trees", "5", "--depth", "4"], spark)
     assert set(trained["metrics"]) == {"train_mean_square_error", "test_mean_square_error"}
+    three = main(["train", "--silver", silver, "--runs", runs, "--trees", "3", "--depth", "3",
+                  "--train", "0.6", "--validation", "0.2"], spark)
+    assert set(three["metrics"]) == {"train_mean_square_error", "validation_mean_square_error", "test_mean_square_error"}
     scored = main(["score", "--silver", silver, "--runs", runs, "--run-id", trained["run_id"], "--out", out], spark)
     assert scored["rows"] == raw.count()
     one = main(["score", "--silver", silver, "--runs", runs, "--run-id", trained["run_id"], "--out", out,

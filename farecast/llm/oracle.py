@@ -2,4 +2,35 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+OP1 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id,
+         CASE WHEN len(w) = 0 THEN []
+              ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, greatest(len(w) - 3, 1) + 1)])
+         END AS s
+  FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, p.b FROM reach r JOIN pairs p ON p.a = r.other
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_ngram_jaccard_join": OP1}

@@ -11,6 +11,18 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.jaccard import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
+def op2_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.fingerprints import edited_fingerprints
+
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op4_min_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,6 +51,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_bottom_k_fingerprints": op2_bottom_k_fingerprints,
     "op4_min_bin_slack_packing": op4_min_bin_slack_packing,
     "op5_elias_fano_ids": op5_elias_fano_ids,
     "op9_byte_bpe": op9_byte_bpe,

@@ -23,6 +23,13 @@ def op2_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op3_string_kernel_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.langid import identify, learn
+
+    docs = read_table(spark, sf_dir, "documents")
+    return identify(docs, learn(docs, mod=5, held_out=0), mod=5, held_out=0)
+
+
 def op4_min_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,6 +48,21 @@ def op5_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_spans(spark, path)
 
 
+def op6_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.quality import learn, score
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = learn(docs, read_table(spark, sf_dir, "labels"), "quality", mod=3, held_out=1)
+    return score(docs, model, mod=3, held_out=1)
+
+
+def op7_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.rules import judge, learn
+
+    docs = read_table(spark, sf_dir, "documents")
+    return judge(docs, learn(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,10 +72,22 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op10_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.toxicity import learn, score
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = learn(docs, read_table(spark, sf_dir, "labels"), "toxic", mod=4, held_out=2)
+    return score(docs, model, mod=4, held_out=2, threshold=0.3)
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bottom_k_fingerprints": op2_bottom_k_fingerprints,
+    "op3_string_kernel_langid": op3_string_kernel_langid,
     "op4_min_bin_slack_packing": op4_min_bin_slack_packing,
     "op5_elias_fano_ids": op5_elias_fano_ids,
+    "op6_boosted_quality": op6_boosted_quality,
+    "op7_likelihood_ratio_rules": op7_likelihood_ratio_rules,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_lexicon_toxicity": op10_lexicon_toxicity,
 }

@@ -63,6 +63,12 @@ def op7_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, learn(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op8_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.pii import find
+
+    return find(read_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -88,6 +94,7 @@ QUERIES = {
     "op5_elias_fano_ids": op5_elias_fano_ids,
     "op6_boosted_quality": op6_boosted_quality,
     "op7_likelihood_ratio_rules": op7_likelihood_ratio_rules,
+    "op8_boosted_pii": op8_boosted_pii,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lexicon_toxicity": op10_lexicon_toxicity,
 }

@@ -181,7 +181,6 @@ class JaccardJoin:
             (F.col("n_low") - F.count(F.when(low, 1)).over(by_node)).alias("alone"),
             F.row_number().over(by_node.orderBy(~low, "df", "token")).alias("rank"),
         )
-        size = F.col("n") - F.ceil(F.col("n") * self.num / F.lit(self.den)) + 1
         size = F.expr(f"n - int((n * {self.num}L + {self.den - 1}) div {self.den}) + 1")
         kept = ranked.where(~F.col("low") | (F.col("alone") + F.col("rank") <= size)).select("node", "token", "n")
         return _write(kept, "jaccard-groups")
@@ -285,7 +284,7 @@ class JaccardJoin:
         return reduce(DataFrame.union, out).distinct()
 
     def members(self) -> DataFrame:
-        """(doc_id, n_shingles, component_id, is_first) per row; ``is_first`` marks one row of each component."""
+        """(doc_id, n_shingles, component_id, is_first, text_hash) per row; ``is_first`` marks one row of each component."""
         comps = self.comps.union(self.comps.select(F.col("comp").alias("node"), "comp").distinct())
         linked = self.classes.join(comps, "node")
         names = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min("node").alias("first_rid"))
@@ -296,17 +295,39 @@ class JaccardJoin:
             F.coalesce("first_rid", "node").alias("first_rid"),
         )
         shape = [F.col("doc_id"), F.col("n").cast("long").alias("n_shingles")]
-        full = self.rows.where("n > 0").select("doc_id", "n", "rid", "key").join(classes, "key")
+        full = self.rows.where("n > 0").select("doc_id", "n", "rid", "key", "text_hash").join(classes, "key")
         none = self.rows.where("n = 0")
-        return full.select(*shape, "component_id", (F.col("rid") == F.col("first_rid")).alias("is_first"), "rid").union(
-            none.select(*shape, F.col("doc_id").alias("component_id"), F.lit(True).alias("is_first"), "rid")
-        )
+        return full.select(
+            *shape, "component_id", (F.col("rid") == F.col("first_rid")).alias("is_first"), "text_hash"
+        ).union(none.select(*shape, F.col("doc_id").alias("component_id"), F.lit(True).alias("is_first"), "text_hash"))
 
     def close(self) -> None:
         """Drop the table of candidate sets (the results no longer read it)."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
+def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows, with all their columns, of one text per component; texts without a word all stay.
+
+    Of equal (doc_id, text) rows one stays.
+    """
+    run = JaccardJoin(docs, words, num, den)
+    first = run.members().where("is_first AND n_shingles > 0").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
+    )
+    first = _write(first, "jaccard-first")
+    run.close()
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.where(has_word).withColumn("__doc_hash", F.xxhash64("text"))
+    same = Window.partitionBy(F.col("doc_id"), F.col("__doc_hash")).orderBy(F.lit(0))
+    kept = (
+        rows.join(first, rows["doc_id"].eqNullSafe(first["__id"]) & (rows["__doc_hash"] == first["__hash"]), "left_semi")
+        .withColumn("__nth", F.row_number().over(same))
+        .where(F.col("__nth") == 1)
+    )
+    return kept.select(*docs.columns).union(docs.where(~has_word))
+
+
 def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
     run = JaccardJoin(docs, words, num, den)

@@ -15,12 +15,15 @@ shingles under two more before the sets are compared:
 
 Equal sets are one class from the start, however many copies there are. The
 classes under one prefix shingle form a group, cut by set size into bands
-that any linked pair shares. While all pairs of not yet connected classes
-in the groups would be many more than the rows, each group only compares its
-members with one of them (another one each round), and connected classes
-are contracted; the pairs that are left are then all compared. No pair that
-could join two components is left out, so components are exact, and a group
-of many near copies costs about as many comparisons as it has members.
+that any linked pair shares; groups with the same leading member (by hash)
+are joined, so the many groups of one set of near copies become a few. Groups
+are compared in blocks of at most ``BLOCK`` by ``BLOCK`` sets: a block tests
+the overlap of the further orders' prefixes, then the sets, as matrix
+products, and gives back only links that join two components (all of them
+with ``prune=False``); pairs never leave it. Where the blocks would compare
+many more pairs than there are rows, groups first compare their members with
+one of them, another one each round, and connected classes are passed over
+afterwards. No pair that could join two components is left out.
 
 Texts are read twice: for the prefixes of all, and for the whole sets of the
 candidates. Words are runs of anything but ASCII white space, A-Z lowered;
@@ -42,14 +45,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from farecast.llm.common import map_slices
+from farecast.llm.common import bound_batches, map_slices
 from farecast.llm.components import components
 from farecast.llm.shingles import hashed_words, lowered, scramble, shingle_hashes
 from farecast.session import scratch_path
 
 LOW = (1 << 64) // 5  # hashes below are counted and come first in order one
 ORDERS = (1, 2)  # salts of the orders after the first
-ROUND_FACTOR = 2  # all pairs of a round are compared when there are at most so many times the rows
+PAIR_FACTOR = 1000  # more pairs than this many times the prefix rows are first thinned by stars
+BLOCK = 256  # sets of one side of a block
+FEW = 24  # candidate pairs that are compared one by one
 
 _META = T.StructType(
     [
@@ -61,14 +66,8 @@ _META = T.StructType(
         T.StructField("tokens", T.ArrayType(T.LongType())),
     ]
 )
-_SETS = T.StructType(
-    [
-        T.StructField("node", T.LongType()),
-        T.StructField("n", T.IntegerType()),
-        T.StructField("tokens", T.ArrayType(T.LongType())),
-        *[T.StructField(f"prefix{i}", T.ArrayType(T.LongType())) for i in ORDERS],
-    ]
-)
+_SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.BinaryType())])
+_LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
 def prefix_size(n: int, num: int, den: int) -> int:
@@ -111,28 +110,158 @@ def _prefixes(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return map_slices(docs, make, _META)
 
 
-def _whole_sets(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Whole sets of rows (node, key, text), with the prefixes of the further orders."""
+def _whole_sets(rows: DataFrame, words: int) -> DataFrame:
+    """Whole sets of rows (node, key, text) as bytes of ascending 64-bit hashes."""
 
     def make():
-        def first(s: np.ndarray, salt: int) -> np.ndarray:
-            p = prefix_size(len(s), num, den)
-            return s[np.argsort(scramble(s, salt), kind="stable")[:p]].view(np.int64)
-
         def fn(c):
             got = [
-                (node, s)
+                (node, s.tobytes())
                 for node, key, s in zip(c["node"], c["key"], _sets(c["text"], words))
                 if len(s) and _key(s) == key
             ]
-            out = {"node": [x for x, _ in got], "n": [len(s) for _, s in got], "tokens": [s.view(np.int64) for _, s in got]}
-            return out | {f"prefix{i}": [first(s, i) for _, s in got] for i in ORDERS}
+            return {"node": [x for x, _ in got], "tokens": [s for _, s in got]}
 
         return fn
 
     return map_slices(rows, make, _SETS)
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of values in both ascending arrays."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
+def _prefix(tokens: np.ndarray, salt: int, size: int) -> np.ndarray:
+    """The first ``size`` tokens under a further order, as their ranks, ascending."""
+    ranks = scramble(tokens, salt)
+    return np.sort(np.partition(ranks, size - 1)[:size] if size < len(ranks) else ranks)
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs, from products of 0/1 matrices over the tokens both sides have."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)), np.float32)
+    row = np.repeat(np.arange(len(left)), [len(x) for x in left])
+    col = np.repeat(np.arange(len(right)), [len(x) for x in right])
+    if not len(shared):
+        return out
+    for at in range(0, len(shared), 8192):
+        part = shared[at : at + 8192]
+        m = []
+        for values, where, n in ((a, row, len(left)), (b, col, len(right))):
+            i = np.searchsorted(part, values)
+            i[i == len(part)] = 0
+            hit = part[i] == values
+            x = np.zeros((n, len(part)), np.float32)
+            x[where[hit], i[hit]] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out
+
+
+class _Block:
+    """Sets of one block: side 0 against side 1, or side 0 with itself if there is no side 1."""
+
+    def __init__(self, num: int, den: int, prune: bool):
+        self.num, self.den, self.prune = num, den, prune
+        self.sides: tuple[list, list] = ([], [])
+
+    def add(self, side: int, node: int, comp: int, raw: bytes) -> None:
+        self.sides[side].append((node, comp, np.frombuffer(raw, np.uint64)))
+
+    def links(self) -> list[tuple[int, int]]:
+        left, right = self.sides
+        within = not right
+        right = left if within else right
+        if not left or (within and len(left) < 2):
+            return []
+        num, den = self.num, self.den
+        n = np.array([len(t) for _, _, t in left], np.int64)[:, None]
+        m = np.array([len(t) for _, _, t in right], np.int64)[None, :]
+        ok = np.minimum(n, m) * den >= np.maximum(n, m) * num
+        if self.prune:
+            ok &= np.array([c for _, c, _ in left])[:, None] != np.array([c for _, c, _ in right])[None, :]
+        else:
+            ok &= np.array([x for x, _, _ in left])[:, None] != np.array([x for x, _, _ in right])[None, :]
+        if within:
+            ok &= np.triu(np.ones(ok.shape, bool), 1)
+        few = ok.sum() <= FEW
+        for salt in ORDERS:
+            if not ok.any():
+                return []
+            a, b = ([_prefix(t, salt, prefix_size(len(t), num, den)) for _, _, t in side] for side in (left, right))
+            if few:
+                for i, j in zip(*np.nonzero(ok)):
+                    ok[i, j] = _common(a[i], b[j]) > 0
+            else:
+                ok &= _overlaps(a, b) > 0
+        pairs = list(zip(*(x.tolist() for x in np.nonzero(ok))))
+        if len(pairs) > FEW:
+            same = np.rint(_overlaps([t for _, _, t in left], [t for _, _, t in right])).astype(np.int64)
+            ok &= den * same >= num * (n + m - same)
+            pairs, tested = list(zip(*(x.tolist() for x in np.nonzero(ok)))), True
+        else:
+            tested = False
+        up: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := up.get(x, x)) != x:
+                up[x] = up.get(y, y)
+                x = y
+            return x
+
+        out = []
+        for i, j in pairs:
+            (x, cx, s), (y, cy, t) = left[i], right[j]
+            cx, cy = find(cx), find(cy)
+            if self.prune and cx == cy:
+                continue
+            if not tested:
+                same = _common(s, t)
+                if den * same < num * (len(s) + len(t) - same):
+                    continue
+            up[cx] = cy
+            out.append((min(x, y), max(x, y)))
+        return out
+
+
+def _verify(rows: DataFrame, num: int, den: int, prune: bool) -> DataFrame:
+    """Links among rows (block..., side, node, comp, tokens) that are sorted by block."""
+    bound_batches(rows.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+
+        name, block, found = None, _Block(num, den, prune), []
+        for got in batches:
+            c = got.to_pydict()
+            for s, g, y, z, side, node, comp, tokens in zip(*(c[k] for k in _SEAT), c["tokens"]):
+                if (s, g, y, z) != name:
+                    found += block.links()
+                    name, block = (s, g, y, z), _Block(num, den, prune)
+                block.add(side, node, comp, tokens)
+            yield _link_batch(pa, found)
+            found = []
+        yield _link_batch(pa, block.links())
+
+    return rows.mapInArrow(run, _LINKS)
+
+
+def _link_batch(pa, found: list[tuple[int, int]]):
+    return pa.RecordBatch.from_arrays(
+        [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"]
+    )
+
+
+_SEAT = ["s", "g", "y", "z", "side", "node", "comp"]
+
+
 def _band(odd: int, num: int, den: int):
     """Set sizes of a linked pair differ by at most num/den: their bands agree for one of the two offsets.
     The step is a little wider than den/num, so rounding of the logarithm can't part a pair."""
@@ -161,6 +290,7 @@ class JaccardJoin:
             .select("key", F.col("r.rid").alias("node"), "first_id", "r.doc_id", "r.text_hash", "r.n", "r.n_low")
         )
         self.groups = self._prefix_rows()
+        self.joined = self._joined_groups()
         self.sets, self.table = self._candidate_sets()
         self.links, self.comps = self._run()
 
@@ -185,12 +315,21 @@ class JaccardJoin:
         kept = ranked.where(~F.col("low") | (F.col("alone") + F.col("rank") <= size)).select("node", "token", "n")
         return _write(kept, "jaccard-groups")
 
+    def _joined_groups(self) -> DataFrame:
+        """(s, g, node): groups of two members or more, joined by their leading member s and band g."""
+        out = []
+        for odd in (0, 1):
+            rows = self.groups.withColumn("g", (2 * _band(odd, self.num, self.den) + odd).cast("int"))
+            first = F.min(F.struct(F.xxhash64("node").alias("h"), "node"))
+            leads = rows.groupBy("token", "g").agg(first.alias("f"), F.count(F.lit(1)).alias("k")).where("k > 1")
+            out.append(
+                rows.join(leads.select("token", "g", F.col("f.node").alias("s")), ["token", "g"]).select("s", "g", "node")
+            )
+        return _write(reduce(DataFrame.union, out).distinct(), "jaccard-joined")
+
     def _candidate_sets(self) -> tuple[DataFrame, str]:
         """Whole sets of the classes that share a group with another, bucketed by node."""
-        shared = (
-            self.groups.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("token")
-        )
-        nodes = self.groups.join(shared, "token").select("node").distinct()
+        nodes = self.joined.select("node").distinct()
         wanted = self.classes.join(nodes, "node").select("node", "key", F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))
         rows = self.docs.join(
             wanted, self.docs["doc_id"].eqNullSafe(wanted["id"]) & (self.docs["text_hash"] == wanted["h"])
@@ -199,89 +338,73 @@ class JaccardJoin:
         name = "jaccard_sets_" + path.rsplit("-", 1)[1]
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
-            _whole_sets(rows, self.words, self.num, self.den)
+            _whole_sets(rows, self.words)
             .repartition(parts, "node")
+            .dropDuplicates(["node"])
             .write.bucketBy(parts, "node")
-            .sortBy("node")
             .option("path", path)
             .saveAsTable(name)
         )
         return self.spark.table(name), name
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """(a, b) of the pairs that link: filters of the further orders first, then the sets."""
-        left = self.sets.select([F.col(c).alias(f"{c}_a") for c in self.sets.columns])
-        right = self.sets.select([F.col(c).alias(f"{c}_b") for c in self.sets.columns])
-        both = pairs.join(left, pairs["a"] == left["node_a"]).join(right, pairs["b"] == right["node_b"])
-        filters = [F.arrays_overlap(f"prefix{i}_a", f"prefix{i}_b") for i in ORDERS]
-        same = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        exact = F.lit(self.den) * same >= F.lit(self.num) * (F.col("n_a") + F.col("n_b") - same)
-        return both.where(reduce(lambda x, y: x & y, filters) & exact).select("a", "b").distinct()
-
-    def _in_groups(self, comps: DataFrame | None) -> list[DataFrame]:
-        """Rows (token, band, node, n, comp) for both band offsets, without groups that are connected."""
-        rows = self.groups.withColumn("comp", F.col("node"))
+    def _compared(self, seats: DataFrame) -> DataFrame:
+        """Links of the seats' blocks."""
+        rows = seats.select(*_SEAT).join(self.sets, "node").select(*_SEAT, "tokens")
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        blocks = rows.repartition(parts, *_SEAT[:4]).sortWithinPartitions(*_SEAT[:6])
+        return _write(_verify(blocks, self.num, self.den, self.prune), "jaccard-links")
+
+    def _open_groups(self, comps: DataFrame | None) -> DataFrame:
+        """(s, g, node, comp, k) of the groups that are not connected yet; k members."""
+        rows = self.joined.withColumn("comp", F.col("node"))
         if comps is not None:
-            rows = self.groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        return [rows.withColumn("band", _band(odd, self.num, self.den)) for odd in (0, 1)]
+            rows = self.joined.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        sizes = rows.groupBy("s", "g").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+        return rows.join(sizes.where("x < y").select("s", "g", "k"), ["s", "g"])
+
+    def _block_seats(self, rows: DataFrame) -> DataFrame:
+        """Every pair of parts of a group is a block; a part sits in all its blocks."""
+        m = F.ceil(F.col("k") / F.lit(BLOCK))
+        rows = rows.withColumn("m", m.cast("int")).withColumn("p", F.pmod(F.xxhash64("node", F.lit(7)), F.col("m")).cast("int"))
+        return rows.select("s", "g", "node", "comp", "p", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("q")).select(
+            "s", "g", F.least("p", "q").alias("y"), F.greatest("p", "q").alias("z"), (F.col("p") > F.col("q")).cast("int").alias("side"),
+            "node", "comp",
+        )
 
-    def _fits(self, n: str, m: str):
-        """Neither size is too small for the other."""
-        n, m = F.col(n).cast("long"), F.col(m).cast("long")
-        return F.least(n, m) * self.den >= F.greatest(n, m) * self.num
+    def _star_seats(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Every group's member of this turn against the others, in parts."""
+        rank = F.struct(F.xxhash64("node", F.lit(turn + 100)).alias("h"), "node", "comp")
+        centres = rows.groupBy("s", "g").agg(F.min(rank).alias("c"), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("m"))
+        part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("m")).cast("int")
+        others = rows.join(centres, ["s", "g"]).where(F.col("comp") != F.col("c.comp")).select(
+            "s", "g", F.lit(-1).alias("y"), part.alias("z"), F.lit(1).alias("side"), "node", "comp"
+        )
+        centre = centres.select(
+            "s", "g", F.lit(-1).alias("y"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("z"), F.lit(0).alias("side"),
+            F.col("c.node").alias("node"), F.col("c.comp").alias("comp"),
+        )
+        return others.union(centre)
 
-    def _run(self) -> tuple[DataFrame, DataFrame | None]:
+    def _run(self) -> tuple[DataFrame, DataFrame]:
         links: list[DataFrame] = []
-        comps, turn = None, 0
-        n_rows = self.groups.count()
+        comps, turn, before = None, 0, math.inf
+        bound = PAIR_FACTOR * self.joined.count()
         while True:
-            banded = self._in_groups(comps)
-            if not self.prune or self._pairs_left(banded) <= ROUND_FACTOR * n_rows:
-                links.append(_write(self._verified(self._all_pairs(banded)), "jaccard-links"))
+            rows = self._open_groups(comps)
+            left = self._pairs_left(rows) if self.prune else 0
+            if left <= bound or left > 0.7 * before:
+                links.append(self._compared(self._block_seats(rows)))
                 break
-            links.append(_write(self._verified(self._star_pairs(banded, turn)), "jaccard-links"))
-            comps, turn = components(reduce(DataFrame.union, links)), turn + 1
+            links.append(self._compared(self._star_seats(rows, turn)))
+            comps, turn, before = components(reduce(DataFrame.union, links)), turn + 1, left
         links = reduce(DataFrame.union, links).distinct()
         return links, components(links)
 
-    def _pairs_left(self, banded: list[DataFrame]) -> int:
+    def _pairs_left(self, rows: DataFrame) -> float:
         """How many pairs of unconnected classes the groups hold, from counts alone."""
-        total = 0
-        for rows in banded:
-            sizes = rows.groupBy("token", "band", "comp").agg(F.count(F.lit(1)).cast("double").alias("k"))
-            whole = sizes.groupBy("token", "band").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("k2"))
-            total += whole.agg(F.sum((F.col("k") * F.col("k") - F.col("k2")) / 2)).first()[0] or 0
-        return total / 2
-
-    def _star_pairs(self, banded: list[DataFrame], turn: int) -> DataFrame:
-        out = []
-        for rows in banded:
-            centre = F.min(F.struct(F.xxhash64(F.lit(turn), "comp").alias("h"), F.xxhash64("node", F.lit(turn)).alias("g"), "node", "n", "comp"))
-            centres = (
-                rows.groupBy("token", "band")
-                .agg(centre.alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-                .where("x < y")
-                .select("token", "band", F.col("c.node").alias("m"), F.col("c.n").alias("m_n"), F.col("c.comp").alias("m_comp"))
-            )
-            out.append(
-                rows.join(centres, ["token", "band"])
-                .where((F.col("comp") != F.col("m_comp")) & self._fits("n", "m_n"))
-                .select(F.least("node", "m").alias("a"), F.greatest("node", "m").alias("b"))
-            )
-        return reduce(DataFrame.union, out).distinct()
-
-    def _all_pairs(self, banded: list[DataFrame]) -> DataFrame:
-        out = []
-        for rows in banded:
-            mixed = rows.groupBy("token", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-            rows = rows.join(mixed.select("token", "band"), ["token", "band"])
-            other = rows.select("token", "band", F.col("node").alias("m"), F.col("n").alias("m_n"), F.col("comp").alias("m_comp"))
-            out.append(
-                rows.join(other, ["token", "band"])
-                .where((F.col("node") < F.col("m")) & (F.col("comp") != F.col("m_comp")) & self._fits("n", "m_n"))
-                .select(F.col("node").alias("a"), F.col("m").alias("b"))
-            )
-        return reduce(DataFrame.union, out).distinct()
+        sizes = rows.groupBy("s", "g", "comp").agg(F.count(F.lit(1)).cast("double").alias("k"))
+        whole = sizes.groupBy("s", "g").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("k2"))
+        return whole.agg(F.sum((F.col("k") * F.col("k") - F.col("k2")) / 2)).first()[0] or 0.0
 
     def members(self) -> DataFrame:
         """(doc_id, n_shingles, component_id, is_first, text_hash) per row; ``is_first`` marks one row of each component."""

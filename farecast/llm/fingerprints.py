@@ -131,12 +131,7 @@ def merge_by(prints: DataFrame, by: list[str], k: int = K, salts: int = 64) -> D
     hashes = prints.select(
         *keys,
         F.pmod(F.xxhash64("fingerprint"), F.lit(salts)).alias("__salt"),
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), (F.length("fingerprint") - 1) / 8),
-                lambda i: F.substr("fingerprint", (i * 8 + 2).cast("int"), F.lit(8)),
-            )
-        ).alias("__h"),
+        F.explode(F.expr("regexp_extract_all(substring(fingerprint, 2), '.{8}', 0)")).alias("__h"),
     ).withColumn("__v", F.hex(F.unbase64("__h")))
     hashes = hashes.where(F.col("__v") != "").dropDuplicates([*by, "__salt", "__v"])
     part = Window.partitionBy(*by, "__salt").orderBy("__v")

@@ -75,7 +75,8 @@ class Packer:
     """Packs one split; ``out`` collects rows (doc_id, start, ids, doc_tokens, sequence, offset)."""
 
     def __init__(self, capacity: int = CAPACITY, pool: int = POOL):
-        self.capacity, self.pool, self.out = capacity, pool, []
+        # a full pool always holds a window's worth of ids, as a piece has one at least
+        self.capacity, self.pool, self.out = capacity, max(pool, capacity), []
         self.waiting: dict[int, list[tuple]] = {}
         self.lengths: list[int] = []
         self.counts: dict[int, int] = {}

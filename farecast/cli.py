@@ -5,7 +5,7 @@
     ... train  --silver S --runs R [--run-id ID] [--rows 50000] [--train 0.7] [--validation 0.0] [--fit-on all|train]
     ... score  --silver S --runs R --run-id ID --out P [--year Y --month M]
     ... stream --bronze B --runs R --run-id ID --silver-log SL --prediction-log PL --checkpoint C
-               [--trigger availableNow|'10 seconds'] [--max-files N] [--timeout SECONDS]
+               [--trigger availableNow|'10 seconds'] [--max-bytes BYTES | --max-files N] [--timeout SECONDS]
                [--tables LOG_ROOT --buckets N]   (logs as bucketed tables named SL and PL)
 
 Each command prints one JSON line with what it did. All paths should be on
@@ -21,11 +21,11 @@ import sys
 from pyspark.sql import SparkSession
 
 from farecast.operators.keys import key_period
-from farecast.operators.model import load_run
+from farecast.operators.model import DEFAULT_DEPTH, DEFAULT_TREES, load_run
 from farecast.operators.sinks import create_upsert_table, replace_period
 from farecast.schemas import PREDICTION, SILVER
 from farecast.plans.flows import load_month, score_flow, train_flow
-from farecast.sources.files import read_table
+from farecast.sources.files import MONTHLY_FILE, read_table
 from farecast.streaming.stream import await_progress, run_stream, scoring_batch, stream_trips
 
 
@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--month", type=int, required=True)
     load.add_argument("--bronze", required=True)
     load.add_argument("--silver", required=True)
+    load.add_argument("--file", default=MONTHLY_FILE, help="name pattern of the monthly file, with {year} and {month}")
 
     counts = sub.add_parser("counts", help="rows per load period of a table")
     counts.add_argument("--silver", required=True)
@@ -51,8 +52,8 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--train", type=float, default=0.7)
     train.add_argument("--validation", type=float, default=0.0)
     train.add_argument("--fit-on", choices=["all", "train"], default="all")
-    train.add_argument("--trees", type=int, default=20)
-    train.add_argument("--depth", type=int, default=5)
+    train.add_argument("--trees", type=int, default=DEFAULT_TREES)
+    train.add_argument("--depth", type=int, default=DEFAULT_DEPTH)
 
     score = sub.add_parser("score", help="score silver (or one period) with a saved run")
     score.add_argument("--silver", required=True)
@@ -70,7 +71,8 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--prediction-log", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--trigger", default="availableNow")
-    stream.add_argument("--max-files", type=int, default=1)
+    stream.add_argument("--max-files", type=int)
+    stream.add_argument("--max-bytes", type=int, default=64 << 30, help="bound of a micro-batch without --max-files")
     stream.add_argument("--timeout", type=float)
     stream.add_argument("--tables", metavar="LOG_ROOT",
                         help="use bucketed upsert-log tables named by --silver-log/--prediction-log, "
@@ -83,7 +85,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"farecast-{args.cmd}").getOrCreate()
     if args.cmd == "load":
-        silver = load_month(spark, args.landing, args.year, args.month, args.bronze, args.silver)
+        silver = load_month(spark, args.landing, args.year, args.month, args.bronze, args.silver, template=args.file)
         out = {"period": [args.year, args.month], "rows": silver.count()}
     elif args.cmd == "counts":
         rows = read_table(spark, args.silver).groupBy("metadata_year", "metadata_month").count().collect()
@@ -106,7 +108,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             create_upsert_table(spark, args.silver_log, SILVER, f"{root}/silver_log", buckets=args.buckets)
             create_upsert_table(spark, args.prediction_log, PREDICTION, f"{root}/prediction_log", buckets=args.buckets)
         query = run_stream(
-            stream_trips(spark, args.bronze, max_files=args.max_files),
+            stream_trips(spark, args.bronze, max_files=args.max_files, max_bytes=args.max_bytes),
             scoring_batch(args.silver_log, args.prediction_log, run, table=bool(args.tables)),
             args.checkpoint,
             args.trigger,

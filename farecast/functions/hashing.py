@@ -1,14 +1,10 @@
 """Deterministic, partition-independent order and sampling hash.
 
-``hash_order(id) = ((id mod P) * M) mod P`` with P prime: a permutation of the
-residues, computable in Spark and in plain SQL alike, with no overflow for
-non-negative ids (P * P < 2**63). Sampling, top-n and the hashed split are all
-defined on this value, so they give the same rows whatever the partitioning.
-
-P is the Mersenne prime 2**31 - 1, so a hash value is shared by about
-rows / 2**31 rows: about 500 rows at 10**12 rows, which keeps threshold
-filters on the hash fine-grained at any table size. M is P times the golden
-ratio's fractional part, which spreads consecutive ids evenly.
+``hash_order(key, salt, seed)`` is the number in the first 15 hex digits of
+``md5(salt|seed|key)``: a mixing hash that Spark and plain SQL compute alike.
+Each purpose (sample, top-n, split) has its own salt, so a split of a sample
+is still a split, and each seed gives another order. A null key hashes as
+the text ``null``: it is sampled and split like any other key.
 """
 
 from __future__ import annotations
@@ -16,24 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values of the hash order
-HASH_MODULUS = 2147483647
-HASH_MULTIPLIER = 1327217885
-
-
-def multiplier_for_seed(seed: int | None, modulus: int = HASH_MODULUS) -> int:
-    """The multiplier plays the role of a sampling seed: each seed gives
-    another permutation of the ids. ``None`` gives the default order."""
-    if seed is None:
-        return HASH_MULTIPLIER
-    return 1 + (int(seed) * HASH_MULTIPLIER) % (modulus - 1)
+HASH_DIGITS = 15
+HASH_RANGE = 16**HASH_DIGITS
+SAMPLE, TOP, SPLIT = "sample", "top", "split"
 
 
-def hash_order(key: Column | str, multiplier: int = HASH_MULTIPLIER, modulus: int = HASH_MODULUS) -> Column:
+def hash_order(key: Column | str, salt: str = TOP, seed: int | None = None) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(k, F.lit(modulus)) * F.lit(multiplier), F.lit(modulus))
-
-
-def hash_order_sql(key: str, multiplier: int = HASH_MULTIPLIER, modulus: int = HASH_MODULUS) -> str:
-    """The same value as SQL text (for oracle queries)."""
-    return f"((({key}) % {modulus}) * {multiplier}) % {modulus}"
+    text = F.concat(F.lit(f"{salt}|{0 if seed is None else int(seed)}|"), F.coalesce(k.cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, HASH_DIGITS), 16, 10).cast("long")

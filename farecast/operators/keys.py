@@ -43,16 +43,9 @@ KEY_YEAR_FACTOR = 10**14
 
 
 def default_ranges(df: DataFrame) -> int:
-    """Number of ranges: the larger of ``spark.sql.shuffle.partitions`` and
-    the input's partition count (file splits of ``maxPartitionBytes``), so a
-    range never holds much more than one input split whatever the session's
-    shuffle setting. Reading the partition count plans the input; no job runs."""
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): the shuffle setting alone
-        splits = 0
-    return max(shuffle, splits)
+    """Number of ranges: ``spark.sql.shuffle.partitions``, as for any other
+    shuffle. Nothing is planned or run; callers with larger inputs pass their own."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_row_index(

@@ -18,11 +18,17 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farecast.operators.sampling import take_first
 from farecast.operators.scaling import Scaler, fit_scaler, inverse_scale, scale
 from farecast.schemas import FEATURES, METRICS, PREDICTION, SCALED_PREDICTION, conform
 
 # fixed values of the original model setup
 SEED = 12345
+DEFAULT_TREES = 100
+# "until the leaves are pure", as far as the library goes; all features at every split
+DEFAULT_DEPTH = 30
+DEFAULT_BINS = 512
+FIT_ROWS = 50_000  # at most so many train rows fit the forest (the first of the hash order)
 LABEL = "tip_amount"
 PREDICTED = "tip_amount_predicted"
 
@@ -49,23 +55,40 @@ def model_inputs(df: DataFrame) -> DataFrame:
                            "pickup_taxi_zone_id": F.col("pickup_taxi_zone_id").cast("int")})
 
 
-def forest_pipeline(num_trees: int = 20, max_depth: int = 5, seed: int = SEED, label: str = LABEL) -> Pipeline:
-    """Feature packing (P15) + random forest (L2)."""
+def forest_pipeline(
+    num_trees: int = DEFAULT_TREES,
+    max_depth: int = DEFAULT_DEPTH,
+    seed: int = SEED,
+    label: str = LABEL,
+    features: list[str] = FEATURES,
+    **options,
+) -> Pipeline:
+    """Feature packing (P15) + random forest (L2); ``options`` go to the forest."""
+    options = {"featureSubsetStrategy": "all", "maxBins": DEFAULT_BINS, **options}
     return Pipeline(
         stages=[
-            VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
+            VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
             RandomForestRegressor(
                 featuresCol="features", labelCol=label, predictionCol="prediction",
-                numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                numTrees=num_trees, maxDepth=max_depth, seed=seed, **options,
             ),
         ]
     )
 
 
-def fit_forest(scaled_split: DataFrame, num_trees: int = 20, max_depth: int = 5, seed: int = SEED) -> PipelineModel:
-    """Fit on the 'train' rows of a scaled split (F1 + L2)."""
-    train = model_inputs(scaled_split.where(F.col("data_type") == F.lit("train")))
-    return forest_pipeline(num_trees, max_depth, seed).fit(train)
+def fit_forest(
+    scaled_split: DataFrame,
+    num_trees: int = DEFAULT_TREES,
+    max_depth: int = DEFAULT_DEPTH,
+    seed: int = SEED,
+    fit_rows: int | None = FIT_ROWS,
+    **options,
+) -> PipelineModel:
+    """Fit on the 'train' rows of a scaled split (F1 + L2), at most ``fit_rows`` of them (``None``: all)."""
+    train = scaled_split.where(F.col("data_type") == F.lit("train"))
+    if fit_rows is not None:
+        train = take_first(train, fit_rows)
+    return forest_pipeline(num_trees, max_depth, seed, **options).fit(model_inputs(train))
 
 
 def predict_scaled(model: PipelineModel, df: DataFrame, out: str = "scaled_predicted_tip_amount") -> DataFrame:
@@ -109,9 +132,12 @@ def load_run(spark: SparkSession, root: str, run_id: str) -> Run:
     return Run(run_id, root, PipelineModel.load(f"{path}/model"), Scaler(float(row["mean"]), float(row["std"])))
 
 
-def record_metrics(metrics: DataFrame, root: str, run_id: str) -> None:
-    """Append the run's metric rows to ``root/metrics`` (K9)."""
-    metrics.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{root.rstrip('/')}/metrics")
+def record_metrics(metrics: DataFrame, root: str, run_id: str) -> DataFrame:
+    """Write the run's metric rows below ``root/metrics`` (K9) and return them
+    as read back. One partition per run: recording a run again replaces it."""
+    path = f"{root.rstrip('/')}/metrics/run_id={run_id}"
+    metrics.write.mode("overwrite").parquet(path)
+    return metrics.sparkSession.read.schema(metrics.schema).parquet(path)
 
 
 @dataclass
@@ -126,12 +152,14 @@ def train_run(
     root: str,
     run_id: str | None = None,
     fit_on: str = "all",
-    num_trees: int = 20,
-    max_depth: int = 5,
+    num_trees: int = DEFAULT_TREES,
+    max_depth: int = DEFAULT_DEPTH,
     seed: int = SEED,
     save: bool = True,
     with_r2: bool = False,
     partitions: int | None = None,
+    fit_rows: int | None = FIT_ROWS,
+    **options,
 ) -> TrainResult:
     """Scale, fit, predict on train + test, evaluate, save.
 
@@ -147,13 +175,13 @@ def train_run(
     split = split.repartition(partitions, "trip_id").checkpoint(eager=True)
     scaler = fit_scaler(split, LABEL, fit_on)
     scaled = scale(split, scaler, LABEL)
-    model = fit_forest(scaled, num_trees, max_depth, seed)
+    model = fit_forest(scaled, num_trees, max_depth, seed, fit_rows, **options)
     run = Run(run_id, root, model, scaler)
     pred = predict_scaled(model, scaled, PREDICTED).select("trip_id", "data_type", LABEL, PREDICTED)
     metrics = evaluate(pred, with_r2=with_r2)
     if save:
         save_run(run)
-        record_metrics(metrics, root, run_id)
+        metrics = record_metrics(metrics, root, run_id)
     return TrainResult(run, pred, metrics)
 
 

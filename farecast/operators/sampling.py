@@ -1,83 +1,64 @@
 """Deterministic sampling, top-n and train/test splits.
 
-All of them order rows by ``hash_order(trip_id)`` then ``trip_id``, a total
+All of them order rows by a salted hash of the key, then the key: a total
 order that does not depend on partitioning, so every run and every engine
-picks the same rows.
+picks the same rows. Sample, top-n and split use different salts.
 
 * ``sample_fraction`` (N1): keep rows whose hash falls below a threshold --
   a per-row filter, no shuffle.
 * ``take_first`` (N2): the first ``n`` rows of the hash order. One aggregate
   over the key column counts all rows and the rows below each power of two;
   the smallest power with at least ``n`` rows below it leaves fewer than
-  about ``2 n`` candidates (hashes are uniform, and half that threshold holds
-  fewer than ``n``). Only those candidates reach the
-  final top-n, so the one merging task sees O(n) rows whatever the table
-  size, and the table is scanned twice in all.
+  about ``2 n`` candidates, which the distributed row index ranks.
 * ``split_exact`` (N3 + N4): positional split of the hash order,
-  ``int(fraction * rows)`` train rows, tagged in one pass with a CASE. The
-  rank is a single-task window only when the input's counted size is within
-  ``max_single_task_rows``; larger inputs get the distributed index of
-  ``with_row_index``.
-* ``split_hashed`` (N3 at scale): train iff ``hash < fraction * modulus``,
-  per row.
+  ``int(fraction * rows)`` train rows, ranked by the distributed row index at
+  every size and tagged in one pass with a CASE.
+* ``split_hashed`` (N3 at scale): train iff ``hash < fraction * range``, per row.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farecast.functions.hashing import HASH_MODULUS, HASH_MULTIPLIER, hash_order, multiplier_for_seed
+from farecast.functions.hashing import HASH_RANGE, SAMPLE, SPLIT, TOP, hash_order
 from farecast.operators.keys import with_row_index
 
 _H = "__hash"
 _RANK = "__rank"
 DEFAULT_SAMPLE_ROWS = 50000
 DEFAULT_TRAIN_FRACTION = 0.7
-MAX_SINGLE_TASK_ROWS = 1_000_000
 
 
-def _threshold(fraction: float, modulus: int = HASH_MODULUS) -> int:
-    return min(modulus, math.ceil(fraction * modulus))
+def _threshold(fraction: float) -> int:
+    return min(HASH_RANGE, math.ceil(fraction * HASH_RANGE))
 
 
-def sample_fraction(
-    df: DataFrame,
-    fraction: float,
-    key: str = "trip_id",
-    multiplier: int = HASH_MULTIPLIER,
-    seed: int | None = None,
-) -> DataFrame:
-    """Rows whose hash order lies in the first ``fraction`` of the hash range.
+def sample_fraction(df: DataFrame, fraction: float, key: str = "trip_id", seed: int | None = None) -> DataFrame:
+    """Rows whose hash lies in the first ``fraction`` of the hash range.
 
     ``fraction=1.0`` keeps every row. The kept set only grows with the
-    fraction, and the first ``n`` rows of the hash order are the first ``n``
-    of any sample that holds at least ``n`` rows. ``seed`` picks another
-    hash order (it overrides ``multiplier``).
+    fraction. ``seed`` picks another hash order.
     """
-    if fraction >= 1.0:
-        return df
-    m = multiplier_for_seed(seed) if seed is not None else multiplier
-    return df.where(hash_order(key, m) < F.lit(_threshold(fraction)))
+    return df.where(hash_order(key, SAMPLE, seed) < F.lit(_threshold(fraction)))
 
 
-def hash_threshold(df: DataFrame, n: int, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER) -> tuple[int, int]:
+def hash_threshold(df: DataFrame, n: int, key: str = "trip_id", seed: int | None = None) -> tuple[int, int]:
     """``(rows, t)``: the row count and the smallest power of two ``t`` with at
-    least ``n`` rows of hash below it (``t = P`` keeps every row).
+    least ``n`` rows of hash below it (``t = HASH_RANGE`` keeps every row).
 
     One aggregate job: rows are counted per bit length of their hash (at most
-    32 groups, combined map-side); the rows below ``2**k`` are those with bit
+    61 groups, combined map-side); the rows below ``2**k`` are those with bit
     length <= k.
     """
-    h = hash_order(key, multiplier)
+    h = hash_order(key, TOP, seed)
     bits = F.when(h == F.lit(0), F.lit(0)).otherwise(F.length(F.bin(h)))
     per_length = dict(df.select(bits.alias("b")).groupBy("b").count().collect())
-    total = sum(per_length.values())
-    chosen = HASH_MODULUS
-    below = total - per_length.get(31, 0)  # rows with hash < 2**30
-    for k in range(30, -1, -1):
+    total = below = sum(per_length.values())
+    chosen = HASH_RANGE
+    for k in range(HASH_RANGE.bit_length() - 1, -1, -1):
         if below < n:
             break
         chosen = 2**k
@@ -86,58 +67,28 @@ def hash_threshold(df: DataFrame, n: int, key: str = "trip_id", multiplier: int
 
 
 def take_first_counted(
-    df: DataFrame,
-    n: int = DEFAULT_SAMPLE_ROWS,
-    key: str = "trip_id",
-    multiplier: int = HASH_MULTIPLIER,
-    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
+    df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", seed: int | None = None
 ) -> tuple[DataFrame, int]:
-    """``take_first`` plus the number of rows it returns, ``min(rows, n)``.
-
-    Up to ``max_single_task_rows`` the candidates meet in one top-n task
-    (``TakeOrderedAndProject``); a larger ``n`` ranks the candidates with the
-    distributed ``with_row_index`` and keeps ranks below ``n``.
-    """
-    df = df.where(F.col(key).isNotNull())
-    total, t = hash_threshold(df, n, key, multiplier)
+    """``take_first`` plus the number of rows it returns, ``min(rows, n)``."""
+    total, t = hash_threshold(df, n, key, seed)
     if total <= n:
         return df, total
-    hashed = df.withColumn(_H, hash_order(key, multiplier))
-    candidates = hashed.where(F.col(_H) < F.lit(t)) if t < HASH_MODULUS else hashed
-    if n <= max_single_task_rows:
-        return candidates.orderBy(_H, key).limit(n).drop(_H), n
+    hashed = df.withColumn(_H, hash_order(key, TOP, seed))
+    candidates = hashed.where(F.col(_H) < F.lit(t))
     ranked = with_row_index(candidates, [_H, key], [], _RANK)
     return ranked.where(F.col(_RANK) < F.lit(n)).drop(_H, _RANK), n
 
 
 def take_first(
-    df: DataFrame,
-    n: int = DEFAULT_SAMPLE_ROWS,
-    key: str = "trip_id",
-    multiplier: int = HASH_MULTIPLIER,
-    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
+    df: DataFrame, n: int = DEFAULT_SAMPLE_ROWS, key: str = "trip_id", seed: int | None = None
 ) -> DataFrame:
-    """The first ``n`` rows by (hash order, key); all rows if there are fewer.
-    Rows with a NULL key have no place in the order and are never taken."""
-    return take_first_counted(df, n, key, multiplier, max_single_task_rows)[0]
+    """The first ``n`` rows by (hash order, key); all rows if there are fewer."""
+    return take_first_counted(df, n, key, seed)[0]
 
 
-def hash_rank(
-    df: DataFrame,
-    key: str = "trip_id",
-    name: str = _RANK,
-    multiplier: int = HASH_MULTIPLIER,
-    total: int | None = None,
-    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Add ``name``: 0-based position of the row in (hash order, key)."""
-    total = df.count() if total is None else total
-    hashed = df.withColumn(_H, hash_order(key, multiplier))
-    if total <= max_single_task_rows:
-        ranked = hashed.withColumn(name, F.row_number().over(Window.orderBy(_H, key)) - F.lit(1))
-    else:
-        ranked = with_row_index(hashed, [_H, key], [], name)
-    return ranked.drop(_H)
+def hash_rank(df: DataFrame, key: str = "trip_id", name: str = _RANK, seed: int | None = None) -> DataFrame:
+    """Add ``name``: 0-based position of the row in (split hash, key)."""
+    return with_row_index(df.withColumn(_H, hash_order(key, SPLIT, seed)), [_H, key], [], name).drop(_H)
 
 
 def split_exact(
@@ -145,7 +96,7 @@ def split_exact(
     train: float = DEFAULT_TRAIN_FRACTION,
     validation: float = 0.0,
     key: str = "trip_id",
-    multiplier: int = HASH_MULTIPLIER,
+    seed: int | None = None,
     total: int | None = None,
 ) -> DataFrame:
     """Tag ``data_type``: the first ``int(train * rows)`` rows of the hash
@@ -154,20 +105,19 @@ def split_exact(
     total = df.count() if total is None else total
     k_train = int(train * total)
     k_val = int(validation * total)
-    ranked = hash_rank(df, key, _RANK, multiplier, total)
     r = F.col(_RANK)
     tag = F.when(r < F.lit(k_train), F.lit("train"))
     if k_val:
         tag = tag.when(r < F.lit(k_train + k_val), F.lit("validation"))
-    return ranked.withColumn("data_type", tag.otherwise(F.lit("test"))).drop(_RANK)
+    return hash_rank(df, key, _RANK, seed).withColumn("data_type", tag.otherwise(F.lit("test"))).drop(_RANK)
 
 
 def split_hashed(
-    df: DataFrame, train: float = DEFAULT_TRAIN_FRACTION, key: str = "trip_id", multiplier: int = HASH_MULTIPLIER
+    df: DataFrame, train: float = DEFAULT_TRAIN_FRACTION, key: str = "trip_id", seed: int | None = None
 ) -> DataFrame:
     """Tag ``data_type`` per row: 'train' iff the hash lies in the first
     ``train`` share of the hash range. No count, no shuffle."""
-    h = hash_order(key, multiplier)
+    h = hash_order(key, SPLIT, seed)
     return df.withColumn(
         "data_type", F.when(h < F.lit(_threshold(train)), F.lit("train")).otherwise(F.lit("test"))
     )

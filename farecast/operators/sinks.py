@@ -6,12 +6,13 @@
   periods present in the frame are replaced, in one job, and a re-run of the
   same load gives the same table.
 * ``upsert`` / ``latest`` (K3, J2): MERGE by key (matched -> update, else
-  insert) as an append-only log partitioned by ``batch_id`` plus a
-  latest-wins view. Writing a batch replaces only its own ``batch_id``
-  partition, so a replayed micro-batch changes nothing. The view keeps, per
-  key, the row of the highest batch -- one aggregate, no join.
+  insert) as a log plus a latest-wins view. A batch is one partition
+  (writer, batch id) and carries the log's next sequence number; writing it
+  replaces only that partition and keeps its number, so a replayed batch
+  changes nothing and a second writer never touches the first one's. The
+  view keeps, per key, the row with the highest number.
 * ``compact`` rewrites the view into a new directory (never over the path
-  being read).
+  being read) under a reserved writer.
 * ``create_upsert_table`` / ``upsert_into`` / ``latest_of_table``: the same
   log as a catalog table bucketed by key. Every batch is written into the
   same buckets, so the latest-wins view reads bucket by bucket and needs no
@@ -21,14 +22,19 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 BATCH_COL = "batch_id"
+WRITER_COL = "writer"
+SEQUENCE_COL = "__sequence"
+DEFAULT_WRITER = "default"
+COMPACTED = "_compacted"
 
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -39,56 +45,100 @@ def append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: st
 
 
 def replace_period(
-    df: DataFrame, path: str, period_cols: Sequence[str] = ("metadata_year", "metadata_month")
+    df: DataFrame,
+    path: str,
+    period_cols: Sequence[str] = ("metadata_year", "metadata_month"),
+    period: Sequence[int] | None = None,
 ) -> None:
-    """Replace the periods present in ``df`` and leave all others untouched."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*period_cols)
-        .parquet(path)
+    """Replace periods of the table at ``path`` and leave all others untouched.
+
+    With ``period`` exactly that one is replaced, also by no rows at all;
+    rows of other periods in ``df`` are an error of the caller and are not
+    written. Without it the periods present in ``df`` are replaced.
+    """
+    if period is None:
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*period_cols).parquet(path)
+        return
+    where = "/".join(f"{c}={int(v)}" for c, v in zip(period_cols, period, strict=True))
+    for c, v in zip(period_cols, period):
+        df = df.where(F.col(c) == F.lit(int(v)))
+    df.drop(*period_cols).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{where}")
+
+
+def _check_unique(batch: DataFrame, key: str, batch_id: int) -> None:
+    """No key twice, none null (a null key matches nothing, so it would be lost in the view)."""
+    dup = batch.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).limit(1).collect()
+    if dup and dup[0][key] is None:
+        raise ValueError(f"batch {batch_id} holds a row without a key")
+    if dup:
+        raise ValueError(f"batch {batch_id} holds key {dup[0][key]} more than once")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _next_sequence(log: DataFrame | None, writer: str, batch_id: int) -> int:
+    """The number the batch has already, else one more than the highest in the log."""
+    if log is None:
+        return 0
+    mine = (F.col(WRITER_COL) == F.lit(writer)) & (F.col(BATCH_COL) == F.lit(int(batch_id)))
+    got = log.agg(F.max(F.when(mine, F.col(SEQUENCE_COL))), F.max(SEQUENCE_COL)).first()
+    return got[0] if got[0] is not None else -1 if got[1] is None else got[1] + 1
+
+
+def _numbers(spark: SparkSession, path: str) -> DataFrame | None:
+    if not _exists(spark, path):
+        return None
+    schema = StructType(
+        [StructField(SEQUENCE_COL, LongType()), StructField(WRITER_COL, StringType()), StructField(BATCH_COL, LongType())]
     )
+    return spark.read.schema(schema).parquet(path)
 
 
 def upsert(
-    batch: DataFrame, path: str, batch_id: int, key: str = "trip_id", check_unique: bool = True
+    batch: DataFrame,
+    path: str,
+    batch_id: int,
+    key: str = "trip_id",
+    check_unique: bool = True,
+    writer: str = DEFAULT_WRITER,
 ) -> None:
     """Write one batch of keyed rows into the log at ``path``.
 
     A key may appear once per batch (as MERGE requires); with
-    ``check_unique`` the written partition is checked from its key column and
-    a duplicate fails the call (the partition stays until the batch is
-    replayed with corrected rows, which overwrites it).
+    ``check_unique`` a batch with a duplicate fails before anything is
+    written. ``writer`` names who counts the batch ids, e.g. a stream's query
+    id. An empty batch leaves an empty partition.
     """
     spark = batch.sparkSession
-    (
-        batch.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COL)
-        .parquet(path)
-    )
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", writer):
+        raise ValueError(f"not a writer name: {writer!r}")
     if check_unique:
-        key_only = StructType([batch.schema[key]])  # a known schema: no footer-reading job
-        part = spark.read.schema(key_only).parquet(batch_partition(path, batch_id))
-        dup = part.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"batch {batch_id} holds key {dup[0][key]} more than once")
+        _check_unique(batch, key, batch_id)
+    number = max(0, _next_sequence(_numbers(spark, path), writer, batch_id))
+    batch.withColumn(SEQUENCE_COL, F.lit(number).cast("long")).write.mode("overwrite").parquet(
+        batch_partition(path, batch_id, writer)
+    )
 
 
-def batch_partition(path: str, batch_id: int) -> str:
+def batch_partition(path: str, batch_id: int, writer: str = DEFAULT_WRITER) -> str:
     """Directory of one batch inside an upsert log."""
-    return f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
+    return f"{path.rstrip('/')}/{WRITER_COL}={writer}/{BATCH_COL}={int(batch_id)}"
 
 
 def _newest_per_key(log: DataFrame, key: str) -> DataFrame:
-    cols = [c for c in log.columns if c not in (key, BATCH_COL)]
-    newest = F.max(F.struct(F.col(BATCH_COL), *[F.col(c) for c in cols])).alias("__row")
-    return log.groupBy(key).agg(newest).select(key, *[F.col(f"__row.{c}").alias(c) for c in cols])
+    """A narrow aggregate (key -> highest number) joined back to the log."""
+    newest = log.groupBy(key).agg(F.max(SEQUENCE_COL).alias("__newest"))
+    # ">=" says the same as "=" here and stays out of the join keys, so buckets by key still match
+    rows = log.join(newest, key).where(F.col(SEQUENCE_COL) >= F.col("__newest"))
+    return rows.drop("__newest", SEQUENCE_COL, BATCH_COL, WRITER_COL)
 
 
 def latest(spark: SparkSession, path: str, key: str = "trip_id") -> DataFrame:
-    """Latest-wins view of an upsert log: per key the row of its highest batch."""
+    """Latest-wins view of an upsert log: per key the row of its latest batch."""
     return _newest_per_key(spark.read.parquet(path), key)
 
 
@@ -96,38 +146,43 @@ def create_upsert_table(
     spark: SparkSession, name: str, schema: StructType, path: str, key: str = "trip_id", buckets: int = 64
 ) -> None:
     """Create (if absent) an upsert log table at ``path``: partitioned by
-    ``batch_id``, bucketed and sorted by ``key`` into ``buckets`` buckets.
+    writer and ``batch_id``, bucketed and sorted by ``key`` into ``buckets`` buckets.
     Size ``buckets`` for the whole log (e.g. log size / 256 MB); it is fixed
     for the life of the table."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != BATCH_COL)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {BATCH_COL} BIGINT) USING parquet "
-        f"PARTITIONED BY ({BATCH_COL}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS "
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {SEQUENCE_COL} BIGINT, {WRITER_COL} STRING, {BATCH_COL} BIGINT) "
+        f"USING parquet PARTITIONED BY ({WRITER_COL}, {BATCH_COL}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS "
         f"LOCATION '{path}'"
     )
 
 
-def upsert_into(batch: DataFrame, name: str, batch_id: int, key: str = "trip_id", check_unique: bool = True) -> None:
+def upsert_into(
+    batch: DataFrame,
+    name: str,
+    batch_id: int,
+    key: str = "trip_id",
+    check_unique: bool = True,
+    writer: str = DEFAULT_WRITER,
+) -> None:
     """Write one batch into an upsert log table, replacing only its own
-    ``batch_id`` partition (a replay changes nothing).
-
-    The key check reads the written partition's key column; a batch that
-    fails it stays written until it is replayed with corrected rows, which
-    overwrites the same partition.
-    """
+    partition (a replay changes nothing). A batch with a duplicate key fails
+    before anything is written."""
     spark = batch.sparkSession
-    table_cols = [c for c in spark.table(name).columns if c != BATCH_COL]
+    if check_unique:
+        _check_unique(batch, key, batch_id)
+    table = spark.table(name)
+    number = max(0, _next_sequence(table, writer, batch_id))
+    cols = [c for c in table.columns if c not in (SEQUENCE_COL, WRITER_COL, BATCH_COL)]
     view = f"__upsert_batch_{uuid.uuid4().hex[:12]}"
-    batch.select(*table_cols).createOrReplaceTempView(view)
-    cols = ", ".join(f"`{c}`" for c in table_cols)
+    batch.select(*cols).createOrReplaceTempView(view)
+    quoted = ", ".join(f"`{c}`" for c in cols)
     # a static partition spec replaces exactly this batch's partition
-    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH_COL} = {int(batch_id)}) SELECT {cols} FROM {view}")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({WRITER_COL} = '{writer}', {BATCH_COL} = {int(batch_id)}) "
+        f"SELECT {quoted}, CAST({number} AS BIGINT) FROM {view}"
+    )
     spark.catalog.dropTempView(view)
-    if check_unique:
-        part = spark.table(name).where(F.col(BATCH_COL) == F.lit(int(batch_id))).select(key)
-        dup = part.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"batch {batch_id} holds key {dup[0][key]} more than once")
 
 
 def latest_of_table(spark: SparkSession, name: str, key: str = "trip_id") -> DataFrame:
@@ -137,10 +192,13 @@ def latest_of_table(spark: SparkSession, name: str, key: str = "trip_id") -> Dat
 
 
 def compact(spark: SparkSession, path: str, new_path: str, key: str = "trip_id") -> DataFrame:
-    """Rewrite the latest-wins view as batch 0 of a new log at ``new_path``."""
+    """Rewrite the latest-wins view into a new log at ``new_path``.
+
+    The rows go to the reserved writer's partition, so no later batch of any
+    writer replaces them, and later batches number higher."""
     if new_path.rstrip("/") == path.rstrip("/"):
         raise ValueError("compact into a new directory, not over the log being read")
-    upsert(latest(spark, path, key), new_path, 0, key, check_unique=False)
+    upsert(latest(spark, path, key), new_path, 0, key, check_unique=False, writer=COMPACTED)
     return spark.read.parquet(new_path)
 
 
@@ -153,10 +211,20 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Reset a catalog target before a run (K5)."""
+    """Remove a table from the catalog (an external table's files stay)."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def reset(spark: SparkSession, name: str | None = None, *paths: str) -> None:
+    """Reset a target before a run (K5): drop the table and delete the given
+    data and checkpoint folders."""
+    if name:
+        drop_table(spark, name)
+    for p in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(p)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def sql_over(df: DataFrame, view: str, query: str) -> DataFrame:
     """Run SQL over a frame through a temp view on the frame's own session (K6)."""
     df.createOrReplaceTempView(view)

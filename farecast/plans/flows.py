@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from farecast.operators.features import model_matrix
-from farecast.operators.model import Run, TrainResult, score, train_run
+from farecast.operators.model import DEFAULT_DEPTH, DEFAULT_TREES, Run, TrainResult, score, train_run
 from farecast.operators.sampling import DEFAULT_SAMPLE_ROWS, DEFAULT_TRAIN_FRACTION, split_exact, take_first_counted
 from farecast.operators.silver import TRIP_ORDER, load_bronze, to_silver
 from farecast.operators.sinks import ensure_database, materialize, replace_period
-from farecast.sources.files import read_table, read_trips
+from farecast.schemas import BRONZE, SILVER
+from farecast.sources.files import MONTHLY_FILE, read_table, read_trips
 from farecast.sources.fixtures import events_table, raw_trips_from_events
 
 
@@ -33,23 +34,30 @@ def load_month(
     bronze_path: str,
     silver_path: str | None = None,
     order_cols: Sequence[str] = TRIP_ORDER,
+    template: str = MONTHLY_FILE,
 ) -> DataFrame:
     """Load one monthly file: scan, tag, key, replace the period in bronze
     (and silver when ``silver_path`` is given). Returns the period's silver."""
-    bronze = load_bronze(read_trips(spark, landing, year, month), year, month, order_cols=order_cols)
-    replace_period(bronze, bronze_path)
-    silver = to_silver(read_table(spark, bronze_path, (year, month)))
+    raw = read_trips(spark, landing, year, month, template=template)
+    bronze = load_bronze(raw, year, month, order_cols=order_cols)
+    replace_period(bronze, bronze_path, period=(year, month))
+    silver = to_silver(read_table(spark, bronze_path, (year, month), schema=BRONZE))
     if silver_path:
-        replace_period(silver, silver_path)
-        return read_table(spark, silver_path, (year, month))
+        replace_period(silver, silver_path, period=(year, month))
+        return read_table(spark, silver_path, (year, month), schema=SILVER)
     return silver
 
 
 def training_split(
-    silver: DataFrame, rows: int = DEFAULT_SAMPLE_ROWS, train: float = DEFAULT_TRAIN_FRACTION, validation: float = 0.0
+    silver: DataFrame,
+    rows: int | None = DEFAULT_SAMPLE_ROWS,
+    train: float = DEFAULT_TRAIN_FRACTION,
+    validation: float = 0.0,
 ) -> DataFrame:
-    """matrix -> first ``rows`` of the hash order -> positional train /
-    (optional) validation / test split."""
+    """matrix -> first ``rows`` of the hash order (``None``: all rows) ->
+    positional train / (optional) validation / test split."""
+    if rows is None:
+        return split_exact(model_matrix(silver), train, validation)
     sample, count = take_first_counted(model_matrix(silver), rows)
     return split_exact(sample, train, validation, total=count)
 
@@ -61,8 +69,8 @@ def train_flow(
     rows: int = DEFAULT_SAMPLE_ROWS,
     train: float = DEFAULT_TRAIN_FRACTION,
     fit_on: str = "all",
-    num_trees: int = 20,
-    max_depth: int = 5,
+    num_trees: int = DEFAULT_TREES,
+    max_depth: int = DEFAULT_DEPTH,
     validation: float = 0.0,
 ) -> TrainResult:
     """Sample, split, scale, fit and save; metrics get one row per split."""
@@ -83,5 +91,5 @@ def materialized_flow(bronze: DataFrame, run: Run, root: str, database: str | No
     names = (f"{database}.bronze_trips", f"{database}.predictions") if database else (None, None)
     if database:
         ensure_database(bronze.sparkSession, database)
-    stored = materialize(bronze, f"{root}/bronze_trips", names[0], "Loading data from the bronze trips")
-    return materialize(score_flow(to_silver(stored), run), f"{root}/predictions", names[1], "Prediction")
+    stored = materialize(bronze, f"{root}/bronze_trips", names[0], "Keyed raw trips as loaded")
+    return materialize(score_flow(to_silver(stored), run), f"{root}/predictions", names[1], "Predicted tip per trip")

@@ -1,22 +1,61 @@
 """Equivalent ANSI SQL (DuckDB dialect) of the registered queries.
 
-Written independently of the Spark code from the same rules: the adaptor of
-``farecast.sources.fixtures``, a global ``row_number`` for the index, CASE
-tables for the labels. Outputs use double for money and text for times, the
-same projection as ``farecast.functions.scalar.comparable``.
+Written from the rules alone: nothing here comes from the code under test.
+The adaptor's mappings and the labels are repeated as literals, the index is
+a global ``row_number``, the hash is SQL's own md5. Outputs use double for
+money and text for times.
 """
 
 from __future__ import annotations
 
-from farecast.functions.codes import PAYMENT_FLAG_LABELS, PAYMENT_LABELS, PROVIDER_CODE_1, PROVIDER_OTHER, RATE_LABELS
-from farecast.functions.hashing import hash_order_sql
-from farecast.sources.fixtures import CONSTANT_MONEY, ERROR_PAYMENT, EVENT_PAYMENT, FIXTURE_MONTHS, FIXTURE_YEAR
+# fixed values: labels and codes of the original tables
+PROVIDER_CODE_1 = "Creative Mobile Technologies"
+PROVIDER_OTHER = "VeriFone Inc."
+RATE_LABELS = {
+    1: "standard rate",
+    2: "JFK",
+    3: "Newark",
+    4: "Nassau/Westchester",
+    5: "negotiated rate",
+    6: "group_ride",
+}
+PAYMENT_LABELS = {
+    1: "credit card",
+    2: "cash",
+    3: "no charge",
+    4: "dispute",
+    6: "voided trip",
+}
+PAYMENT_FLAG_LABELS = {
+    "payment_cash": "cash",
+    "payment_no_charge": "no charge",
+    "payment_credit_card": "credit card",
+    "payment_dispute": "dispute",
+}
+# fixed values of the adaptor
+FIXTURE_YEAR = 2022
+FIXTURE_MONTHS = {0: 1, 1: 11, 2: 12}
+EVENT_PAYMENT = {"purchase": 1, "click": 2, "view": 3, "signup": 4}
+ERROR_PAYMENT = {0: 5, 1: 6}
+CONSTANT_MONEY = {
+    "extra": "0.50",
+    "mta_tax": "0.50",
+    "improvement_surcharge": "0.30",
+    "tolls_amount": "0.00",
+    "congestion_surcharge": "2.50",
+    "airport_fee": "0.00",
+}
 
 TS_FMT = "%Y-%m-%d %H:%M:%S.%f"
-SAMPLE_ROWS = 50000
+TOP_ROWS = 1000
+HASH_RANGE = 16**15
 TRAIN_FRACTION = 0.7
 
 
+def hash_sql(salt: str, key: str = "trip_id") -> str:
+    return f"CAST('0x' || substr(md5('{salt}|0|' || CAST({key} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
 def _case(key: str, mapping: dict, default: str = "NULL") -> str:
     def lit(v):
         return f"'{v}'" if isinstance(v, str) else str(v)
@@ -97,17 +136,17 @@ def matrix_cte() -> str:
   FROM silver)"""
 
 
-def sample_cte(n: int = SAMPLE_ROWS) -> str:
+def sample_cte(n: int = TOP_ROWS) -> str:
     return f"""sample AS (
-  SELECT *, {hash_order_sql('trip_id')} AS h FROM matrix
+  SELECT * EXCLUDE (h) FROM (SELECT *, {hash_sql('top')} AS h FROM matrix)
   ORDER BY h, trip_id LIMIT {n})"""
 
 
 def split_cte(fraction: float = TRAIN_FRACTION) -> str:
     return f"""ranked AS (
-  SELECT *, row_number() OVER (ORDER BY h, trip_id) AS rn, count(*) OVER () AS n FROM sample),
+  SELECT *, row_number() OVER (ORDER BY {hash_sql('split')}, trip_id) AS rn, count(*) OVER () AS n FROM matrix),
 split AS (
-  SELECT * EXCLUDE (rn, n, h),
+  SELECT * EXCLUDE (rn, n),
     CASE WHEN rn <= floor(CAST({fraction} AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS data_type
   FROM ranked)"""
 
@@ -118,7 +157,7 @@ def with_ctes(*ctes: str, body: str) -> str:
 
 SILVER_CHAIN = (raw_cte(), indexed_cte(), bronze_cte(), silver_cte())
 MATRIX_CHAIN = (*SILVER_CHAIN, matrix_cte())
-SPLIT_CHAIN = (*MATRIX_CHAIN, sample_cte(), split_cte())
+SPLIT_CHAIN = (*MATRIX_CHAIN, split_cte())
 
 
 def silver_select(table: str = "silver") -> str:
@@ -147,12 +186,9 @@ scaled AS (
 
 
 def oracle_queries() -> dict[str, str]:
-    """DuckDB SQL per registered query key (none for model and stream-progress
-    queries, which have no SQL form)."""
+    """DuckDB SQL per registered query key (none for forests, which have no SQL form)."""
     from math import ceil
 
-    from farecast.functions.hashing import HASH_MODULUS
-
     s = SILVER_CHAIN
     m = MATRIX_CHAIN
     sp = SPLIT_CHAIN
@@ -170,9 +206,8 @@ def oracle_queries() -> dict[str, str]:
     )
     matrix_cols = """trip_id, CAST(tip_amount AS DOUBLE) AS tip_amount, pickup_taxi_zone_id, pickup_hour,
   payment_cash, payment_no_charge, payment_credit_card, payment_dispute, payment_unknown"""
-    h = hash_order_sql("trip_id")
-    train_t = min(HASH_MODULUS, ceil(TRAIN_FRACTION * HASH_MODULUS))
-    frac_t = min(HASH_MODULUS, ceil(0.25 * HASH_MODULUS))
+    train_t = min(HASH_RANGE, ceil(TRAIN_FRACTION * HASH_RANGE))
+    frac_t = min(HASH_RANGE, ceil(0.25 * HASH_RANGE))
     upsert_amount = "CAST(tip_amount + CASE WHEN metadata_month IN (11, 12) THEN 1 ELSE 0 END AS DOUBLE)"
     return {
         "bronze_trips": with_ctes(raw_cte(), body=f"SELECT {raw_cols} FROM raw"),
@@ -203,11 +238,11 @@ GROUP BY compat_id HAVING count(*) > 1""",
         "matrix_joined": with_ctes(*m, body=f"SELECT {matrix_cols} FROM matrix"),
         "matrix_fused": with_ctes(*m, body=f"SELECT {matrix_cols} FROM matrix"),
         "sample_top_n": with_ctes(*m, sample_cte(), body=f"SELECT {matrix_cols} FROM sample"),
-        "sample_fraction": with_ctes(*m, body=f"SELECT trip_id FROM matrix WHERE {h} < {frac_t}"),
+        "sample_fraction": with_ctes(*m, body=f"SELECT trip_id FROM matrix WHERE {hash_sql('sample')} < {frac_t}"),
         "split_exact": with_ctes(*sp, body="SELECT trip_id, data_type FROM split"),
         "split_hashed": with_ctes(
             *m,
-            body=f"SELECT trip_id, CASE WHEN {h} < {train_t} THEN 'train' ELSE 'test' END AS data_type FROM matrix",
+            body=f"SELECT trip_id, CASE WHEN {hash_sql('split')} < {train_t} THEN 'train' ELSE 'test' END AS data_type FROM matrix",
         ),
         "train_rows": with_ctes(*sp, body="SELECT trip_id FROM split WHERE data_type = 'train'"),
         "scaler_stats": with_ctes(
@@ -233,6 +268,22 @@ GROUP BY data_type""",
         "replace_period": with_ctes(*s, body=_period_counts("silver")),
         "append_table": with_ctes(*s, body="SELECT count(*) AS n FROM silver"),
         "upsert_latest": with_ctes(*s, body=f"SELECT trip_id, {upsert_amount} AS amount FROM silver"),
+        "upsert_two_writers": with_ctes(
+            *s,
+            body="""SELECT trip_id,
+  CAST(tip_amount + CASE metadata_month WHEN 1 THEN 0 WHEN 11 THEN 1 ELSE 2 END AS DOUBLE) AS amount FROM silver""",
+        ),
+        "tree_predictions": with_ctes(
+            *sp,
+            """means AS (
+  SELECT pickup_hour, payment_cash, payment_no_charge, payment_credit_card, payment_dispute, payment_unknown,
+    avg(CAST(tip_amount AS DOUBLE)) AS mean FROM split WHERE data_type = 'train' GROUP BY ALL)""",
+            body="""SELECT trip_id, data_type, round(mean, 6) AS predicted FROM split JOIN means
+USING (pickup_hour, payment_cash, payment_no_charge, payment_credit_card, payment_dispute, payment_unknown)""",
+        ),
+        "stream_progress": with_ctes(
+            *s, body="SELECT CAST(4 AS BIGINT) AS batches, count(*) AS rows, count(*) AS rows_added FROM silver"
+        ),
         "materialized": with_ctes(*s, body=_period_counts("silver")),
         "stream_silver": with_ctes(*s, body=silver_select()),
         "apply_scalar": with_ctes(*s, body="SELECT trip_id, CAST(tip_amount AS DOUBLE) * 2 AS tip_doubled FROM silver"),

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from farecast.schemas import RAW, SILVER
 
-# fixed value: name of one landed monthly file (month zero-padded)
+# fixed values: names of one monthly file, as published (month zero-padded) and as landed by the original load
 MONTHLY_FILE = "yellow_tripdata_{year}-{month:02d}.parquet"
+LANDED_FILE = "yellow_tripdata_{year}_{month}.parquet"
 
 
 def monthly_path(root: str, year: int, month: int, template: str = MONTHLY_FILE) -> str:
@@ -29,8 +30,19 @@ def read_trips(
     schema: T.StructType = RAW,
     template: str = MONTHLY_FILE,
 ) -> DataFrame:
-    """Scan one monthly raw file with an explicit schema (no inference job)."""
-    return spark.read.schema(schema).parquet(monthly_path(root, year, month, template))
+    """Scan one monthly raw file with the file's own types, as ``schema``.
+
+    Columns are matched whatever their case and cast; a column the file does
+    not have is NULL. Reading the file's footer is the only job.
+    """
+    found = spark.read.parquet(monthly_path(root, year, month, template))
+    names = {c.lower(): c for c in found.columns}
+    return found.select(
+        *[
+            (F.col(f"`{names[f.name.lower()]}`") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def read_table(

@@ -9,35 +9,45 @@ result is exactly-once without transactional table support.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from farecast.operators.features import model_matrix
 from farecast.operators.model import Run, score
 from farecast.operators.silver import to_silver
-from farecast.operators.sinks import BATCH_COL, batch_partition, upsert, upsert_into
+from farecast.operators.sinks import BATCH_COL, DEFAULT_WRITER, WRITER_COL, batch_partition, upsert, upsert_into
 from farecast.schemas import BRONZE
+from farecast.session import session_id
 
 BatchFn = Callable[[DataFrame, int], None]
 
 
 def stream_trips(
-    spark: SparkSession, path: str, schema: T.StructType = BRONZE, max_files: int | None = 1, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = BRONZE,
+    max_files: int | None = None,
+    fmt: str = "parquet",
+    max_bytes: int = 64 << 30,
 ) -> DataFrame:
     """Stream the files landing in ``path``.
 
     A file source reads every file once, in arrival order; files deleted or
-    rewritten upstream are not read again (S5). ``max_files`` bounds a
-    micro-batch.
+    rewritten upstream are not read again (S5): rows of a file removed before
+    its batch committed are not processed. A micro-batch is bounded by
+    ``max_bytes``, or by ``max_files`` if given.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files)))
+    else:
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes)))
     return reader.load(path)
 
 
@@ -46,17 +56,38 @@ def land_files(df: DataFrame, path: str, files: int, key: str = "trip_id") -> No
     df.repartitionByRange(int(files), key).write.mode("append").parquet(path)
 
 
-def _write(df: DataFrame, target: str, batch_id: int, table: bool, check_unique: bool = True) -> None:
+def _writer(batch: DataFrame) -> str:
+    """The stream's id: kept in its checkpoint, so the same after a restart and another for a new checkpoint."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return found or DEFAULT_WRITER
+
+
+def _write(df: DataFrame, target: str, batch_id: int, table: bool, writer: str, check_unique: bool = True) -> None:
     if table:
-        upsert_into(df, target, batch_id, check_unique=check_unique)
+        upsert_into(df, target, batch_id, check_unique=check_unique, writer=writer)
     else:
-        upsert(df, target, batch_id, check_unique=check_unique)
+        upsert(df, target, batch_id, check_unique=check_unique, writer=writer)
+
+
+def _write_once(df: DataFrame, target: str, batch_id: int, table: bool, writer: str, check_unique: bool) -> None:
+    """Write a micro-batch; one that is checked first is kept meanwhile, so its source is read once."""
+    if not check_unique:
+        _write(df, target, batch_id, table, writer, False)
+        return
+    df = df.persist()
+    try:
+        _write(df, target, batch_id, table, writer, True)
+    finally:
+        df.unpersist()
 
 
-def _written(spark: SparkSession, target: str, batch_id: int, table: bool, schema: T.StructType) -> DataFrame:
+def _written(
+    spark: SparkSession, target: str, batch_id: int, table: bool, writer: str, schema: T.StructType
+) -> DataFrame:
     if table:
-        return spark.table(target).where(F.col(BATCH_COL) == F.lit(int(batch_id))).drop(BATCH_COL)
-    return spark.read.schema(schema).parquet(batch_partition(target, batch_id))
+        mine = (F.col(WRITER_COL) == F.lit(writer)) & (F.col(BATCH_COL) == F.lit(int(batch_id)))
+        return spark.table(target).where(mine).select(*schema.names)
+    return spark.read.schema(schema).parquet(batch_partition(target, batch_id, writer))
 
 
 def silver_batch(silver_log: str, table: bool = False, check_unique: bool = True) -> BatchFn:
@@ -69,7 +100,7 @@ def silver_batch(silver_log: str, table: bool = False, check_unique: bool = True
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        _write(to_silver(batch), silver_log, batch_id, table, check_unique)
+        _write_once(to_silver(batch), silver_log, batch_id, table, _writer(batch), check_unique)
 
     return run
 
@@ -86,10 +117,10 @@ def scoring_batch(
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        silver = to_silver(batch)
-        _write(silver, silver_log, batch_id, table, check_unique)
-        silver = _written(batch.sparkSession, silver_log, batch_id, table, silver.schema)
-        _write(score(model_matrix(silver), run), prediction_log, batch_id, table, check_unique=False)
+        silver, writer = to_silver(batch), _writer(batch)
+        _write_once(silver, silver_log, batch_id, table, writer, check_unique)
+        silver = _written(batch.sparkSession, silver_log, batch_id, table, writer, silver.schema)
+        _write(score(model_matrix(silver), run), prediction_log, batch_id, table, writer, check_unique=False)
 
     return run_batch
 
@@ -108,6 +139,7 @@ def run_stream(
     Progress is kept in ``checkpoint``; a restart resumes after the last
     committed batch.
     """
+    _counter(source.sparkSession)
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -115,6 +147,44 @@ def run_stream(
     return writer.start()
 
 
+class _Counter(StreamingQueryListener):
+    """Batches with input and rows read of every run, from all of its progress events."""
+
+    def __init__(self):
+        self.seen: dict[str, list[int]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def of(self, run_id: str) -> tuple[list[int], threading.Event]:
+        return self.seen.setdefault(run_id, [0, 0]), self.ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event):
+        self.of(str(event.runId))
+
+    def onQueryProgress(self, event):
+        counts, _ = self.of(str(event.progress.runId))
+        if event.progress.numInputRows > 0:
+            counts[0] += 1
+            counts[1] += event.progress.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.of(str(event.runId))[1].set()
+
+
+_COUNTERS: dict[str, _Counter] = {}
+
+
+def _counter(spark: SparkSession) -> _Counter:
+    """The session's counter, listening from before the first stream is started."""
+    app = session_id(spark)
+    if app not in _COUNTERS:
+        _COUNTERS[app] = _Counter()
+        spark.streams.addListener(_COUNTERS[app])
+    return _COUNTERS[app]
+
+
 @dataclass
 class Progress:
     batches: int
@@ -123,18 +193,24 @@ class Progress:
 
 
 def await_progress(query: StreamingQuery, timeout_s: float | None = None, stop: bool = False) -> Progress:
-    """Wait for the query (bounded by ``timeout_s``) and report batches with
-    input and rows read (M6, F4). Counts come from the query's recent progress
-    reports, not from re-counting the sink. With ``stop`` a query still
-    running after the wait is stopped (its progress stays in the checkpoint,
-    so a restart resumes)."""
+    """Wait for the query and report batches with input and rows read.
+
+    Counts cover the whole run (every progress event, however many). With
+    ``timeout_s`` the wait is bounded and ``finished`` tells whether the run
+    had ended; ``stop`` then stops a query that is still running and raises,
+    so that a part is never taken for the whole (its progress stays in the
+    checkpoint and a restart resumes).
+    """
     finished = bool(query.awaitTermination(timeout_s)) if timeout_s is not None else (query.awaitTermination() or True)
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
-    reports = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
     if stop and query.isActive:
         query.stop()
-    return Progress(len(reports), sum(int(p["numInputRows"]) for p in reports), finished)
+        raise TimeoutError(f"the stream had not ended after {timeout_s} s and was stopped")
+    counts, ended = _counter(SparkSession.getActiveSession()).of(str(query.runId))
+    if finished:
+        ended.wait(60)  # the last events are delivered after the run has ended
+    return Progress(counts[0], counts[1], finished)
 
 
 def rows_changed(before: int, after: int) -> int:

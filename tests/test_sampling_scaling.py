@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from farecast.functions.hashing import HASH_MODULUS, hash_order
+from farecast.functions.hashing import HASH_RANGE, SAMPLE, SPLIT, TOP, hash_order
 from farecast.operators.features import model_matrix
 from farecast.operators.sampling import hash_rank, sample_fraction, split_exact, split_hashed, take_first
 from farecast.operators.scaling import Scaler, fit_scaler, inverse_scale, scale
@@ -21,8 +21,8 @@ def matrix(spark):
     return model_matrix(saved_silver(spark, SMALL))
 
 
-def _brute_order(df):
-    return [r["trip_id"] for r in df.select("trip_id", hash_order("trip_id").alias("h")).orderBy("h", "trip_id").collect()]
+def _brute_order(df, salt=TOP):
+    return [r["trip_id"] for r in df.select("trip_id", hash_order("trip_id", salt).alias("h")).orderBy("h", "trip_id").collect()]
 
 
 @pytest.mark.parametrize("n", [1, 7, 100, 333, 999, 1000, 5000])
@@ -48,7 +48,7 @@ def test_sample_fraction(spark, matrix):
 
 @pytest.mark.parametrize("fraction", [0.7, 0.5, 0.0, 1.0])
 def test_split_exact_positional(spark, matrix, fraction):
-    order = _brute_order(matrix)
+    order = _brute_order(matrix, SPLIT)
     k = int(fraction * len(order))
     got = dict(split_exact(matrix, fraction).select("trip_id", "data_type").collect())
     assert {t for t, d in got.items() if d == "train"} == set(order[:k])
@@ -56,26 +56,20 @@ def test_split_exact_positional(spark, matrix, fraction):
 
 
 def test_split_exact_with_validation(spark, matrix):
-    order = _brute_order(matrix)
+    order = _brute_order(matrix, SPLIT)
     n = len(order)
     got = dict(split_exact(matrix, 0.6, 0.2).select("trip_id", "data_type").collect())
     k1, k2 = int(0.6 * n), int(0.2 * n)
     assert [got[t] for t in order] == ["train"] * k1 + ["validation"] * k2 + ["test"] * (n - k1 - k2)
 
 
-def test_hash_rank_distributed_path_equals_window(spark, matrix):
-    a = hash_rank(matrix, name="r").select("trip_id", "r")
-    b = hash_rank(matrix, name="r", max_single_task_rows=0).select("trip_id", "r")
-    assert a.exceptAll(b).count() == 0
-
-
 def test_split_hashed_share(spark):
     m = model_matrix(saved_silver(spark, MEDIUM))
     tagged = split_hashed(m, 0.7)
     share = tagged.where(F.col("data_type") == "train").count() / tagged.count()
     assert abs(share - 0.7) < 0.03
-    t = math.ceil(0.7 * HASH_MODULUS)
-    assert tagged.where((F.col("data_type") == "train") != (hash_order("trip_id") < t)).count() == 0
+    t = math.ceil(0.7 * HASH_RANGE)
+    assert tagged.where((F.col("data_type") == "train") != (hash_order("trip_id", SPLIT) < t)).count() == 0
 
 
 def test_scaler_round_trip_is_identity(spark, matrix):
@@ -104,7 +98,7 @@ def test_fit_on_train_only(spark):
 
 
 def test_window_rank_matches_brute(spark, matrix):
-    w = Window.orderBy(hash_order("trip_id"), "trip_id")
+    w = Window.orderBy(hash_order("trip_id", SPLIT), "trip_id")
     want = matrix.select("trip_id", (F.row_number().over(w) - 1).alias("r"))
     got = hash_rank(matrix, name="r").select("trip_id", "r")
     assert got.exceptAll(want).count() == 0
@@ -118,22 +112,27 @@ def test_hash_threshold_is_minimal_power_of_two(spark, matrix, n):
     total, t = hash_threshold(matrix, n)
     assert total == len(hs)
     assert sum(h < t for h in hs) >= min(n, total)
-    if t != HASH_MODULUS:
+    if t != HASH_RANGE:
         assert sum(h < t // 2 for h in hs) < n or t == 1
 
 
-def test_take_first_skips_null_keys(spark):
+def test_null_keys_are_sampled_like_any_other(spark):
     df = spark.createDataFrame([(None, 0)] + [(i, i) for i in range(1, 40)], "trip_id long, x long")
-    assert take_first(df, 100).where(F.col("trip_id").isNull()).count() == 0
-    assert take_first(df, 100).count() == 39
-    assert take_first(df, 5).count() == 5
-
-
-@pytest.mark.parametrize("n", [3, 250, 999])
-def test_take_first_distributed_path_equals_top_n(spark, matrix, n):
-    a = take_first(matrix, n).select("trip_id")
-    b = take_first(matrix, n, max_single_task_rows=0).select("trip_id")
-    assert b.count() == n and a.exceptAll(b).count() == 0
+    assert take_first(df, 100).count() == 40 and take_first(df, 5).count() == 5
+    for fraction in (0.2, 0.5, 1.0):
+        kept = sample_fraction(df, fraction).where(F.col("trip_id").isNull()).count()
+        h = df.where(F.col("trip_id").isNull()).select(hash_order("trip_id", SAMPLE).alias("h")).first()["h"]
+        assert kept == (h < math.ceil(fraction * HASH_RANGE))
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_every_seed_keeps_its_fraction_and_still_splits(spark, seed):
+    ids = spark.range(40_000).select(F.col("id").cast("int").alias("trip_id"))  # int keys, too
+    kept = sample_fraction(ids, 0.25, seed=seed)
+    n = kept.count()
+    assert abs(n / 40_000 - 0.25) < 0.01
+    train = split_hashed(kept, 0.7).where("data_type = 'train'").count()
+    assert abs(train / n - 0.7) < 0.03
 
 
 def test_seeded_samples_differ_and_repeat(spark, matrix):

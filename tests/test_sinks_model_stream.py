@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from farecast.plans.catalog import saved_bronze
 from pyspark.sql import functions as F
 
 from farecast.functions.scalar import apply_scalar
@@ -226,7 +227,7 @@ def test_materialized_flow_scores_bronze_dataset(spark, scratch, trained):
     bronze = bronze_from_events(spark, SMALL)
     preds = materialized_flow(bronze, result.run, scratch("datasets"), database="farecast_flow_db")
     assert preds.columns == ["trip_id", "predicted_tip_amount"]
-    assert spark.catalog.getTable("farecast_flow_db.predictions").description == "Prediction"
+    assert spark.catalog.getTable("farecast_flow_db.predictions").description == "Predicted tip per trip"
     assert preds.count() == bronze.count()
     assert preds.join(bronze, "trip_id", "left_anti").count() == 0
 
@@ -276,7 +277,7 @@ def test_stream_into_bucketed_tables(spark, scratch, trained):
     create_upsert_table(spark, "farecast_silver_log", SILVER, scratch("sl"), buckets=4)
     create_upsert_table(spark, "farecast_pred_log", PREDICTION, scratch("pl"), buckets=4)
     q = run_stream(
-        stream_trips(spark, landing),
+        stream_trips(spark, landing, max_files=1),
         scoring_batch("farecast_silver_log", "farecast_pred_log", result.run, table=True),
         scratch("ckpt"),
     )
@@ -320,3 +321,86 @@ def test_upserts_continue_on_a_compacted_log(spark, scratch):
     assert sorted(tuple(r) for r in latest(spark, new).collect()) == [(1, "A"), (2, "B"), (3, "c")]
     with pytest.raises(ValueError, match="new directory"):
         compact(spark, new, new)
+
+
+def test_two_writers_and_a_new_checkpoint_keep_each_others_rows(spark, scratch):
+    path, new = scratch("log"), scratch("compacted")
+    row = lambda *r: spark.createDataFrame(list(r), "trip_id long, v string")
+    upsert(row((1, "a"), (2, "a")), path, 0, writer="first")
+    upsert(row((2, "b"), (3, "b")), path, 0, writer="second")
+    upsert(row((1, "a"), (2, "a")), path, 0, writer="first")  # a replay keeps its place in the order
+    assert sorted(map(tuple, latest(spark, path).collect())) == [(1, "a"), (2, "b"), (3, "b")]
+    compact(spark, path, new)
+    upsert(row((3, "c")), new, 0, writer="first")
+    upsert(row().limit(0), new, 1, writer="first")
+    assert sorted(map(tuple, latest(spark, new).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_duplicate_batch_is_never_visible(spark, scratch):
+    path = scratch("log")
+    upsert(spark.createDataFrame([(1, "a")], "trip_id long, v string"), path, 0)
+    with pytest.raises(ValueError):
+        upsert(spark.createDataFrame([(1, "b"), (1, "c")], "trip_id long, v string"), path, 1)
+    assert [tuple(r) for r in latest(spark, path).collect()] == [(1, "a")]
+
+
+def test_empty_reload_empties_its_period(spark, scratch):
+    path = scratch("t")
+    df = spark.createDataFrame([(1, 2022, 1), (2, 2022, 2)], "id long, metadata_year int, metadata_month int")
+    replace_period(df, path)
+    replace_period(df.where("id < 0"), path, period=(2022, 1))
+    assert [r["id"] for r in read_table(spark, path).collect()] == [2]
+
+
+def test_stream_survives_an_empty_file_and_a_new_checkpoint(spark, scratch):
+    bronze, landing, log = saved_bronze(spark, SMALL), scratch("in"), scratch("log")
+    bronze.limit(0).coalesce(1).write.mode("append").parquet(landing)
+    ckpt = scratch("ckpt")
+    await_progress(run_stream(stream_trips(spark, landing), silver_batch(log), ckpt))
+    bronze.write.mode("append").parquet(landing)
+    p = await_progress(run_stream(stream_trips(spark, landing), silver_batch(log), ckpt))
+    assert p.rows == bronze.count() == latest(spark, log).count()
+    other = scratch("in")
+    bronze.limit(10).coalesce(1).write.parquet(other)
+    await_progress(run_stream(stream_trips(spark, other), silver_batch(log), scratch("ckpt")))  # batch 0 again
+    assert latest(spark, log).count() == bronze.count()
+
+
+def test_progress_counts_every_batch(spark, scratch):
+    landing = scratch("in")
+    spark.range(115).repartitionByRange(115, "id").write.parquet(landing)
+    files = len(spark.read.parquet(landing).inputFiles())
+    source = spark.readStream.schema("id long").option("maxFilesPerTrigger", "1").parquet(landing)
+    p = await_progress(run_stream(source, lambda df, i: df.count(), scratch("ckpt")))
+    assert files > 100 and (p.batches, p.rows, p.finished) == (files, 115, True)
+
+
+def test_load_month_reads_the_published_types(spark, scratch):
+    from farecast.plans.flows import load_month
+    from farecast.sources.files import LANDED_FILE
+
+    landing = scratch("landing")
+    raw = spark.sql(
+        """SELECT CAST(1 AS BIGINT) AS VendorID, TIMESTAMP_NTZ'2022-11-01 00:51:22' AS tpep_pickup_datetime,
+           TIMESTAMP_NTZ'2022-11-01 00:56:24' AS tpep_dropoff_datetime, 1.0D AS passenger_count, 0.6D AS trip_distance,
+           1.0D AS RatecodeID, 'N' AS store_and_fwd_flag, CAST(id AS BIGINT) AS PULocationID, 50L AS DOLocationID,
+           1L AS payment_type, 4.5D AS fare_amount, 0.5D AS extra, 0.5D AS mta_tax, 0.0D AS tip_amount, 0.0D AS tolls_amount,
+           0.3D AS improvement_surcharge, 5.8D AS total_amount, 0.0D AS congestion_surcharge FROM range(5)"""
+    )
+    raw.write.parquet(monthly_path(landing, 2022, 11, LANDED_FILE))
+    order = ("tpep_pickup_datetime", "PULocationID")
+    silver = load_month(spark, landing, 2022, 11, scratch("b"), scratch("s"), order_cols=order, template=LANDED_FILE)
+    rows = silver.orderBy("trip_id").collect()
+    assert [r["pickup_taxi_zone_id"] for r in rows] == [0, 1, 2, 3, 4]
+    assert rows[0]["trip_id"] == 2022 * 10**14 + 11 * 10**12 and rows[0]["airport_fee"] is None
+    assert str(rows[0]["fare_amount"]) == "4.50" and rows[0]["rate_type"] == "standard rate"
+
+
+def test_recording_metrics_again_replaces_them(spark, scratch):
+    from farecast.operators.model import record_metrics
+
+    root = scratch("runs")
+    m = spark.createDataFrame([("train", "mse", 1.0)], "data_type string, metric string, value double")
+    record_metrics(m, root, "r")
+    assert record_metrics(m, root, "r").count() == 1
+    assert spark.read.parquet(f"{root}/metrics").count() == 1

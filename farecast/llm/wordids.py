@@ -73,7 +73,10 @@ class WordIds:
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; None is empty."""
-        chunked = [[w.lower() if w.isascii() else w for w in (t or "").split()] for t in texts]
+        chunked = [
+            t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()]
+            for t in (t or "" for t in texts)
+        ]
         young, old = self.young, self.old
         seen = set().union(*chunked)
         missing = set()

@@ -7,7 +7,8 @@ both meet. An entry is a whole word or a word beginning, with a weight: the
 log odds of its document counts in toxic and other labelled texts. Entries,
 and exceptions (longer words of an entry that only clean texts have), are
 learned from a bounded sample of labelled rows (``SAMPLE_ROWS``); phrases in
-``EXCEPTIONS`` never count. Without labels the seed list is the lexicon.
+``EXCEPTIONS`` never count. Seed words that no clean text of the sample has
+are entries, too; without labels they are the lexicon.
 
 A document's hits are summed, once in relation to its length and once as a
 logarithm; a logistic model over the two, fitted on the same sample, gives
@@ -35,6 +36,7 @@ LEAST_ROWS = 3
 LEAST_ODDS = 3.0
 PREFIXES = (4, 5, 6)
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "rodeo clown")
+SEED_WEIGHT = 4.0
 SEED = ("idiot", "moron", "stupid", "loser", "scum", "worthless", "pathetic", "disgusting")
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
@@ -54,7 +56,7 @@ def _table() -> bytes:
 
 
 _FOLD = _table()
-_SIGNS = re.compile(rb"[@$!|]+(?![A-Za-z0-9])|(?<![A-Za-z])[0-9]+(?![A-Za-z])")
+_SIGNS = re.compile(rb"[@$!|]+(?![A-Za-z0-9@$!|])|(?<![A-Za-z])[0-9]+(?![A-Za-z])")
 _HAS_SIGN = re.compile(rb"[@$!|0-9]").search
 _WIDE = re.compile("[^\x00-\xff]").search
 _WORDS = re.compile("[a-z]+").findall
@@ -173,10 +175,11 @@ def learn(
     sizes = dict(map(tuple, sample.groupBy("label").count().collect()))
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
-        return Lexicon({fold(w) + " ": 4.0 for w in SEED})
+        return Lexicon({fold(w) + " ": SEED_WEIGHT for w in SEED})
     top = _count(texts.where("label = 1"), None).where(F.col("n") >= LEAST_ROWS).orderBy(F.desc("n"), "entry").limit(CANDIDATES)
     counts = {r["entry"]: r["n"] for r in top.collect()}
-    others = {r["entry"]: r["n"] for r in _count(texts.where("label = 0"), frozenset(counts)).collect()}
+    seeds = {fold(w) + " " for w in SEED}
+    others = {r["entry"]: r["n"] for r in _count(texts.where("label = 0"), frozenset(counts) | seeds).collect()}
     odds = {
         e: float(np.log((n + 0.5) / (bad + 1)) - np.log((others.get(e, 0) + 0.5) / (good + 1))) for e, n in counts.items()
     }
@@ -185,8 +188,11 @@ def learn(
         if odds[e] >= LEAST_ODDS and not any(weights.get(e[:n], -9.0) >= odds[e] - 0.5 for n in PREFIXES if n < len(e)):
             weights[e] = odds[e]
     weights = dict(sorted(weights.items(), key=lambda kv: (-kv[1] * counts[kv[0]], kv[0]))[:ENTRIES])
+    for e in seeds:  # known words that the sample is too small to show
+        if not others.get(e) and not any(e[:n] in weights for n in PREFIXES):
+            weights.setdefault(e, SEED_WEIGHT)
     clean = {
-        e.strip() for e, n in others.items() if e.endswith(" ") and n >= LEAST_ROWS and odds[e] < 0 and any(e[:k] in weights for k in PREFIXES)
+        e.strip() for e, n in others.items() if e.endswith(" ") and n >= LEAST_ROWS and odds.get(e, 0.0) < 0 and any(e[:k] in weights for k in PREFIXES)
     }
     model = Lexicon(weights, tuple(sorted({*EXCEPTIONS, *clean})))
     schema = T.StructType(

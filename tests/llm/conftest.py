@@ -38,7 +38,7 @@ EDGE = [
     (None, None, None),
     (6, LONG, "en"),
     (7, "x" * 50_000, "en"),
-    (8, "Grüße 🙂 中文 ́e mail a.b@c.de 10.0.0.1 4111 1111 1111 1111 +1 (555) 123-4567", "de"),
+    (8, "Grüße 🙂 中文 ́e mail a.b@c.de 10.0.0.1 und 4111 1111 1111 1111 +1 (555) 123-4567", "de"),
     (9, "THE QUICK BROWN FOX JUMPS OVER THE LAZY DOG AGAIN AND AGAIN", "en"),
 ]
 

@@ -17,6 +17,7 @@ from farecast.llm.queries import QUERIES
 from tests.conftest import MEDIUM
 from tests.llm.conftest import EDGE, make_docs
 
+LARGE = "/root/testdata/sf0.1"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -67,19 +68,28 @@ def test_flat_traversal_equals_node_by_node():
 # --- trained queries on held-out documents ---------------------------------------
 
 
+def labelled(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return {r["doc_id"]: r for r in docs.join(labels, "doc_id", "left").collect()}
+
+
 @pytest.fixture(scope="module")
 def truth(spark):
-    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "lang")
-    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
-    return {r["doc_id"]: r for r in docs.join(labels, "doc_id", "left").collect()}
+    return labelled(spark, MEDIUM)
 
 
+# sf0.01 has 38 toxic texts to learn four languages' words from, sf0.1 ten times as many
 @pytest.mark.parametrize(
-    "name,label,mod,rest,cut,least",
-    [("op6_boosted_quality", "quality", 3, 1, 0.5, 0.97), ("op10_lexicon_toxicity", "toxic", 4, 2, 0.3, 0.9)],
+    "name,label,mod,rest,cut,least,sf_dir",
+    [
+        ("op6_boosted_quality", "quality", 3, 1, 0.5, 0.97, MEDIUM),
+        ("op10_lexicon_toxicity", "toxic", 4, 2, 0.3, 0.95, LARGE),
+    ],
 )
-def test_held_out_labels(spark, truth, name, label, mod, rest, cut, least):
-    got = QUERIES[name](spark, MEDIUM).collect()
+def test_held_out_labels(spark, name, label, mod, rest, cut, least, sf_dir):
+    truth = labelled(spark, sf_dir)
+    got = QUERIES[name](spark, sf_dir).collect()
     assert len(got) == len(truth)
     assert all(r["held_out"] == (fold_of(r["doc_id"], mod) == rest) and r["predicted"] == (r["score"] >= cut) for r in got)
     held = [(truth[r["doc_id"]][label], r["score"]) for r in got if r["held_out"] and truth[r["doc_id"]][label] is not None]

@@ -6,8 +6,9 @@ n - ceil(t n) + 1 first shingles, under *any* fixed order of all shingles,
 with each partner. Candidates come from a first order and must share prefix
 shingles under two more before the sets are compared:
 
-* order one puts the shingles with a hash in the lowest fifth first, rarest
-  first; the rest follow by hash. Only that fifth has to be counted. A text
+* order one puts the shingles with a low hash first, rarest first; the rest
+  follow by hash. Low is a share of the hashes that holds a third more
+  shingles than a prefix needs, and only these have to be counted. A text
   whose prefix fills up with shingles seen once has no partner and is gone
   after one count and one join;
 * orders two and three rank by other mixings of the hash; their prefixes
@@ -50,7 +51,6 @@ from farecast.llm.components import components
 from farecast.llm.shingles import hashed_words, lowered, scramble, shingle_hashes
 from farecast.session import scratch_path
 
-LOW = (1 << 64) // 5  # hashes below are counted and come first in order one
 ORDERS = (1, 2)  # salts of the orders after the first
 PAIR_FACTOR = 1000  # more pairs than this many times the prefix rows are first thinned by stars
 BLOCK = 256  # sets of one side of a block
@@ -70,6 +70,12 @@ _SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
+def low_bound(num: int, den: int) -> int:
+    """Hashes below are counted and come first in order one: a third more shingles than a prefix holds
+    (at most half of the range, so that the signed view keeps their order)."""
+    return min((1 << 64) * 4 * (den - num) // (3 * den), (1 << 63) - 1)
+
+
 def prefix_size(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
@@ -91,17 +97,19 @@ def _write(df: DataFrame, label: str) -> DataFrame:
 def _prefixes(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Per row: set size, class key, and the shingles that order one can put into its prefix."""
 
+    bound = low_bound(num, den)
+
     def make():
         def fn(c):
             sets = _sets(c["text"], words)
-            low = [int(np.searchsorted(s, np.uint64(LOW))) for s in sets]
+            low = [int(np.searchsorted(s, np.uint64(bound))) for s in sets]
             return {
                 "doc_id": c["doc_id"],
                 "text_hash": c["text_hash"],
                 "n": [len(s) for s in sets],
                 "n_low": low,
                 "key": [_key(s) if len(s) else None for s in sets],
-                # unsigned order is kept by the view only up to 2**63; LOW is below it
+                # unsigned order is kept by the view only up to 2**63; the bound is below it
                 "tokens": [s[: max(k, prefix_size(len(s), num, den)) if len(s) else 0].view(np.int64) for s, k in zip(sets, low)],
             }
 
@@ -301,7 +309,7 @@ class JaccardJoin:
         hits = tokens.join(common, "token").join(
             self.classes.select(F.col("node").alias("rid"), "n", "n_low"), "rid"
         )
-        low = F.col("token").between(0, LOW - 1)
+        low = F.col("token").between(0, low_bound(self.num, self.den) - 1)
         by_node = Window.partitionBy("rid")
         ranked = hits.select(
             F.col("rid").alias("node"),

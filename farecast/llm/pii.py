@@ -226,16 +226,17 @@ class Detector:
 
     def extra(self, text: str, base: list[tuple[str, int, int]], candidates: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         """Candidates that are added to the base spans."""
-        open_ = sorted({c for c in candidates if c not in base}, key=lambda c: (c[1], c[2], KINDS.index(c[0])))
+        open_ = sorted(set(candidates).difference(base), key=lambda c: (c[1], c[2], KINDS.index(c[0])))
         if not open_:
             return []
         scores = self.trees.score(np.array([features(text, *c) for c in open_]))
         ranked = sorted(zip(scores.tolist(), open_), key=lambda x: (-x[0], x[1][1], x[1][2], KINDS.index(x[1][0])))
-        taken, out = [(a, b) for _, a, b in base], []
-        taken.sort()
+        taken, out = bytearray(len(text)), []  # 1 where a span stands: a test costs the span's length, however many there are
+        for _, a, b in base:
+            taken[a:b] = b"\x01" * (b - a)
         for s, (kind, a, b) in ranked:
-            if s >= self.thresholds[kind] and not any(a < d and c < b for c, d in taken):
-                taken.append((a, b))
+            if s >= self.thresholds[kind] and taken.find(1, a, b) < 0:
+                taken[a:b] = b"\x01" * (b - a)
                 out.append((kind, a, b))
         return out
 

@@ -269,6 +269,16 @@ def test_email_scan_is_linear():
     assert pii.base_spans("1" * 300_000 + ".") == []
 
 
+def test_many_spans_in_one_text(detector):
+    line = "write a.b@c.de or call 555-123-4567, password=f3a9b2c4d5e6f7a8b9c0 and 10.0.0.1\n"
+    one = detector.spans(line)
+    assert len(one[1]) > len(one[0]) == 2
+    base, spans = detector.spans(line * 5_000)
+    assert len(base) == 5_000 * len(one[0]) and len(spans) >= 5_000 * len(one[1]) - 10_000
+    taken = sorted((a, b) for s in spans if s not in set(base) for a, b in [s[1:]])
+    assert all(b <= c for (_, b), (c, _) in zip(taken, taken[1:]))
+
+
 # --- toxicity ----------------------------------------------------------------------
 
 

@@ -398,7 +398,8 @@ class JaccardJoin:
         comps, turn, before = None, 0, math.inf
         bound = PAIR_FACTOR * self.joined.count()
         while True:
-            rows = self._open_groups(comps)
+            # written once a round: the counts below combine map-side, and no hot group stays in one task
+            rows = _write(self._open_groups(comps), "jaccard-open")
             left = self._pairs_left(rows) if self.prune else 0
             if left <= bound or left > 0.7 * before:
                 links.append(self._compared(self._block_seats(rows)))

@@ -37,6 +37,8 @@ _CNT = "__rix_count"
 _FIRST = "__rix_first"
 _OFF = "__rix_offset"
 
+MAX_BROADCAST_FILES = 50_000  # paths of a few hundred bytes: some 20 MB at most
+
 # Padded key layout: year | month (2 digits) | index (12 digits).
 KEY_MONTH_FACTOR = 10**12
 KEY_YEAR_FACTOR = 10**14
@@ -88,6 +90,24 @@ def with_row_index(
     return joined.select(*[left[c] for c in df.columns], index)
 
 
+def with_file_index(df: DataFrame, file_col: str, row_col: str, name: str = "row_index") -> DataFrame:
+    """Add ``name``: 0-based index in file order (path, then row in the file) of whole scanned files.
+
+    Total and repeatable without a natural id, and the rows are neither
+    shuffled nor copied: only one (path, row count) per file is aggregated,
+    from the scan's own columns. Dense unless rows were filtered out.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "file-offsets")
+    sizes = df.groupBy(file_col).agg((F.max(row_col) + 1).alias(_CNT))
+    before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)  # one row per file of the load
+    offsets = sizes.select(F.col(file_col).alias(_PID), F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    offsets.write.parquet(path)
+    offsets, _ = broadcast_if_small(spark.read.schema(offsets.schema).parquet(path), MAX_BROADCAST_FILES)
+    index = (F.col(_OFF) + F.col(row_col)).alias(name)
+    return df.join(offsets, F.col(file_col) == F.col(_PID)).select(*df.columns, index)
+
+
 def trip_key(year: str, month: str, index: str) -> "F.Column":
     """Padded surrogate key year|MM|index(12 digits) as a long.
 

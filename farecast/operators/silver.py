@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farecast.functions.codes import payment_label, provider_label, rate_label
-from farecast.operators.keys import assign_trip_key
-from farecast.schemas import BRONZE, SILVER, conform
+from farecast.operators.keys import assign_trip_key, trip_key, with_file_index
+from farecast.schemas import BRONZE, PERIOD_COLUMNS, SILVER, conform
+from farecast.sources.files import FILE, ROW
 
 # raw column -> silver column (matched case-insensitively)
 RENAMES = {
@@ -47,10 +48,14 @@ def load_bronze(
     With ``year``/``month`` the rows are one monthly file and are tagged with
     the literals; without, they must already carry the period columns.
     The key is assigned at load so that batch and stream share it. Rows are
-    numbered in ``order_cols`` order, which must identify a row (for files
-    without a natural id, list enough columns to make the order total).
+    numbered in ``order_cols`` order, which must identify a row. Rows of one
+    monthly file that carry their position in it (``read_trips``) are numbered
+    by that position instead: no natural id, and no shuffle.
     """
     tagged = tag_period(raw, year, month) if year is not None else raw
+    if year is not None and FILE in raw.columns:
+        indexed = with_file_index(tagged, FILE, ROW, "__trip_index")
+        return conform(indexed.withColumn("trip_id", trip_key(*PERIOD_COLUMNS, "__trip_index")), BRONZE)
     return conform(assign_trip_key(tagged, order_cols=order_cols, num_ranges=num_ranges), BRONZE)
 
 

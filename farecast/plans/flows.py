@@ -33,13 +33,16 @@ def load_month(
     month: int,
     bronze_path: str,
     silver_path: str | None = None,
-    order_cols: Sequence[str] = TRIP_ORDER,
+    order_cols: Sequence[str] | None = None,
     template: str = MONTHLY_FILE,
 ) -> DataFrame:
     """Load one monthly file: scan, tag, key, replace the period in bronze
-    (and silver when ``silver_path`` is given). Returns the period's silver."""
-    raw = read_trips(spark, landing, year, month, template=template)
-    bronze = load_bronze(raw, year, month, order_cols=order_cols)
+    (and silver when ``silver_path`` is given). Returns the period's silver.
+
+    Rows are numbered in ``order_cols`` order if given; else by pickup time
+    and ``event_id``, or by their place in the file where it has no such id."""
+    raw = read_trips(spark, landing, year, month, template=template, position=False if order_cols else None)
+    bronze = load_bronze(raw, year, month, order_cols=order_cols or TRIP_ORDER)
     replace_period(bronze, bronze_path, period=(year, month))
     silver = to_silver(read_table(spark, bronze_path, (year, month), schema=BRONZE))
     if silver_path:

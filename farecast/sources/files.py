@@ -16,6 +16,9 @@ from farecast.schemas import RAW, SILVER
 MONTHLY_FILE = "yellow_tripdata_{year}-{month:02d}.parquet"
 LANDED_FILE = "yellow_tripdata_{year}_{month}.parquet"
 
+# where a scan found a row: the path of its file, and its number in that file
+FILE, ROW = "__file", "__row"
+
 
 def monthly_path(root: str, year: int, month: int, template: str = MONTHLY_FILE) -> str:
     """Path of one landed monthly file; the month is zero-padded in the name only."""
@@ -29,19 +32,26 @@ def read_trips(
     month: int,
     schema: T.StructType = RAW,
     template: str = MONTHLY_FILE,
+    position: bool | None = False,
 ) -> DataFrame:
     """Scan one monthly raw file with the file's own types, as ``schema``.
 
     Columns are matched whatever their case and cast; a column the file does
-    not have is NULL. Reading the file's footer is the only job.
+    not have is NULL. Reading the file's footer is the only job. ``position``
+    adds where the scan found each row (``FILE``, ``ROW``); ``None`` adds it
+    only to a file without an ``event_id``.
     """
     found = spark.read.parquet(monthly_path(root, year, month, template))
     names = {c.lower(): c for c in found.columns}
+    if position is None:
+        position = "event_id" not in names
+    where = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)] if position else []
     return found.select(
         *[
             (F.col(f"`{names[f.name.lower()]}`") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
-        ]
+        ],
+        *where,
     )
 
 

@@ -396,6 +396,26 @@ def test_load_month_reads_the_published_types(spark, scratch):
     assert str(rows[0]["fare_amount"]) == "4.50" and rows[0]["rate_type"] == "standard rate"
 
 
+def test_files_without_an_id_are_keyed_by_position(spark, scratch):
+    from farecast.plans.flows import load_month
+    from farecast.operators.silver import load_bronze
+
+    landing, bronze = scratch("landing"), scratch("b")
+    raw = spark.range(1000).selectExpr("TIMESTAMP_NTZ'2022-11-01 00:51:22' AS tpep_pickup_datetime", "id AS PULocationID")
+    raw.repartition(5).write.parquet(monthly_path(landing, 2022, 11))  # equal times: no column orders the rows
+    keys = [
+        {r["pickup_taxi_zone_id"]: r["trip_id"] for r in load_month(spark, landing, 2022, 11, bronze).collect()} for _ in (0, 1)
+    ]
+    base = 2022 * 10**14 + 11 * 10**12
+    assert keys[0] == keys[1] and sorted(keys[0].values()) == [base + i for i in range(1000)]
+    keyed = load_bronze(read_trips(spark, landing, 2022, 11, position=None), 2022, 11)
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    empty = scratch("empty")
+    raw.limit(0).write.parquet(monthly_path(empty, 2022, 12))
+    assert load_month(spark, empty, 2022, 12, bronze).count() == 0
+
+
 def test_recording_metrics_again_replaces_them(spark, scratch):
     from farecast.operators.model import record_metrics
 

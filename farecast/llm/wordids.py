@@ -10,15 +10,23 @@ The library alone turns text into ids.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
 
 MEMO_ENTRIES = 1 << 19
 MARK = "\x01"
+_ODD = "\x1c\x1d\x1e\x1f"  # white space to str.split(), not to the library
+_cut = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").findall
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation without the apostrophe
 
 
+def _chunks(text: str) -> list[str]:
+    """What is left of a text between the white space that the library removes."""
+    return _cut(text) if any(c in text for c in _ODD) else text.split()
+
+
 class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
@@ -74,7 +82,7 @@ class WordIds:
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; None is empty."""
         chunked = [
-            t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()]
+            _chunks(t.lower()) if t.isascii() else [w.lower() if w.isascii() else w for w in _chunks(t)]
             for t in (t or "" for t in texts)
         ]
         young, old = self.young, self.old

@@ -75,6 +75,14 @@ def test_word_ids_equal_library_on_random_text(tokenizer):
         assert np.frombuffer(w.encode_many([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_word_ids_keep_what_only_python_calls_white_space(tokenizer):
+    w, r = word_ids(WORDS), random.Random(3)
+    texts = ["foo\x1cbar", "\x1c", "a \x1d\x1d b", "é\x1e!\x1f", "word\x1c! \x01"]
+    texts += ["".join(r.choice(ALPHABET + 4 * "\x1c\x1d\x1e\x1f\x85\u2028\u3000\x0b") for _ in range(r.randint(0, 30))) for _ in range(4000)]
+    for t, ids in zip(texts, w.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_elias_fano_round_trip_and_select():
     r = np.random.default_rng(0)
     for n, top in ((0, 0), (1, 0), (1, 9), (7, 3), (1000, 40), (5000, 10**7), (700, 1 << 40)):

@@ -4,7 +4,9 @@ No token of the word vocabularies served here spans white space, so the ids
 of a text are those of its white-space separated chunks one after another.
 Distinct chunks new to a worker are handed to the library together, joined
 by a marker token; what it returned for a chunk is kept in a bounded cache.
-The library alone turns text into ids.
+The library alone turns text into ids. A text that holds the literal of a
+special token, in any case, goes to it whole: there the literal is that
+token's id (the library's default), which chunks must not make or break.
 """
 
 from __future__ import annotations
@@ -33,12 +35,20 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # the library knows special tokens by their literals before it lowers letters, chunks are lowered first
+        self.special = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
+        self.sign = re.match("[^a-z]*", os.path.commonprefix(self.special)).group()
         marks = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark = marks[0] if len(marks) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _whole(self, text: str) -> bool:
+        if not self.special or self.sign not in text:
+            return False
+        lower = text.lower()
+        return any(s in lower for s in self.special)
+
     def _direct(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -81,9 +91,10 @@ class WordIds:
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; None is empty."""
+        whole = {i: self._direct(t) for i, t in enumerate(texts) if t and self._whole(t)}
         chunked = [
             _chunks(t.lower()) if t.isascii() else [w.lower() if w.isascii() else w for w in _chunks(t)]
-            for t in (t or "" for t in texts)
+            for t in (t if t and i not in whole else "" for i, t in enumerate(texts))
         ]
         young, old = self.young, self.old
         seen = set().union(*chunked)
@@ -97,6 +108,8 @@ class WordIds:
         if missing:
             young.update(self._learn(missing))
         out = [b"".join(map(young.__getitem__, words)) for words in chunked]
+        for i, ids in whole.items():
+            out[i] = ids
         if len(young) > MEMO_ENTRIES // 2:
             self.young, self.old = {}, young
         return out

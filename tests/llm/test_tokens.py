@@ -83,6 +83,15 @@ def test_word_ids_keep_what_only_python_calls_white_space(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_special_literals_are_what_the_untouched_library_makes_of_them():
+    library, w, r = Tokenizer.from_file(WORDS), word_ids(WORDS), random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext", "|>", "<|", "É", "it's", " ", "\x1c", "!", "\x01", "\n", "word"]
+    texts = ["x <|endoftext|> y", "".join(parts)]
+    texts += ["".join(r.choice(parts) for _ in range(r.randint(0, 8))) for _ in range(3000)]
+    for t, ids in zip(texts, w.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_elias_fano_round_trip_and_select():
     r = np.random.default_rng(0)
     for n, top in ((0, 0), (1, 0), (1, 9), (7, 3), (1000, 40), (5000, 10**7), (700, 1 << 40)):

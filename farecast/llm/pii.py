@@ -6,7 +6,9 @@ numbers with separators, and values of secret-like assignments and keys.
 Boosted trees see each candidate's format (digits, separators, check digit,
 entropy, ...) and its context (cue words near it). Spans that pass a base
 rule always stay; of the others those are added whose score reaches the
-threshold of their kind, best first, unless they touch a span that stands.
+threshold of their kind, best first, unless they touch a span that stands. A
+secret runs to the end of its token, and may hold whole spans (a card number
+by chance inside a long token): of those only the base ones stay beside it.
 
 The trees learn from examples made from a fixed seed: forms of each kind and
 look-alikes (dates, prices, versions, totals, failing check digits) set into
@@ -52,9 +54,9 @@ _spelled_cue = re.compile(r"\(at\)|\[at\]|(?<=\w) at \w+(?: dot |\.)").search
 _number = re.compile(r"(?<![\w.+-])\(?[0-9]{2,5}\)?(?:[ .-]{1,2}[0-9]{2,6}){1,4}(?![\w-])").finditer
 _ssn = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])").finditer
 _iban = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)").finditer
-_key = re.compile(r"(?<!\w)(?:AKIA|ASIA|ghp_|sk-|xox[bp]-)[A-Za-z0-9_-]{12,64}").finditer
+_key = re.compile(r"(?<!\w)(?:AKIA|ASIA|ghp_|sk-|xox[bp]-)[A-Za-z0-9_-]{12,}").finditer
 _assigned = re.compile(
-    r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,128})"
+    r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,})"
 ).finditer
 
 # Words that announce a kind.
@@ -232,13 +234,24 @@ class Detector:
         scores = self.trees.score(np.array([features(text, *c) for c in open_]))
         ranked = sorted(zip(scores.tolist(), open_), key=lambda x: (-x[0], x[1][1], x[1][2], KINDS.index(x[1][0])))
         taken, out = bytearray(len(text)), []  # 1 where a span stands: a test costs the span's length, however many there are
+        inner = bytearray(len(text) + 1)  # 1 where a span that stands goes on from the character before
         for _, a, b in base:
             taken[a:b] = b"\x01" * (b - a)
+            inner[a + 1 : b] = b"\x01" * (b - a - 1)
         for s, (kind, a, b) in ranked:
-            if s >= self.thresholds[kind] and taken.find(1, a, b) < 0:
+            if s < self.thresholds[kind]:
+                continue
+            holds = kind == "secret" and not inner[a] and not inner[b] and taken.find(0, a, b) >= 0
+            if holds or taken.find(1, a, b) < 0:
                 taken[a:b] = b"\x01" * (b - a)
+                inner[a + 1 : b] = b"\x01" * (b - a - 1)
                 out.append((kind, a, b))
-        return out
+        kept, reach = [], 0
+        for kind, a, b in sorted(out, key=lambda c: (c[1], -c[2])):
+            if b > reach:
+                kept.append((kind, a, b))
+                reach = b
+        return kept
 
     def spans(self, text: str | None) -> tuple[list, list]:
         """(base spans, all spans), each by start, then kind as listed."""

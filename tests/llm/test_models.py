@@ -246,6 +246,21 @@ def test_extra_spans(detector):
         assert detector.spans(clean)[1] == []
 
 
+def test_long_secrets_are_whole(detector):
+    r = random.Random(9)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for size in (60, 130, 300, 500, 1500):
+        for letters in (signs, signs + "-_", "0123456789abcdef"):
+            body = "".join(r.choice(letters) for _ in range(size - 1)) + "z"
+            jwt = f"eyJ{body[:size // 3]}.{body[size // 3:]}"
+            card = f"{body[:40]}a4111111111111111a{body[40:]}"
+            for cue, token in (("key ", f"sk-{body}"), ("token=", body), ("password: ", jwt), ("api_key=", card)):
+                text = f"my {cue}{token} is here"
+                at = text.index(token)
+                assert ("secret", at, at + len(token)) in detector.spans(text)[1], text
+                assert detector.redact(text) == f"my {cue}<SECRET> is here"
+
+
 def test_base_spans_always_stay(detector):
     for _, t, _ in EDGE:
         base, spans = detector.spans(t)

@@ -43,7 +43,6 @@ TOP_ROWS = 1000
 TRAIN_FRACTION = 0.7
 FRACTION_SAMPLE = 0.25
 STREAM_FILES = 4
-FOREST = {"num_trees": 100, "max_depth": 12}  # the library's number of trees, all features; depth is bench time
 
 _BRONZE: dict[tuple[str, str], str] = {}
 _SILVER: dict[tuple[str, str], str] = {}
@@ -84,7 +83,7 @@ def saved_run(spark: SparkSession, sf_dir: str):
     k = _key(spark, sf_dir)
     if k not in _RUNS:
         root = scratch_path(spark, "runs")
-        result = train_run(training_split(saved_silver(spark, sf_dir), None, TRAIN_FRACTION), root, **FOREST)
+        result = train_run(training_split(saved_silver(spark, sf_dir), None, TRAIN_FRACTION), root)
         _RUNS[k] = (root, result.run.run_id)
     root, run_id = _RUNS[k]
     return load_run(spark, root, run_id)
@@ -231,7 +230,7 @@ def q_baseline_mse(spark, sf_dir):
 
 
 def q_train_metrics(spark, sf_dir):
-    result = train_run(_split(spark, sf_dir), scratch_path(spark, "runs"), **FOREST)
+    result = train_run(_split(spark, sf_dir), scratch_path(spark, "runs"))
     return result.metrics
 
 

@@ -424,3 +424,16 @@ def test_recording_metrics_again_replaces_them(spark, scratch):
     record_metrics(m, root, "r")
     assert record_metrics(m, root, "r").count() == 1
     assert spark.read.parquet(f"{root}/metrics").count() == 1
+
+
+def test_registered_forests_are_the_operators_own(spark, monkeypatch):
+    from farecast.operators.model import DEFAULT_DEPTH, DEFAULT_TREES
+    from farecast.plans import catalog
+
+    fitted, train_run = [], catalog.train_run
+    monkeypatch.setattr(catalog, "train_run", lambda *a, **k: fitted.append(train_run(*a, **k)) or fitted[-1])
+    monkeypatch.setattr(catalog, "_RUNS", {})
+    catalog.q_train_metrics(spark, SMALL)
+    catalog.saved_run(spark, SMALL)
+    forests = [r.run.model.stages[-1] for r in fitted]
+    assert [(f.getMaxDepth(), f.getNumTrees) for f in forests] == [(DEFAULT_DEPTH, DEFAULT_TREES)] * 2

@@ -86,6 +86,22 @@ def op10_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model, mod=4, held_out=2, threshold=0.3)
 
 
+#: host, path, verdict
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op11_boosted_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.urls import Rule, judge, learn, rule_labels
+
+    pages, rules = read_table(spark, sf_dir, "pages"), [Rule(*r) for r in URL_RULES]
+    return judge(pages, rules, learn(rule_labels(pages, rules)))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bottom_k_fingerprints": op2_bottom_k_fingerprints,
@@ -97,4 +113,5 @@ QUERIES = {
     "op8_boosted_pii": op8_boosted_pii,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lexicon_toxicity": op10_lexicon_toxicity,
+    "op11_boosted_url_filter": op11_boosted_url_filter,
 }

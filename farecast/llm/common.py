@@ -24,6 +24,18 @@ BATCH_BYTES = 16 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+_TYPES = {
+    "int": T.IntegerType, "long": T.LongType, "double": T.DoubleType, "string": T.StringType,
+    "boolean": T.BooleanType, "binary": T.BinaryType,
+}
+
+
+def columns(text: str) -> T.StructType:
+    """A schema from ``"name type, ..."``; needs no session, so modules can define theirs when imported."""
+    pairs = [c.split() for c in text.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t]()) for n, t in pairs])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -102,6 +102,12 @@ def op11_boosted_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, rules, learn(rule_labels(pages, rules)))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.periodic import detect
+
+    return detect(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bottom_k_fingerprints": op2_bottom_k_fingerprints,
@@ -114,4 +120,5 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lexicon_toxicity": op10_lexicon_toxicity,
     "op11_boosted_url_filter": op11_boosted_url_filter,
+    "op13_periodic_runs": op13_periodic_runs,
 }

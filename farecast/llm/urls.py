@@ -34,10 +34,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from farecast.llm.boost import Trees, fit
-from farecast.llm.common import bound_batches, hash_sample, map_slices
+from farecast.llm.common import bound_batches, columns, hash_sample, map_slices
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 20_000  # at most so many labelled URLs fit the trees
@@ -266,7 +265,7 @@ def rule_labels(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
         return fn
 
-    return map_slices(pages.select("url"), make, T.StructType.fromDDL("url string, label int"), 2048)
+    return map_slices(pages.select("url"), make, columns("url string, label int"), 2048)
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], model: Model, threshold: float = 0.5, page_id: str | Column = "page_id") -> DataFrame:
@@ -294,5 +293,5 @@ def judge(pages: DataFrame, rules: Sequence[Rule], model: Model, threshold: floa
         return fn
 
     key = (F.col(page_id) if isinstance(page_id, str) else page_id).cast("long").alias("page_id")
-    schema = T.StructType.fromDDL("page_id long, host string, path string, rule string, verdict string, score double")
+    schema = columns("page_id long, host string, path string, rule string, verdict string, score double")
     return map_slices(pages.select(key, "url"), make, schema, 2048)

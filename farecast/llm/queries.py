@@ -102,6 +102,12 @@ def op11_boosted_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, rules, learn(rule_labels(pages, rules)))
 
 
+def op12_zone_mapped_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farecast.llm.negatives import mine
+
+    return mine(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farecast.llm.periodic import detect
 
@@ -120,5 +126,6 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lexicon_toxicity": op10_lexicon_toxicity,
     "op11_boosted_url_filter": op11_boosted_url_filter,
+    "op12_zone_mapped_negatives": op12_zone_mapped_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }

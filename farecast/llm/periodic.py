@@ -192,8 +192,18 @@ def solve(x: list[int], octave: int, bounds: list[int], periods: list[int]) -> l
     return out
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers from 0 on, in two bytes each where they fit; the first byte tells the width."""
+    width = 2 if not len(x) or x.max() < 1 << 16 else 4
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
+
+
 _SCAN = columns(
-    "rid long, doc_id long, n long, words string, plain_sha256 string, "
+    "rid long, doc_id long, n long, words binary, plain_sha256 string, "
     "octave int, first long, ids binary, bounds binary, periods binary"
 )
 
@@ -211,11 +221,11 @@ def _scan(docs: DataFrame) -> DataFrame:
         for d, octave, b, q in equal_blocks(x, powers):
             tiled.add(d)
             for first, part, bs, qs in tiles(x[d], octave, b, q):
-                blobs = [np.ascontiguousarray(a, "<i4").tobytes() for a in (part, bs, qs)]
+                blobs = [_narrow(a) for a in (part, bs, qs)]
                 out.append((rids[d], None, None, None, None, octave, first, *blobs))
         for d, ws in enumerate(words):
             text = b" ".join(ws)
-            kept = (text.decode(), None) if d in tiled else (None, hashlib.sha256(text).hexdigest())
+            kept = (zlib.compress(text, 1), None) if d in tiled else (None, hashlib.sha256(text).hexdigest())
             out.append((rids[d], ids[d], len(ws), *kept, None, None, None, None, None))
         return out
 
@@ -247,7 +257,7 @@ def _fragments(tiled: DataFrame) -> DataFrame:
         def fn(c):
             out = []
             for rid, octave, first, *blobs in zip(*(c[k] for k in ("rid", "octave", "first", "ids", "bounds", "periods"))):
-                x, b, q = (np.frombuffer(v, "<i4").tolist() for v in blobs)
+                x, b, q = (_wide(v).tolist() for v in blobs)
                 out += [(rid, p, first + s, first + e) for p, s, e in solve(x, octave, b, q)]
             return {k: list(v) for k, v in zip(schema.names, zip(*out))} if out else None
 
@@ -314,7 +324,7 @@ def detect(docs: DataFrame) -> DataFrame:
                 spans = [(r["start"], r["length"], r["period"]) for r in found or ()]
                 start, length, period = (-top["s"], top["length"], -top["p"]) if top else (None, None, None)
                 if words is not None:
-                    plain = hashlib.sha256(_collapsed(words.encode().split(), spans)).hexdigest()
+                    plain = hashlib.sha256(_collapsed(zlib.decompress(words).split(), spans)).hexdigest()
                 listing = "".join(f"{s},{k},{p}\n" for s, k, p in spans)
                 row = (
                     doc_id, len(spans), start, length, period, 1000 * length // period if top else None,

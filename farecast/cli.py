@@ -21,7 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from farecast.operators.keys import key_period
-from farecast.operators.model import DEFAULT_DEPTH, DEFAULT_TREES, load_run
+from farecast.operators.model import DEFAULT_TREES, load_run
 from farecast.operators.sinks import create_upsert_table, replace_period
 from farecast.schemas import PREDICTION, SILVER
 from farecast.plans.flows import load_month, score_flow, train_flow
@@ -53,7 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--validation", type=float, default=0.0)
     train.add_argument("--fit-on", choices=["all", "train"], default="all")
     train.add_argument("--trees", type=int, default=DEFAULT_TREES)
-    train.add_argument("--depth", type=int, default=DEFAULT_DEPTH)
+    train.add_argument("--depth", type=int, help="depth limit (default: until leaves are pure)")
 
     score = sub.add_parser("score", help="score silver (or one period) with a saved run")
     score.add_argument("--silver", required=True)
@@ -99,7 +99,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         silver = read_table(spark, args.silver, period)
         preds = score_flow(silver, load_run(spark, args.runs, args.run_id))
         year, month = key_period("trip_id")  # the padded key carries its period: no join back
-        replace_period(preds.withColumns({"metadata_year": year, "metadata_month": month}), args.out)
+        replace_period(preds.withColumns({"metadata_year": year, "metadata_month": month}), args.out, period=period)
         out = {"run_id": args.run_id, "rows": read_table(spark, args.out, period).count()}
     else:
         run = load_run(spark, args.runs, args.run_id)

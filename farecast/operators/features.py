@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farecast.functions.codes import PAYMENT_FLAG_LABELS
-from farecast.operators.joins import left_join_features
+from farecast.operators.joins import bucketed_features, left_join_features
 from farecast.schemas import MATRIX, PAYMENT, PICKUP_HOUR, conform
 
 
@@ -59,3 +59,15 @@ def model_matrix_joined(silver: DataFrame, hour: DataFrame | None = None, paymen
     hour = pickup_hour(silver) if hour is None else hour
     payment = payment_flags(silver) if payment is None else payment
     return conform(left_join_features(left_join_features(base, hour), payment), MATRIX)
+
+
+def model_matrix_bucketed(silver: DataFrame, root: str, prefix: str, buckets: int = 64) -> DataFrame:
+    """The joined matrix from tables bucketed by trip_id below ``root`` (named ``prefix`` + ...): each
+    frame is shuffled once, when it is written, and joins read bucket by bucket without an exchange."""
+    frames = {
+        "base": silver.select("trip_id", "tip_amount", "pickup_taxi_zone_id"),
+        "hour": pickup_hour(silver),
+        "payment": payment_flags(silver),
+    }
+    tables = {k: bucketed_features(f, f"{prefix}_{k}", f"{root.rstrip('/')}/{k}", buckets=buckets) for k, f in frames.items()}
+    return model_matrix_joined(tables["base"], tables["hour"].hint("merge"), tables["payment"].hint("merge"))

@@ -1,24 +1,9 @@
-"""Joins with a checked broadcast side (J1 and internal lookups)."""
+"""Joins (J1 and internal lookups). Nothing is broadcast by a hint: small sides are
+tables written before, so Catalyst knows their size in bytes and picks the join."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# A side is broadcast only when it has been counted and holds at most this
-# many rows; otherwise the join shuffles both sides on the key.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df, True)`` wrapped in a broadcast hint if it has at most
-    ``max_rows`` rows, else ``(df, False)`` unchanged.
-
-    The count is one job over ``df``; call it only on frames whose plan is
-    cheap to run twice (aggregates, small lookups, written tables).
-    """
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -35,6 +20,19 @@ def left_join_features(base: DataFrame, feature: DataFrame, key: str = "trip_id"
 
     The physical strategy is left to Catalyst and AQE: a small feature frame
     becomes a broadcast hash join, a large one a sort-merge join that AQE may
-    split when a key is skewed.
+    split when a key is skewed. Frames read from tables bucketed by the key
+    (``bucketed_features``) are joined bucket by bucket, without an exchange.
     """
     return base.join(feature, on=key, how="left")
+
+
+def bucketed_features(df: DataFrame, name: str, path: str, key: str = "trip_id", buckets: int = 64) -> DataFrame:
+    """Write a feature frame as a table bucketed and sorted by its key, and return the table.
+
+    Frames bucketed alike are joined on the key without an exchange or a sort, every time they are
+    read; the one shuffle is here. Size ``buckets`` for the largest of them (e.g. its size / 256 MB)."""
+    (
+        df.repartition(int(buckets), key)  # one file a bucket
+        .write.mode("overwrite").bucketBy(int(buckets), key).sortBy(key).option("path", path).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)

@@ -1,23 +1,26 @@
 """Dense row index (P4) and surrogate trip key (P5).
 
-``with_row_index`` numbers rows 0..n-1 within each group of ``partition_cols``
-in the order of ``order_cols`` without ever sorting a group in one task:
-
-1. range-partition on (group, order) into ``num_ranges`` ranges and sort
-   within each range; a group may span many ranges, so a month holding a
-   third of all rows is still spread over many tasks;
-2. stamp each row with its position (range id << 33 | row in range) and
-   write the result to the shared folder -- this cuts the lineage, so the
+``key_index`` numbers rows 0..n-1 within each group of ``partition_cols`` in
+the order of ``order_cols`` without ever sorting a group in one task, and
+touches no column but those:
+
+1. range-partition the keys on (group, order) into ``num_ranges`` ranges,
+   count copies of a key and sort within each range; a group may span many
+   ranges, so a month holding a third of all rows is still spread over many
+   tasks;
+2. stamp each key with its position (range id << 33 | row in range) and
+   write the keys to the shared folder -- this cuts the lineage, so the
    range boundaries (found by sampling) can never differ between passes,
    and a lost executor only re-reads written files;
-3. count rows per (group, range) from the written table -- a column scan
-   whose output has at most ``num_ranges + groups`` rows;
-4. running sum of those counts per group gives each range's start offset;
-   the small offset table is written once, counted, and broadcast if within
-   the row bound, else joined by shuffle;
-5. index = range offset + (position - first position of the group in range).
-
-The order must be total (unique), e.g. (pickup time, natural id).
+3. count rows per (group, range) from the written keys, and sum those counts
+   up per group: each range's start. At most ``num_ranges + groups`` rows,
+   written once and joined back (broadcast by Catalyst at its written size);
+4. index = start of the range + (position - first position of the group in it).
+
+``with_row_index`` joins the numbers to the full rows on their keys; full
+rows are neither sorted nor written. Where Catalyst finds the numbers small
+they are broadcast and rows are not shuffled at all. Rows of equal keys get
+neighbouring numbers, in the order of a hash of their other columns.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farecast.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, null_safe_on
+from farecast.operators.joins import null_safe_on
 from farecast.session import scratch_path
 
 _POS = "__rix_pos"
@@ -36,8 +39,8 @@ _PID = "__rix_range"
 _CNT = "__rix_count"
 _FIRST = "__rix_first"
 _OFF = "__rix_offset"
-
-MAX_BROADCAST_FILES = 50_000  # paths of a few hundred bytes: some 20 MB at most
+_COPIES = "__rix_copies"
+_INDEX = "__rix_index"
 
 # Padded key layout: year | month (2 digits) | index (12 digits).
 KEY_MONTH_FACTOR = 10**12
@@ -50,44 +53,79 @@ def default_ranges(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_row_index(
+def _range_of(pos: str = _POS):
+    return F.shiftrightunsigned(F.col(pos), 33).alias(_PID)
+
+
+def _numbered(
+    df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str], num_ranges: int | None
+) -> tuple[DataFrame, bool]:
+    """(keys, index of the key's first row, copies), and whether any key has copies."""
+    spark = df.sparkSession
+    keys = [*partition_cols, *order_cols]
+    path, offsets_path = scratch_path(spark, "row-index"), scratch_path(spark, "row-index-offsets")
+    # equal keys are in one range already, so counting them needs no other exchange
+    ranged = df.select(*keys).repartitionByRange(num_ranges or default_ranges(df), *keys)
+    ranged = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES)).sortWithinPartitions(*keys)
+    ranged.withColumn(_POS, F.monotonically_increasing_id()).write.parquet(path)
+    fields = [*df.select(*keys).schema.fields, T.StructField(_COPIES, T.LongType()), T.StructField(_POS, T.LongType())]
+    ranged = spark.read.schema(T.StructType(fields)).parquet(path)
+
+    stats = ranged.groupBy(*partition_cols, _range_of()).agg(
+        F.sum(_COPIES).alias(_CNT), F.count(F.lit(1)).alias(_COPIES), F.min(_POS).alias(_FIRST)
+    )
+    before = Window.partitionBy(*partition_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.withColumn(_OFF, F.coalesce(F.sum(_CNT).over(before), F.lit(0).cast("long")))
+    offsets.write.parquet(offsets_path)
+    offsets = spark.read.schema(offsets.schema).parquet(offsets_path)
+    repeated = bool(offsets.agg(F.max(F.col(_CNT) - F.col(_COPIES))).first()[0])
+
+    left = ranged.withColumn(_PID, _range_of())
+    place = left[_POS] - offsets[_FIRST]
+    if repeated:  # rows before the key in its range and group, copies counted
+        earlier = Window.partitionBy(*partition_cols, _PID).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
+        left = left.withColumn(_CNT, F.coalesce(F.sum(_COPIES).over(earlier), F.lit(0).cast("long")))
+        place = left[_CNT]
+    joined = left.join(offsets, null_safe_on(left, offsets, [*partition_cols, _PID]), "inner")
+    return joined.select(*[left[c] for c in keys], (offsets[_OFF] + place).alias(_INDEX), left[_COPIES]), repeated
+
+
+def key_index(
     df: DataFrame,
     order_cols: Sequence[str],
     partition_cols: Sequence[str] = (),
     name: str = "row_index",
     num_ranges: int | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add ``name``: dense 0-based index per ``partition_cols`` in ``order_cols`` order."""
-    spark = df.sparkSession
-    n = num_ranges or default_ranges(df)
+    """(partition_cols, order_cols, ``name``): the dense 0-based index of every row's key."""
+    numbers, repeated = _numbered(df, order_cols, partition_cols, num_ranges)
     keys = [*partition_cols, *order_cols]
-    path = scratch_path(spark, "row-index")
-    (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(_POS, F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    ranged = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_POS, T.LongType(), False)])).parquet(path)
+    if not repeated:
+        return numbers.select(*keys, F.col(_INDEX).alias(name))
+    copies = F.explode(F.sequence(F.col(_INDEX), F.col(_INDEX) + F.col(_COPIES) - 1))
+    return numbers.select(*keys, copies.alias(name))
 
-    stats = ranged.groupBy(*partition_cols, F.shiftrightunsigned(F.col(_POS), 33).alias(_PID)).agg(
-        F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST)
-    )
-    before = Window.partitionBy(*partition_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets_path = scratch_path(spark, "row-index-offsets")
-    offsets = stats.select(
-        *partition_cols, _PID, _FIRST, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF)
-    )
-    offsets.write.parquet(offsets_path)
-    # the offset table is written once (one scan of three columns of the big
-    # table); its size check and the join then only read the small table
-    offsets, _ = broadcast_if_small(spark.read.schema(offsets.schema).parquet(offsets_path), max_broadcast_rows)
 
-    left = ranged.withColumn(_PID, F.shiftrightunsigned(F.col(_POS), 33))
-    joined = left.join(offsets, null_safe_on(left, offsets, [*partition_cols, _PID]), "inner")
-    index = (offsets[_OFF] + left[_POS] - offsets[_FIRST]).alias(name)
-    return joined.select(*[left[c] for c in df.columns], index)
+def with_row_index(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    partition_cols: Sequence[str] = (),
+    name: str = "row_index",
+    num_ranges: int | None = None,
+) -> DataFrame:
+    """Add ``name``: dense 0-based index per ``partition_cols`` in ``order_cols`` order."""
+    keys = [*partition_cols, *order_cols]
+    if set(df.columns) == set(keys):
+        return key_index(df, order_cols, partition_cols, name, num_ranges).select(*df.columns, name)
+    numbers, repeated = _numbered(df, order_cols, partition_cols, num_ranges)
+    joined = df.join(numbers, null_safe_on(df, numbers, keys), "inner")
+    index = numbers[_INDEX]
+    if repeated:
+        others = [df[c] for c in df.columns if c not in keys]
+        copies = Window.partitionBy(*[df[c] for c in keys]).orderBy(F.xxhash64(*others))
+        joined = joined.withColumn(_POS, F.row_number().over(copies) - 1)
+        index = index + F.col(_POS)
+    return joined.select(*[df[c] for c in df.columns], index.alias(name))
 
 
 def with_file_index(df: DataFrame, file_col: str, row_col: str, name: str = "row_index") -> DataFrame:
@@ -103,7 +141,7 @@ def with_file_index(df: DataFrame, file_col: str, row_col: str, name: str = "row
     before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)  # one row per file of the load
     offsets = sizes.select(F.col(file_col).alias(_PID), F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
     offsets.write.parquet(path)
-    offsets, _ = broadcast_if_small(spark.read.schema(offsets.schema).parquet(path), MAX_BROADCAST_FILES)
+    offsets = spark.read.schema(offsets.schema).parquet(path)  # broadcast by Catalyst at its written size
     index = (F.col(_OFF) + F.col(row_col)).alias(name)
     return df.join(offsets, F.col(file_col) == F.col(_PID)).select(*df.columns, index)
 

@@ -1,11 +1,11 @@
 """The registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per
 operator group, each over the whole shared test tables.
 
-Silver is built from ``events`` once per session and test-data folder and
-saved below the shared folder (as the original pipeline saves its silver
-table); the queries downstream of silver read the saved table. ``silver_trips``
-itself always builds silver from scratch. Outputs go through ``comparable``
-(money as double, times as text) so they compare across engines.
+Every call reads the given tables anew; nothing is kept between calls. Queries
+that read silver more than once write it below the shared folder first (as the
+original pipeline saves its silver table), the others compute it in their own
+plan. Outputs go through ``comparable`` (money as double, times as text) so
+they compare across engines.
 """
 
 from __future__ import annotations
@@ -17,22 +17,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farecast.functions.scalar import apply_scalar, comparable, inverse_zscore
-from farecast.operators.features import model_matrix, model_matrix_joined, payment_flags, pickup_hour
+from farecast.operators.features import (
+    model_matrix,
+    model_matrix_bucketed,
+    model_matrix_joined,
+    payment_flags,
+    pickup_hour,
+)
 from farecast.operators.keys import trip_key, trip_key_compat, with_row_index
-from farecast.operators.model import Run, evaluate, fit_forest, load_run, predict_scaled, save_run, train_run
+from farecast.operators.model import Run, evaluate, fit_forest, load_run, predict_scaled, read_metrics, save_run, train_run
 from farecast.operators.sampling import sample_fraction, split_hashed, take_first
 from farecast.operators.scaling import fit_scaler, inverse_scale, scale, scaler_stats
-from farecast.operators.silver import tag_period, to_silver
-from farecast.operators.sinks import append, compact, drop_table, latest, materialize, replace_period, upsert
+from farecast.operators.silver import to_silver
+from farecast.operators.sinks import (
+    append,
+    changes_since,
+    compact,
+    drop_table,
+    ensure_database,
+    latest,
+    materialize,
+    next_number,
+    read_log,
+    replace_period,
+    reserve,
+    reset,
+    sql_over,
+    table_exists,
+    upsert,
+)
 from farecast.plans.flows import bronze_from_events, score_flow, training_split
 from farecast.schemas import BRONZE, FEATURES, PERIOD_COLUMNS, SILVER
-from farecast.session import scratch_path, session_id
-from farecast.sources.files import read_format, read_table, read_trips
+from farecast.session import list_names, move_path, remove_path, scratch_path
+from farecast.sources.files import read_format, read_months, read_table
 from farecast.sources.fixtures import events_table, fixture_periods, land_monthly, raw_trips_from_events
 from farecast.streaming.stream import (
     await_progress,
     land_files,
-    rows_changed,
     run_stream,
     scoring_batch,
     silver_batch,
@@ -44,49 +65,30 @@ TRAIN_FRACTION = 0.7
 FRACTION_SAMPLE = 0.25
 STREAM_FILES = 4
 
-_BRONZE: dict[tuple[str, str], str] = {}
-_SILVER: dict[tuple[str, str], str] = {}
-_RUNS: dict[tuple[str, str], tuple[str, str]] = {}
-
-
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return (session_id(spark), sf_dir.rstrip("/"))
-
 
 def build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(bronze_from_events(spark, sf_dir))
 
 
 def saved_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed bronze of ``sf_dir``, written once per session, partitioned by period."""
-    k = _key(spark, sf_dir)
-    if k not in _BRONZE:
-        path = scratch_path(spark, "bronze")
-        replace_period(bronze_from_events(spark, sf_dir), path)
-        _BRONZE[k] = path
-    return read_table(spark, _BRONZE[k], schema=BRONZE)
+    """Keyed bronze of ``sf_dir``, written partitioned by period."""
+    path = scratch_path(spark, "bronze")
+    replace_period(bronze_from_events(spark, sf_dir), path)
+    return read_table(spark, path, schema=BRONZE)
 
 
 def saved_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver of ``sf_dir`` built from the saved bronze, written once per
-    session, partitioned by period."""
-    k = _key(spark, sf_dir)
-    if k not in _SILVER:
-        path = scratch_path(spark, "silver")
-        replace_period(to_silver(saved_bronze(spark, sf_dir)), path)
-        _SILVER[k] = path
-    return read_table(spark, _SILVER[k], schema=SILVER)
-
-
-def saved_run(spark: SparkSession, sf_dir: str):
-    """A model run trained on ``sf_dir`` once per session and saved."""
-    k = _key(spark, sf_dir)
-    if k not in _RUNS:
-        root = scratch_path(spark, "runs")
-        result = train_run(training_split(saved_silver(spark, sf_dir), None, TRAIN_FRACTION), root)
-        _RUNS[k] = (root, result.run.run_id)
-    root, run_id = _RUNS[k]
-    return load_run(spark, root, run_id)
+    """Silver of ``sf_dir``, written partitioned by period."""
+    path = scratch_path(spark, "silver")
+    replace_period(build_silver(spark, sf_dir), path)
+    return read_table(spark, path, schema=SILVER)
+
+
+def saved_run(spark: SparkSession, silver: DataFrame) -> Run:
+    """A run trained on ``silver`` with the library's own settings, saved and loaded."""
+    root = scratch_path(spark, "runs")
+    result = train_run(training_split(silver, None, TRAIN_FRACTION), root)
+    return load_run(spark, root, result.run.run_id)
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,16 +101,12 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bronze_trips(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     periods = land_monthly(_raw(spark, sf_dir), landing)
-    frames = [tag_period(read_trips(spark, landing, y, m), y, m) for y, m in periods]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return comparable(out, text_cols=("Payment_type",))
+    return comparable(read_months(spark, landing, periods), text_cols=("Payment_type",))
 
 
 def q_row_index(spark, sf_dir):
-    idx = with_row_index(_raw(spark, sf_dir), ["tpep_pickup_datetime", "event_id"], PERIOD_COLUMNS, "idx")
-    return idx.select("event_id", "idx")
+    keys = _raw(spark, sf_dir).select("event_id", "tpep_pickup_datetime", *PERIOD_COLUMNS)
+    return with_row_index(keys, ["tpep_pickup_datetime", "event_id"], PERIOD_COLUMNS, "idx").select("event_id", "idx")
 
 
 def q_trip_key(spark, sf_dir):
@@ -130,37 +128,46 @@ def q_silver_trips(spark, sf_dir):
 
 
 def q_counts_by_period(spark, sf_dir):
-    return saved_silver(spark, sf_dir).groupBy(*PERIOD_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    return build_silver(spark, sf_dir).groupBy(*PERIOD_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_total_count(spark, sf_dir):
-    return saved_silver(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return build_silver(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- features ----------------------------------------------------------------
 
 
 def q_pickup_hour(spark, sf_dir):
-    return pickup_hour(saved_silver(spark, sf_dir))
+    return pickup_hour(build_silver(spark, sf_dir))
 
 
 def q_payment_flags(spark, sf_dir):
-    return payment_flags(saved_silver(spark, sf_dir))
+    return payment_flags(build_silver(spark, sf_dir))
 
 
 def q_matrix_joined(spark, sf_dir):
     return comparable(model_matrix_joined(saved_silver(spark, sf_dir)))
 
 
+def q_matrix_bucketed(spark, sf_dir):
+    """The joined matrix from bucketed tables; the catalog keeps none of them."""
+    prefix = f"features_{uuid.uuid4().hex[:8]}"
+    matrix = model_matrix_bucketed(saved_silver(spark, sf_dir), scratch_path(spark, "features"), prefix, buckets=8)
+    for name in ("base", "hour", "payment"):
+        drop_table(spark, f"{prefix}_{name}")  # their files stay, and the plan reads those
+    return comparable(matrix)
+
+
 def q_matrix_fused(spark, sf_dir):
-    return comparable(model_matrix(saved_silver(spark, sf_dir)))
+    return comparable(model_matrix(build_silver(spark, sf_dir)))
 
 
 # --- sampling, split, scaling ------------------------------------------------
 
 
 def _matrix(spark, sf_dir):
-    return model_matrix(saved_silver(spark, sf_dir))
+    return model_matrix(build_silver(spark, sf_dir))
 
 
 def _split(spark, sf_dir):
@@ -174,7 +181,7 @@ def _split_saved(spark, sf_dir):
 
 
 def q_sample_top_n(spark, sf_dir):
-    return comparable(take_first(_matrix(spark, sf_dir), TOP_ROWS))
+    return comparable(take_first(model_matrix(saved_silver(spark, sf_dir)), TOP_ROWS))
 
 
 def q_sample_fraction(spark, sf_dir):
@@ -241,24 +248,49 @@ def q_tree_predictions(spark, sf_dir):
     """One full tree on hour and payment flags: fit, save, load, predict, unscale.
 
     Its leaves are the groups of equal features, so each prediction is the
-    train mean of its group. Groups without train rows have no such mean and
-    are left out."""
+    train mean of its group. Every row is predicted; in a group without train
+    rows the value is whatever leaf the tree leads to, so it is not shown, only
+    that there is one."""
     split = _split_saved(spark, sf_dir)
     scaler = fit_scaler(split, "tip_amount", "all")
     scaled = scale(split, scaler, "tip_amount")
-    options = {"features": TREE_FEATURES, "bootstrap": False, "minInfoGain": 0.0}
-    model = fit_forest(scaled, num_trees=1, max_depth=20, fit_rows=None, **options)
+    model = fit_forest(scaled, num_trees=1, features=TREE_FEATURES, bootstrap=False)
     root = scratch_path(spark, "runs")
     save_run(Run("tree", root, model, scaler))
     run = load_run(spark, root, "tree")
-    seen = split.where(F.col("data_type") == F.lit("train")).select(*TREE_FEATURES).distinct()
-    pred = predict_scaled(run.model, split.join(seen, TREE_FEATURES, "left_semi"), "z")
+    train = F.col("data_type") == F.lit("train")
+    seen = split.where(train).select(*TREE_FEATURES).distinct().withColumn("seen", F.lit(True))
+    pred = predict_scaled(run.model, split, "z").join(seen, TREE_FEATURES, "left")
     tip = inverse_zscore(F.col("z"), run.scaler.mean, run.scaler.std)
-    return pred.select("trip_id", "data_type", F.round(tip, 6).alias("predicted"))
+    return pred.select(
+        "trip_id", "data_type", F.col("z").isNotNull().alias("has_value"),
+        F.when(F.col("seen"), F.round(tip, 6)).alias("predicted"),
+    )
+
+
+def _hour_tree(spark, split: DataFrame) -> Run:
+    """A published run of one full tree on the hour: its predictions are the train means of the hours."""
+    root = scratch_path(spark, "runs")
+    result = train_run(split, root, num_trees=1, bootstrap=False, features=["pickup_hour"])
+    return load_run(spark, root, result.run.run_id)
+
+
+def q_exact_tree_metrics(spark, sf_dir):
+    """The metrics of a whole training run, as recorded with it and read back."""
+    run = _hour_tree(spark, _split(spark, sf_dir))
+    return read_metrics(spark, run.root, run.run_id)
+
+
+def q_exact_tree_scores(spark, sf_dir):
+    """Batch scoring of every trip with a published run of one exact tree."""
+    silver = saved_silver(spark, sf_dir)
+    run = _hour_tree(spark, training_split(silver, None, TRAIN_FRACTION))
+    return comparable(score_flow(silver, run))
 
 
 def q_batch_predictions(spark, sf_dir):
-    return comparable(score_flow(saved_silver(spark, sf_dir), saved_run(spark, sf_dir)))
+    silver = saved_silver(spark, sf_dir)
+    return comparable(score_flow(silver, saved_run(spark, silver)))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -315,52 +347,114 @@ def q_upsert_two_writers(spark, sf_dir):
     return comparable(latest(spark, compacted))
 
 
+def q_upsert_same_number(spark, sf_dir):
+    """Two writers that both begin before either has written take the same number; a key has one row still:
+    that of the writer whose name is later."""
+    silver = saved_silver(spark, sf_dir)
+    path = scratch_path(spark, "upsert")
+    numbers = [reserve(spark, path, 0, writer)[0] for writer in ("b", "a")]
+    assert numbers[0] == numbers[1]
+    upsert(_amounts(silver, [11, 12], "1.00"), path, 0, writer="b")
+    upsert(_amounts(silver, [1, 11], "0.00"), path, 0, writer="a")
+    upsert(_amounts(silver, [1], "5.00"), path, 0, writer="a")  # known as a replay: not written
+    return comparable(latest(spark, path))
+
+
 def q_materialized(spark, sf_dir):
     name, path = f"silver_{uuid.uuid4().hex[:8]}", scratch_path(spark, "materialized")
-    schema = materialize(saved_silver(spark, sf_dir), path, name, "cleaned trips").schema
+    schema = materialize(build_silver(spark, sf_dir), path, name, "cleaned trips").schema
     drop_table(spark, name)  # the demo leaves nothing in the catalog
     ds = read_table(spark, path, schema=schema)
     return ds.groupBy(*PERIOD_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_table_lifecycle(spark, sf_dir):
+    """A table by name: made at its first load, loaded month by month, reloaded, read by SQL, dropped (K4-K6)."""
+    database = f"trips_{uuid.uuid4().hex[:8]}"
+    silver, table = saved_silver(spark, sf_dir), f"{database}.silver"
+    ensure_database(spark, database)
+    reset(spark, table)  # nothing there yet
+    before = table_exists(spark, table)
+    for y, m in fixture_periods():
+        month = silver.where((F.col("metadata_year") == y) & (F.col("metadata_month") == m))
+        replace_period(month.unionByName(month), table, period=(y, m))  # a faulty double load ...
+        replace_period(month, table, period=(y, m))  # ... replaced
+    replace_period(silver.where("false"), table, period=(2022, 12))  # a reload without rows empties its month
+    december = silver.where("metadata_month = 12").select(*read_table(spark, table, (2022, 11)).columns)
+    append(december, table, PERIOD_COLUMNS)
+    counts = sql_over(
+        read_table(spark, table), "loaded",
+        "SELECT metadata_year, metadata_month, count(*) AS n, sum(tip_amount) AS tips FROM loaded GROUP BY ALL",
+    )
+    rows = [(*r, before, table_exists(spark, table)) for r in comparable(counts).collect()]  # one a period
+    reset(spark, table)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    columns = "metadata_year int, metadata_month int, n long, tips double, before boolean, after boolean"
+    return spark.createDataFrame(rows, columns)
+
+
 # --- streaming ---------------------------------------------------------------
 
 
-def _landed_bronze(spark, sf_dir) -> str:
-    """The saved bronze table landed as STREAM_FILES files, one per micro-batch."""
-    landing = scratch_path(spark, "stream-in")
-    land_files(saved_bronze(spark, sf_dir), landing, STREAM_FILES)
-    return landing
+def _drain(spark, landing: str, process, checkpoint: str | None = None):
+    checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
+    return await_progress(run_stream(stream_trips(spark, landing, max_files=1), process, checkpoint))
 
 
-def _stream_silver(spark, sf_dir):
-    landing = _landed_bronze(spark, sf_dir)
-    silver_log = scratch_path(spark, "stream-silver")
-    query = run_stream(stream_trips(spark, landing, max_files=1), silver_batch(silver_log), scratch_path(spark, "stream-ckpt"))
-    progress = await_progress(query)
-    return silver_log, progress
+def _landed(spark, bronze: DataFrame, files: int = STREAM_FILES) -> str:
+    """Bronze rows landed as so many files, one per micro-batch."""
+    landing = scratch_path(spark, "stream-in")
+    land_files(bronze, landing, files)
+    return landing
 
 
 def q_stream_silver(spark, sf_dir):
-    silver_log, _ = _stream_silver(spark, sf_dir)
+    silver_log = scratch_path(spark, "stream-silver")
+    _drain(spark, _landed(spark, saved_bronze(spark, sf_dir)), silver_batch(silver_log))
     return comparable(latest(spark, silver_log))
 
 
 def q_stream_predictions(spark, sf_dir):
-    run = saved_run(spark, sf_dir)
-    landing = _landed_bronze(spark, sf_dir)
+    bronze = saved_bronze(spark, sf_dir)
+    run = saved_run(spark, to_silver(bronze))
     silver_log, pred_log = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-pred")
-    query = run_stream(stream_trips(spark, landing, max_files=1), scoring_batch(silver_log, pred_log, run), scratch_path(spark, "stream-ckpt"))
-    await_progress(query)
+    _drain(spark, _landed(spark, bronze), scoring_batch(silver_log, pred_log, run))
     return comparable(latest(spark, pred_log))
 
 
 def q_stream_progress(spark, sf_dir):
-    """Micro-batches and rows read (from the query's progress), and rows the
-    run added to the sink (a count before and after, as a monitor would)."""
-    silver_log, p = _stream_silver(spark, sf_dir)
-    added = rows_changed(0, latest(spark, silver_log).count())  # the sink is new: 0 rows before
-    return spark.createDataFrame([(p.batches, p.rows, added)], "batches long, rows long, rows_added long")
+    """A run into a sink that holds two months already: micro-batches, rows read and written (from the
+    run's own events and observations), and the keys it inserted and updated."""
+    bronze = saved_bronze(spark, sf_dir)
+    silver_log = scratch_path(spark, "stream-silver")
+    _drain(spark, _landed(spark, bronze.where(F.col("metadata_month").isin(1, 11)), 2), silver_batch(silver_log))
+    first = next_number(spark, silver_log)
+    p = _drain(spark, _landed(spark, bronze), silver_batch(silver_log))
+    changed = changes_since(read_log(spark, silver_log), first)
+    counts = [F.lit(v).cast("long").alias(n) for n, v in (("batches", p.batches), ("rows", p.rows), ("written", p.written))]
+    return changed.select(*counts, "inserted", "updated")
+
+
+def q_stream_after_delete(spark, sf_dir):
+    """Two runs on one checkpoint; between them one landed file vanishes and another is rewritten under
+    its name. What was processed stays, and only the new file is read (S5)."""
+    bronze, landing = saved_bronze(spark, sf_dir), scratch_path(spark, "stream-in")
+    silver_log, checkpoint = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-ckpt")
+
+    def land(month: int, **changes) -> str:
+        before = set(list_names(spark, landing))
+        rows = bronze.where(F.col("metadata_month") == month).withColumns(changes)
+        land_files(rows, landing, 1)
+        [new] = [n for n in list_names(spark, landing) if n.endswith(".parquet") and n not in before]
+        return f"{landing}/{new}"
+
+    gone, rewritten = land(1), land(11)
+    _drain(spark, landing, silver_batch(silver_log), checkpoint)
+    remove_path(spark, gone)
+    move_path(spark, land(11, tip_amount=F.lit("99.00").cast("decimal(13,2)")), rewritten)
+    land(12)
+    _drain(spark, landing, silver_batch(silver_log), checkpoint)
+    return comparable(latest(spark, silver_log))
 
 
 # --- UDF surface ---------------------------------------------------------------
@@ -371,7 +465,7 @@ def _double(s: pd.Series) -> pd.Series:
 
 
 def q_apply_scalar(spark, sf_dir):
-    silver = saved_silver(spark, sf_dir).select("trip_id", F.col("tip_amount").cast("double").alias("tip"))
+    silver = build_silver(spark, sf_dir).select("trip_id", F.col("tip_amount").cast("double").alias("tip"))
     return apply_scalar(silver, "tip", "tip_doubled", _double).select("trip_id", "tip_doubled")
 
 
@@ -387,6 +481,7 @@ QUERIES = {
     "payment_flags": q_payment_flags,
     "matrix_joined": q_matrix_joined,
     "matrix_fused": q_matrix_fused,
+    "matrix_bucketed": q_matrix_bucketed,
     "sample_top_n": q_sample_top_n,
     "sample_fraction": q_sample_fraction,
     "split_exact": q_split_exact,
@@ -398,14 +493,19 @@ QUERIES = {
     "baseline_mse": q_baseline_mse,
     "train_metrics": q_train_metrics,
     "tree_predictions": q_tree_predictions,
+    "exact_tree_metrics": q_exact_tree_metrics,
+    "exact_tree_scores": q_exact_tree_scores,
     "batch_predictions": q_batch_predictions,
     "replace_period": q_replace_period,
     "append_table": q_append_table,
     "upsert_latest": q_upsert_latest,
     "upsert_two_writers": q_upsert_two_writers,
+    "upsert_same_number": q_upsert_same_number,
     "materialized": q_materialized,
+    "table_lifecycle": q_table_lifecycle,
     "stream_silver": q_stream_silver,
     "stream_predictions": q_stream_predictions,
     "stream_progress": q_stream_progress,
+    "stream_after_delete": q_stream_after_delete,
     "apply_scalar": q_apply_scalar,
 }

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from farecast.operators.features import model_matrix
-from farecast.operators.model import DEFAULT_DEPTH, DEFAULT_TREES, Run, TrainResult, score, train_run
-from farecast.operators.sampling import DEFAULT_SAMPLE_ROWS, DEFAULT_TRAIN_FRACTION, split_exact, take_first_counted
+from farecast.operators.model import DEFAULT_TREES, Run, TrainResult, score, train_run
+from farecast.operators.sampling import DEFAULT_SAMPLE_ROWS, DEFAULT_TRAIN_FRACTION, split_exact, take_first
 from farecast.operators.silver import TRIP_ORDER, load_bronze, to_silver
 from farecast.operators.sinks import ensure_database, materialize, replace_period
 from farecast.schemas import BRONZE, SILVER
@@ -61,8 +61,7 @@ def training_split(
     positional train / (optional) validation / test split."""
     if rows is None:
         return split_exact(model_matrix(silver), train, validation)
-    sample, count = take_first_counted(model_matrix(silver), rows)
-    return split_exact(sample, train, validation, total=count)
+    return split_exact(take_first(model_matrix(silver), rows), train, validation)
 
 
 def train_flow(
@@ -73,7 +72,7 @@ def train_flow(
     train: float = DEFAULT_TRAIN_FRACTION,
     fit_on: str = "all",
     num_trees: int = DEFAULT_TREES,
-    max_depth: int = DEFAULT_DEPTH,
+    max_depth: int | None = None,
     validation: float = 0.0,
 ) -> TrainResult:
     """Sample, split, scale, fit and save; metrics get one row per split."""

@@ -278,11 +278,33 @@ GROUP BY data_type""",
             """means AS (
   SELECT pickup_hour, payment_cash, payment_no_charge, payment_credit_card, payment_dispute, payment_unknown,
     avg(CAST(tip_amount AS DOUBLE)) AS mean FROM split WHERE data_type = 'train' GROUP BY ALL)""",
-            body="""SELECT trip_id, data_type, round(mean, 6) AS predicted FROM split JOIN means
+            body="""SELECT trip_id, data_type, true AS has_value, round(mean, 6) AS predicted FROM split LEFT JOIN means
 USING (pickup_hour, payment_cash, payment_no_charge, payment_credit_card, payment_dispute, payment_unknown)""",
         ),
+        "exact_tree_metrics": with_ctes(
+            *sp, _scaled_cte(),
+            "hours AS (SELECT pickup_hour, avg(z) AS p FROM scaled WHERE data_type = 'train' GROUP BY pickup_hour)",
+            body="""SELECT data_type, data_type || '_mean_square_error' AS metric, round(avg(power(z - p, 2)), 4) AS value
+FROM scaled JOIN hours USING (pickup_hour) GROUP BY data_type""",
+        ),
+        "exact_tree_scores": with_ctes(
+            *sp,
+            """hours AS (SELECT pickup_hour, round(avg(CAST(tip_amount AS DOUBLE)), 2) AS p
+  FROM split WHERE data_type = 'train' GROUP BY pickup_hour)""",
+            body="SELECT trip_id, p AS predicted_tip_amount FROM matrix LEFT JOIN hours USING (pickup_hour)",
+        ),
         "stream_progress": with_ctes(
-            *s, body="SELECT CAST(4 AS BIGINT) AS batches, count(*) AS rows, count(*) AS rows_added FROM silver"
+            *s,
+            body="""SELECT CAST(4 AS BIGINT) AS batches, count(*) AS rows, count(*) AS written,
+  count(*) FILTER (metadata_month = 12) AS inserted, count(*) FILTER (metadata_month <> 12) AS updated FROM silver""",
+        ),
+        "stream_after_delete": with_ctes(*s, body=silver_select()),
+        "matrix_bucketed": with_ctes(*m, body=f"SELECT {matrix_cols} FROM matrix"),
+        "upsert_same_number": with_ctes(*s, body=f"SELECT trip_id, {upsert_amount} AS amount FROM silver"),
+        "table_lifecycle": with_ctes(
+            *s,
+            body="""SELECT metadata_year, metadata_month, count(*) AS n, CAST(sum(tip_amount) AS DOUBLE) AS tips,
+  false AS before, true AS after FROM silver GROUP BY metadata_year, metadata_month""",
         ),
         "materialized": with_ctes(*s, body=_period_counts("silver")),
         "stream_silver": with_ctes(*s, body=silver_select()),

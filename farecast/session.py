@@ -8,11 +8,17 @@ runs and tests -- is a fresh temporary folder set as the checkpoint folder.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, app: str = "farecast", event_log_dir: str | None = None
@@ -76,4 +82,67 @@ def session_id(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder for one intermediate table."""
-    return f"{checkpoint_dir(spark)}/farecast/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_dir(spark)}/farecast/{session_id(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application. Frames that read one cannot be used after."""
+    remove_path(spark, f"{checkpoint_dir(spark)}/farecast/{session_id(spark)}")
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application (Spark's file
+    server carries the archive), so that nothing needs to be installed there."""
+    app = session_id(spark)
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="farecast-py-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves it as long as it lives
+    archive = Path(folder) / "farecast_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
+# --- files of the shared folder -------------------------------------------------
+# Spark has no public API for listing or removing files of the storage it reads,
+# so these few helpers use the file system of the session's Hadoop configuration.
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in one folder (none if it does not exist); a single listing."""
+    fs, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file (a marker) and its folders."""
+    fs, target = _file_system(spark, path)
+    fs.create(target, True).close()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within one file system, over what is at ``target``."""
+    fs, old = _file_system(spark, source)
+    new = _file_system(spark, target)[1]
+    fs.delete(new, True)
+    if not fs.rename(old, new):
+        raise OSError(f"could not rename {source} to {target}")

@@ -3,10 +3,11 @@ small literal inputs (S6)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,17 +43,56 @@ def read_trips(
     only to a file without an ``event_id``.
     """
     found = spark.read.parquet(monthly_path(root, year, month, template))
-    names = {c.lower(): c for c in found.columns}
     if position is None:
-        position = "event_id" not in names
+        position = "event_id" not in {c.lower() for c in found.columns}
     where = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)] if position else []
-    return found.select(
-        *[
-            (F.col(f"`{names[f.name.lower()]}`") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ],
-        *where,
-    )
+    return found.select(*_as_schema(found, schema), *where)
+
+
+def _as_schema(found: DataFrame, schema: T.StructType) -> list[Column]:
+    """The columns of ``schema`` out of a scan, whatever their case there, cast; NULL where it has none."""
+    names = {c.lower(): c for c in found.columns}
+    return [
+        (F.col(f"`{names[f.name.lower()]}`") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+
+
+def read_months(
+    spark: SparkSession,
+    root: str,
+    periods: Sequence[tuple[int, int]] | None = None,
+    schema: T.StructType = RAW,
+    template: str = MONTHLY_FILE,
+    period_cols: Sequence[str] = ("metadata_year", "metadata_month"),
+) -> DataFrame:
+    """Scan many monthly files at once, each row tagged with its file's period (S1 + P1).
+
+    One scan over ``periods`` (their paths alone are listed) or over every file that fits
+    ``template``; year and month come from the file's name. The files share their types, as
+    ``schema``'s columns are cast from those of one of them; months that differ are read by
+    ``read_trips``.
+    """
+    if periods is None:
+        paths = [f"{root.rstrip('/')}/{re.sub(r'{[^}]*}', '*', template)}"]
+    else:
+        paths = [monthly_path(root, y, m, template) for y, m in periods]
+    found = spark.read.parquet(*paths)
+    pattern = re.escape(template)
+    for field, digits in (("year", r"(?<year>\d+)"), ("month", r"(?<month>\d+)")):
+        pattern = re.sub(r"\\{" + field + r"[^}]*\\}", lambda _: digits, pattern)
+    order = sorted(("year", "month"), key=lambda f: pattern.index(f"?<{f}>"))
+    name = F.col("_metadata.file_path")
+    tags = [
+        F.regexp_extract(name, f"/{pattern}(/|$)", order.index(f) + 1).cast("int").alias(c)
+        for f, c in zip(("year", "month"), period_cols)
+    ]
+    return found.select(*_as_schema(found, schema), *tags)
+
+
+def is_table(target: str) -> bool:
+    """Whether ``target`` names a catalog table (it has no '/' or ':') and not a path."""
+    return "/" not in target and ":" not in target
 
 
 def read_table(
@@ -69,7 +109,7 @@ def read_table(
     A known ``schema`` (partition columns included) spares the job that
     reads Parquet footers to infer it.
     """
-    if "/" not in path and ":" not in path:
+    if is_table(path):
         df = spark.table(path)
     else:
         df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farecast.schemas import MONEY, RAW, conform
-from farecast.sources.files import monthly_path
+from farecast.session import list_names, move_path, remove_path
+from farecast.sources.files import MONTHLY_FILE
 
 # --- fixed values of the adaptor ---------------------------------------------
 FIXTURE_YEAR = 2022
@@ -89,12 +90,20 @@ def fixture_periods() -> list[tuple[int, int]]:
 
 def land_monthly(raw_with_period: DataFrame, root: str) -> list[tuple[int, int]]:
     """Write each period's raw rows as one monthly file below ``root``, named
-    as the published monthly files are. Returns the periods written."""
-    periods = fixture_periods()
-    for y, m in periods:
-        part = raw_with_period.where((F.col("metadata_year") == F.lit(y)) & (F.col("metadata_month") == F.lit(m)))
-        conform(part, RAW).write.mode("overwrite").parquet(monthly_path(root, y, m))
-    return periods
+    as the published monthly files are, in one pass. Returns the periods written."""
+    spark, root = raw_with_period.sparkSession, root.rstrip("/")
+    name = F.format_string(
+        MONTHLY_FILE.replace("{year}", "%d").replace("{month:02d}", "%02d"), "metadata_year", "metadata_month"
+    )
+    staged = f"{root}/_staged"
+    raw_with_period.select(*conform(raw_with_period, RAW).columns, name.alias("file")).write.mode("overwrite").partitionBy(
+        "file"
+    ).parquet(staged)
+    for folder in list_names(spark, staged):
+        if folder.startswith("file="):
+            move_path(spark, f"{staged}/{folder}", f"{root}/{folder.removeprefix('file=')}")
+    remove_path(spark, staged)
+    return fixture_periods()
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,6 @@ from farecast.streaming.stream import (
     Progress,
     await_progress,
     land_files,
-    rows_changed,
     run_stream,
     scoring_batch,
     silver_batch,
@@ -12,6 +11,6 @@ from farecast.streaming.stream import (
 )
 
 __all__ = [
-    "Progress", "await_progress", "land_files", "rows_changed", "run_stream", "scoring_batch", "silver_batch",
+    "Progress", "await_progress", "land_files", "run_stream", "scoring_batch", "silver_batch",
     "stream_trips",
 ]

@@ -1,10 +1,10 @@
 """Structured Streaming: bronze files -> silver + predictions, upserted.
 
 The micro-batch transform is the batch code applied to the batch frame
-(``foreachBatch``), so stream and batch give the same rows. Writes go to
-``batch_id`` partitions of upsert logs (see ``farecast.operators.sinks``): a
-micro-batch retried after a failure rewrites the same partitions, so the
-result is exactly-once without transactional table support.
+(``foreachBatch``), so stream and batch give the same rows. Writes go to the
+batches of upsert logs (see ``farecast.operators.sinks``), identified by the
+stream's id and the micro-batch's: one retried after a failure is known as
+such, so the result is exactly-once without transactional table support.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from farecast.operators.features import model_matrix
 from farecast.operators.model import Run, score
 from farecast.operators.silver import to_silver
-from farecast.operators.sinks import BATCH_COL, DEFAULT_WRITER, WRITER_COL, batch_partition, upsert, upsert_into
+from farecast.operators.sinks import DEFAULT_WRITER, Batch, upsert, upsert_into
 from farecast.schemas import BRONZE
 from farecast.session import session_id
 
@@ -35,15 +35,25 @@ def stream_trips(
     max_files: int | None = None,
     fmt: str = "parquet",
     max_bytes: int = 64 << 30,
+    ignore_missing: bool = True,
+    clean_source: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Stream the files landing in ``path``.
 
-    A file source reads every file once, in arrival order; files deleted or
-    rewritten upstream are not read again (S5): rows of a file removed before
-    its batch committed are not processed. A micro-batch is bounded by
-    ``max_bytes``, or by ``max_files`` if given.
+    A file source reads every file once, in arrival order. Upstream removals
+    and rewrites are passed over (S5): rows that were processed stay in the
+    sink, a file rewritten under its name is not read again, and a file that
+    is removed after it was planned and before it is read counts as empty
+    (``ignore_missing=False`` fails the run instead). A micro-batch is bounded
+    by ``max_bytes``, or by ``max_files`` if given. ``clean_source`` lets the
+    source delete or archive (to ``archive``) the files it has completed.
     """
-    reader = spark.readStream.schema(schema).format(fmt)
+    reader = spark.readStream.schema(schema).format(fmt).option("ignoreMissingFiles", str(ignore_missing).lower())
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive:
+            reader = reader.option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files)))
     else:
@@ -62,32 +72,24 @@ def _writer(batch: DataFrame) -> str:
     return found or DEFAULT_WRITER
 
 
-def _write(df: DataFrame, target: str, batch_id: int, table: bool, writer: str, check_unique: bool = True) -> None:
-    if table:
-        upsert_into(df, target, batch_id, check_unique=check_unique, writer=writer)
-    else:
-        upsert(df, target, batch_id, check_unique=check_unique, writer=writer)
+def _write(df: DataFrame, target: str, batch_id: int, table: bool, writer: str, check_unique: bool) -> Batch:
+    return (upsert_into if table else upsert)(df, target, batch_id, check_unique=check_unique, writer=writer)
+
 
+def _write_once(df: DataFrame, target: str, batch_id: int, table: bool, writer: str, check_unique: bool) -> Batch:
+    """Write a micro-batch and count its rows as they are written, for the run's progress report.
 
-def _write_once(df: DataFrame, target: str, batch_id: int, table: bool, writer: str, check_unique: bool) -> None:
-    """Write a micro-batch; one that is checked first is kept meanwhile, so its source is read once."""
-    if not check_unique:
-        _write(df, target, batch_id, table, writer, False)
-        return
-    df = df.persist()
+    One that is checked first is kept meanwhile, so its source is read once."""
+    if check_unique:
+        df = df.persist()
+    rows = Observation()
     try:
-        _write(df, target, batch_id, table, writer, True)
+        batch = _write(df.observe(rows, F.count(F.lit(1)).alias("rows")), target, batch_id, table, writer, check_unique)
     finally:
-        df.unpersist()
-
-
-def _written(
-    spark: SparkSession, target: str, batch_id: int, table: bool, writer: str, schema: T.StructType
-) -> DataFrame:
-    if table:
-        mine = (F.col(WRITER_COL) == F.lit(writer)) & (F.col(BATCH_COL) == F.lit(int(batch_id)))
-        return spark.table(target).where(mine).select(*schema.names)
-    return spark.read.schema(schema).parquet(batch_partition(target, batch_id, writer))
+        if check_unique:
+            df.unpersist()
+    _counter(df.sparkSession).wrote(writer, batch_id, rows.get["rows"] if batch.new else 0)
+    return batch
 
 
 def silver_batch(silver_log: str, table: bool = False, check_unique: bool = True) -> BatchFn:
@@ -118,8 +120,8 @@ def scoring_batch(
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         silver, writer = to_silver(batch), _writer(batch)
-        _write_once(silver, silver_log, batch_id, table, writer, check_unique)
-        silver = _written(batch.sparkSession, silver_log, batch_id, table, writer, silver.schema)
+        written = _write_once(silver, silver_log, batch_id, table, writer, check_unique)
+        silver = batch.sparkSession.read.schema(silver.schema).parquet(written.path)
         _write(score(model_matrix(silver), run), prediction_log, batch_id, table, writer, check_unique=False)
 
     return run_batch
@@ -139,24 +141,35 @@ def run_stream(
     Progress is kept in ``checkpoint``; a restart resumes after the last
     committed batch.
     """
-    _counter(source.sparkSession)
+    counter = _counter(source.sparkSession)
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if trigger == "availableNow" else writer.trigger(processingTime=trigger)
-    return writer.start()
+    query = writer.start()
+    _RUNNING[str(query.runId)] = counter
+    return query
 
 
 class _Counter(StreamingQueryListener):
-    """Batches with input and rows read of every run, from all of its progress events."""
+    """Batches with input and rows read of every run, from all of its progress events, and rows its
+    batches wrote. A run's entry is dropped when its report is taken after its end."""
 
     def __init__(self):
         self.seen: dict[str, list[int]] = {}
         self.ended: dict[str, threading.Event] = {}
+        self.written: dict[str, dict[int, int]] = {}  # by the stream's id, which all runs on a checkpoint share
 
     def of(self, run_id: str) -> tuple[list[int], threading.Event]:
         return self.seen.setdefault(run_id, [0, 0]), self.ended.setdefault(run_id, threading.Event())
 
+    def wrote(self, stream: str, batch_id: int, rows: int) -> None:
+        self.written.setdefault(stream, {})[batch_id] = int(rows)
+
+    def drop(self, run_id: str, stream: str) -> None:
+        for entries, name in ((self.seen, run_id), (self.ended, run_id), (self.written, stream)):
+            entries.pop(name, None)
+
     def onQueryStarted(self, event):
         self.of(str(event.runId))
 
@@ -174,10 +187,11 @@ class _Counter(StreamingQueryListener):
 
 
 _COUNTERS: dict[str, _Counter] = {}
+_RUNNING: dict[str, _Counter] = {}  # run id -> counter of the session that started it
 
 
 def _counter(spark: SparkSession) -> _Counter:
-    """The session's counter, listening from before the first stream is started."""
+    """The application's counter, listening from before its first stream is started."""
     app = session_id(spark)
     if app not in _COUNTERS:
         _COUNTERS[app] = _Counter()
@@ -187,19 +201,24 @@ def _counter(spark: SparkSession) -> _Counter:
 
 @dataclass
 class Progress:
-    batches: int
-    rows: int
+    batches: int  # with input
+    rows: int  # read
     finished: bool
+    written: int = 0  # rows the run's batches wrote to the (first) sink
 
 
-def await_progress(query: StreamingQuery, timeout_s: float | None = None, stop: bool = False) -> Progress:
-    """Wait for the query and report batches with input and rows read.
+def await_progress(
+    query: StreamingQuery, timeout_s: float | None = None, stop: bool = False, event_timeout_s: float = 60
+) -> Progress:
+    """Wait for the query and report batches with input, rows read and rows written.
 
     Counts cover the whole run (every progress event, however many). With
     ``timeout_s`` the wait is bounded and ``finished`` tells whether the run
     had ended; ``stop`` then stops a query that is still running and raises,
     so that a part is never taken for the whole (its progress stays in the
-    checkpoint and a restart resumes).
+    checkpoint and a restart resumes). The last events are delivered after a
+    run has ended; if the end itself is not reported within
+    ``event_timeout_s``, the counts may be short and TimeoutError is raised.
     """
     finished = bool(query.awaitTermination(timeout_s)) if timeout_s is not None else (query.awaitTermination() or True)
     if query.exception() is not None:
@@ -207,12 +226,12 @@ def await_progress(query: StreamingQuery, timeout_s: float | None = None, stop:
     if stop and query.isActive:
         query.stop()
         raise TimeoutError(f"the stream had not ended after {timeout_s} s and was stopped")
-    counts, ended = _counter(SparkSession.getActiveSession()).of(str(query.runId))
+    counter, run_id, stream = _RUNNING[str(query.runId)], str(query.runId), str(query.id)
+    counts, ended = counter.of(run_id)
+    if finished and not ended.wait(event_timeout_s):
+        raise TimeoutError(f"the end of run {run_id} was not reported within {event_timeout_s} s: its counts may be short")
+    progress = Progress(counts[0], counts[1], finished, sum(counter.written.get(stream, {}).values()))
     if finished:
-        ended.wait(60)  # the last events are delivered after the run has ended
-    return Progress(counts[0], counts[1], finished)
-
-
-def rows_changed(before: int, after: int) -> int:
-    """Rows a run added to a sink (F4), from two counts."""
-    return after - before
+        counter.drop(run_id, stream)
+        _RUNNING.pop(run_id, None)
+    return progress

@@ -31,7 +31,7 @@ import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -173,20 +173,35 @@ def read_log(spark: SparkSession, path: str, schema: StructType | None = None) -
     return spark.read.schema(schema).parquet(path)
 
 
-def _newest_per_key(log: DataFrame, key: str) -> DataFrame:
+def _batch_order(spark: SparkSession, path: str) -> Column:
+    """One number per batch of the log at ``path`` that orders like (number, writer, batch id).
+
+    Numbers aggregate by hash, structs only by sorting. The writers and their last batch come from the
+    markers' folder names; where they are not there or the product is no long, it is the struct."""
+    root = f"{path.rstrip('/')}/{MARKERS}"
+    writers = list_names(spark, root)
+    span = 1 + max((int(b) for w in writers for b in list_names(spark, f"{root}/{w}")), default=0)
+    if not writers or next_number(spark, path) * len(writers) * span >= 1 << 63:
+        return F.struct(*ORDER_COLS)
+    rank = F.create_map(*[F.lit(v) for w, i in zip(writers, range(len(writers))) for v in (w, i)])[F.col(WRITER_COL)]
+    known = F.coalesce(rank.cast("long"), F.raise_error(F.lit("a batch of the log has no marker")).cast("long"))
+    return (F.col(SEQUENCE_COL) * F.lit(len(writers)) + known) * F.lit(span) + F.col(BATCH_COL)
+
+
+def _newest_per_key(log: DataFrame, key: str, order: Column) -> DataFrame:
     """A narrow aggregate (key -> its last batch) joined back to the log.
 
     Only the key is read for it: what orders the batches is in their path."""
-    batch = F.struct(*ORDER_COLS)
-    newest = log.groupBy(key).agg(F.max(batch).alias("__newest"))
+    newest = log.groupBy(key).agg(F.max(order).alias("__newest"))
     # ">=" says the same as "=" here and stays out of the join keys, so buckets by key still match
-    rows = log.join(newest, key).where(batch >= F.col("__newest"))
+    rows = log.join(newest, key).where(order >= F.col("__newest"))
     return rows.drop("__newest", *ORDER_COLS)
 
 
 def latest(spark: SparkSession, path: str, key: str = "trip_id") -> DataFrame:
     """Latest-wins view of an upsert log: per key the row of its last batch."""
-    return _newest_per_key(read_log(spark, path), key)
+    log = read_log(spark, path)  # its files are listed before the markers, so every batch seen has one
+    return _newest_per_key(log, key, _batch_order(spark, path))
 
 
 def changes_since(log: DataFrame, number: int, key: str = "trip_id") -> DataFrame:
@@ -260,7 +275,7 @@ def upsert_into(
 def latest_of_table(spark: SparkSession, name: str, key: str = "trip_id") -> DataFrame:
     """Latest-wins view of an upsert log table; bucketed by key, so the
     aggregate runs per bucket without an exchange."""
-    return _newest_per_key(spark.table(name), key)
+    return _newest_per_key(spark.table(name), key, F.struct(*ORDER_COLS))
 
 
 def compact(

@@ -13,6 +13,7 @@ import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +45,8 @@ def stream_trips(
     A file source reads every file once, in arrival order. Upstream removals
     and rewrites are passed over (S5): rows that were processed stay in the
     sink, a file rewritten under its name is not read again, and a file that
-    is removed after it was planned and before it is read counts as empty
-    (``ignore_missing=False`` fails the run instead). A micro-batch is bounded
+    is removed before it is read counts as empty (with ``ignore_missing=False``
+    the run fails if its batch was planned already). A micro-batch is bounded
     by ``max_bytes``, or by ``max_files`` if given. ``clean_source`` lets the
     source delete or archive (to ``archive``) the files it has completed.
     """
@@ -88,10 +89,17 @@ def _write_once(df: DataFrame, target: str, batch_id: int, table: bool, writer:
     finally:
         if check_unique:
             df.unpersist()
-    _counter(df.sparkSession).wrote(writer, batch_id, rows.get["rows"] if batch.new else 0)
+    _counter(df.sparkSession).wrote(writer, batch_id, _observed(rows, df, batch) if batch.new else 0)
     return batch
 
 
+def _observed(rows: Observation, df: DataFrame, batch: Batch) -> int:
+    try:
+        return rows.get["rows"]
+    except Py4JJavaError:  # a batch that turns out empty is planned away, and its observation with it
+        return df.sparkSession.read.schema(df.schema).parquet(batch.path).count()
+
+
 def silver_batch(silver_log: str, table: bool = False, check_unique: bool = True) -> BatchFn:
     """foreachBatch function: bronze batch -> silver rows upserted by trip_id.
 

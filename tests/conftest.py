@@ -27,3 +27,24 @@ def scratch(spark):
     from farecast.session import scratch_path
 
     return lambda label="t": scratch_path(spark, label)
+
+
+_SAVED: dict = {}
+
+
+def _once(name, spark, sf_dir):
+    """Tables the tests share: written once a session (the queries themselves write theirs on every call)."""
+    from farecast.plans import catalog
+
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    if key not in _SAVED:
+        _SAVED[key] = getattr(catalog, name)(spark, sf_dir)
+    return _SAVED[key]
+
+
+def saved_bronze(spark, sf_dir):
+    return _once("saved_bronze", spark, sf_dir)
+
+
+def saved_silver(spark, sf_dir):
+    return _once("saved_silver", spark, sf_dir)

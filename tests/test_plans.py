@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from farecast.operators.features import model_matrix, model_matrix_joined
 from farecast.operators.keys import with_row_index
-from farecast.operators.model import load_run, score
-from farecast.operators.sampling import split_hashed, take_first
-from farecast.plans.catalog import saved_bronze, saved_run, saved_silver
-from farecast.sources.files import read_table
-from tests.conftest import SMALL
+from farecast.operators.model import score, train_run
+from farecast.operators.sampling import split_exact, split_hashed, take_first
+from farecast.plans.catalog import QUERIES
+from farecast.plans.flows import training_split
+from farecast.sources.files import read_months, read_table
+from farecast.sources.fixtures import events_table, land_monthly, raw_trips_from_events
+from tests.conftest import SMALL, saved_bronze, saved_silver
 
 
 def plan(df, mode: str = "formatted") -> str:
@@ -54,27 +56,48 @@ def test_period_read_prunes_partitions(spark):
     assert "(metadata_year" in filters and "= 2022)" in filters and "(metadata_month" in filters and "= 11)" in filters
 
 
-def test_row_index_has_no_single_partition_exchange_on_data(spark):
-    bronze = saved_bronze(spark, SMALL)
-    p = plan(with_row_index(bronze, ["tpep_pickup_datetime", "event_id"], ["metadata_year", "metadata_month"], "i"))
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-    # the big side is a plain scan of the range-sorted table: no exchange before the join
-    big_side = p.split("BroadcastHashJoin", 1)[1].split("BroadcastExchange", 1)[0]
-    assert "Exchange" not in big_side.split("Scan parquet", 1)[0]
+def test_row_index_moves_and_writes_keys_only(spark):
+    bronze, keys = saved_bronze(spark, SMALL), ["metadata_year", "metadata_month", "tpep_pickup_datetime", "event_id"]
+    got = with_row_index(bronze, keys[2:], keys[:2], "i")
+    p = plan(got)
+    # full rows are scanned and meet the numbers; they are neither exchanged nor sorted
+    assert "SortMergeJoin" not in p and nodes(p, "Exchange") == 0 and nodes(p, "Sort") == 0
+    written = {f.name for path in got.inputFiles() if "row-index-" in path and "offsets" not in path
+               for f in spark.read.parquet(path.rsplit("/", 1)[0]).schema.fields}
+    assert {c for c in written if not c.startswith("__rix")} == set(keys)
+    # the keys themselves: one range exchange, and counting equal keys needs no other
+    exchanges = plan(QUERIES["row_index"](spark, SMALL))
+    assert nodes(exchanges, "Exchange") == 0 and "Window" not in exchanges
 
 
-def test_scoring_stays_in_the_jvm(spark):
-    run = saved_run(spark, SMALL)
-    run = load_run(spark, run.root, run.run_id)
+def test_rows_do_not_pass_through_python_when_scored(spark, scratch):
+    run = train_run(training_split(saved_silver(spark, SMALL)), scratch("runs"), num_trees=3).run
     p = plan(score(model_matrix(saved_silver(spark, SMALL)), run))
-    assert "Python" not in p and "ArrowEval" not in p
-    assert "Exchange" not in p
+    # distinct feature rows were predicted and written before; rows only meet them
+    assert "Python" not in p and "MapInArrow" not in p and "BroadcastHashJoin" in p
+    assert nodes(p, "Exchange") == 0
 
 
-def test_take_first_ranks_only_candidates(spark):
+def test_take_first_and_exact_split_are_filters(spark):
+    """The cut is found by counting hashes; then a row's side is one comparison."""
     m = model_matrix(saved_silver(spark, SMALL))
-    p = plan(take_first(m, 100))
-    assert "TakeOrderedAndProject" not in p and "Window" not in p  # no single task ranks the rows
+    for got in (take_first(m, 100), split_exact(m)):
+        p = plan(got)
+        assert "Exchange" not in p and "Window" not in p and "Sort" not in p and "TakeOrdered" not in p
+
+
+def test_many_months_are_one_scan(spark, scratch):
+    landing = scratch("landing")
+    periods = land_monthly(raw_trips_from_events(events_table(spark, SMALL)), landing)
+    p = plan(read_months(spark, landing, periods))
+    assert nodes(p, "Scan parquet") == 1 and "Union" not in p
+    files = read_months(spark, landing, periods[:1]).inputFiles()
+    assert files and all("2022-01" in f for f in files)  # other months are not even listed
+
+
+def test_bucketed_features_join_without_exchange(spark):
+    p = plan(QUERIES["matrix_bucketed"](spark, SMALL))
+    assert nodes(p, "SortMergeJoin") == 2 and "Exchange" not in p
 
 
 def test_building_a_row_index_plans_no_input_job(spark):
@@ -94,5 +117,6 @@ def test_latest_view_aggregates_two_columns(spark, scratch):
 
     path = scratch("u")
     upsert(spark.range(10).select(F.col("id").alias("trip_id"), F.lit("a").alias("v")), path, 0)
+    upsert(spark.range(5).select(F.col("id").alias("trip_id"), F.lit("b").alias("v")), path, 0, writer="other")
     p = plan(latest(spark, path))
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and "HashAggregate" in p

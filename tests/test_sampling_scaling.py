@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from farecast.functions.hashing import HASH_RANGE, SAMPLE, SPLIT, TOP, hash_order
 from farecast.operators.features import model_matrix
-from farecast.operators.sampling import hash_rank, sample_fraction, split_exact, split_hashed, take_first
+from farecast.operators import sampling
+from farecast.operators.sampling import Cut, cuts, sample_fraction, split_exact, split_hashed, take_first
 from farecast.operators.scaling import Scaler, fit_scaler, inverse_scale, scale
-from farecast.plans.catalog import saved_silver
-from tests.conftest import MEDIUM, SMALL
+from tests.conftest import MEDIUM, SMALL, saved_silver
 
 
 @pytest.fixture(scope="module")
@@ -97,28 +97,34 @@ def test_fit_on_train_only(spark):
     assert fit_scaler(df, fit_on="all").mean == pytest.approx(104.0 / 3)
 
 
-def test_window_rank_matches_brute(spark, matrix):
-    w = Window.orderBy(hash_order("trip_id", SPLIT), "trip_id")
-    want = matrix.select("trip_id", (F.row_number().over(w) - 1).alias("r"))
-    got = hash_rank(matrix, name="r").select("trip_id", "r")
-    assert got.exceptAll(want).count() == 0
+@pytest.mark.parametrize("few,level", [(2048, 15), (8, 15), (1, 3), (0, 7)])
+def test_cuts_find_the_row_at_every_position(spark, matrix, monkeypatch, few, level):
+    """However many levels the selection takes, the cut is the row that a full sort has there."""
+    monkeypatch.setattr(sampling, "FEW", few)
+    monkeypatch.setattr(sampling, "LEVEL_BITS", level)
+    rows = matrix.select(hash_order("trip_id", SPLIT).alias("h"), "trip_id").orderBy("h", "trip_id").collect()
+    positions = [1, 2, 499, len(rows) - 1]
+    assert cuts(matrix, positions) == [Cut(rows[n - 1]["h"], rows[n - 1]["trip_id"]) for n in positions]
+    assert cuts(matrix, [0, len(rows), len(rows) + 5]) == [Cut(-1), Cut(None), Cut(None)]
 
 
-@pytest.mark.parametrize("n", [1, 5, 50, 400, 999, 1000])
-def test_hash_threshold_is_minimal_power_of_two(spark, matrix, n):
-    from farecast.operators.sampling import hash_threshold
+def test_repeated_keys_stay_on_one_side(spark):
+    df = spark.createDataFrame([(i // 4, i) for i in range(400)] + [(None, 1000), (None, 1001)], "trip_id long, x long")
+    for n in (1, 2, 101, 399):
+        got = take_first(df, n)
+        assert n <= got.count() < n + 4
+        assert got.groupBy("trip_id").count().where("count < 4 and trip_id is not null").count() == 0
 
-    hs = sorted(r["h"] for r in matrix.select(hash_order("trip_id").alias("h")).collect())
-    total, t = hash_threshold(matrix, n)
-    assert total == len(hs)
-    assert sum(h < t for h in hs) >= min(n, total)
-    if t != HASH_RANGE:
-        assert sum(h < t // 2 for h in hs) < n or t == 1
+
+def test_empty_table_splits_to_nothing(spark):
+    none = spark.createDataFrame([], "trip_id long")
+    assert split_exact(none).count() == take_first(none, 5).count() == 0
 
 
 def test_null_keys_are_sampled_like_any_other(spark):
     df = spark.createDataFrame([(None, 0)] + [(i, i) for i in range(1, 40)], "trip_id long, x long")
     assert take_first(df, 100).count() == 40 and take_first(df, 5).count() == 5
+    assert split_exact(df, 0.5).where("data_type = 'train'").count() == 20
     for fraction in (0.2, 0.5, 1.0):
         kept = sample_fraction(df, fraction).where(F.col("trip_id").isNull()).count()
         h = df.where(F.col("trip_id").isNull()).select(hash_order("trip_id", SAMPLE).alias("h")).first()["h"]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from farecast.plans.catalog import saved_bronze
 from pyspark.sql import functions as F
 
 from farecast.functions.scalar import apply_scalar
@@ -19,12 +18,11 @@ from farecast.operators.sinks import (
     table_exists,
     upsert,
 )
-from farecast.plans.catalog import saved_silver
 from farecast.plans.flows import bronze_from_events, load_month, score_flow, train_flow
 from farecast.sources.files import monthly_path, read_format, read_table, read_trips, trips_from_rows
 from farecast.sources.fixtures import events_table, land_monthly, raw_trips_from_events
 from farecast.streaming.stream import await_progress, land_files, run_stream, scoring_batch, silver_batch, stream_trips
-from tests.conftest import SMALL
+from tests.conftest import SMALL, saved_bronze, saved_silver
 
 
 def _periods(df):
@@ -427,13 +425,298 @@ def test_recording_metrics_again_replaces_them(spark, scratch):
 
 
 def test_registered_forests_are_the_operators_own(spark, monkeypatch):
-    from farecast.operators.model import DEFAULT_DEPTH, DEFAULT_TREES
+    from farecast.operators.model import DEFAULT_TREES
     from farecast.plans import catalog
 
     fitted, train_run = [], catalog.train_run
     monkeypatch.setattr(catalog, "train_run", lambda *a, **k: fitted.append(train_run(*a, **k)) or fitted[-1])
-    monkeypatch.setattr(catalog, "_RUNS", {})
     catalog.q_train_metrics(spark, SMALL)
-    catalog.saved_run(spark, SMALL)
-    forests = [r.run.model.stages[-1] for r in fitted]
-    assert [(f.getMaxDepth(), f.getNumTrees) for f in forests] == [(DEFAULT_DEPTH, DEFAULT_TREES)] * 2
+    catalog.saved_run(spark, saved_silver(spark, SMALL))
+    for result in fitted:
+        trees = result.run.model.trees
+        assert len(trees) == DEFAULT_TREES and len({len(t.feature) for t in trees}) > 1
+
+
+# --- forest -----------------------------------------------------------------------
+
+
+def _coded(x):
+    import numpy as np
+
+    values = [np.unique(x[:, j]) for j in range(x.shape[1])]
+    return np.stack([np.searchsorted(v, x[:, j]) for j, v in enumerate(values)], 1), values
+
+
+def _greedy(x, y):
+    """A regression tree by trying every cut of every feature."""
+    total = ((y - y.mean()) ** 2).sum()
+    best = None
+    if total > 1e-12:
+        for j in range(x.shape[1]):
+            seen = sorted(set(x[:, j]))
+            for low, high in zip(seen, seen[1:]):
+                left = x[:, j] <= low
+                gain = total - sum(((part - part.mean()) ** 2).sum() for part in (y[left], y[~left]))
+                if best is None or gain > best[0] + 1e-9:
+                    best = (gain, j, (low + high) / 2)
+    if best is None:
+        return lambda row: y.mean()
+    _, j, cut = best
+    left, right = _greedy(x[x[:, j] <= cut], y[x[:, j] <= cut]), _greedy(x[x[:, j] > cut], y[x[:, j] > cut])
+    return lambda row: left(row) if row[j] <= cut else right(row)
+
+
+def test_trees_are_the_greedy_ones():
+    import numpy as np
+
+    from farecast.operators.forest import grow
+
+    r = np.random.default_rng(0)
+    x = np.stack([r.integers(0, 9, 200), r.integers(0, 2, 200), r.integers(0, 30, 200)], 1).astype(float)
+    y = r.normal(size=200)
+    tree, want = grow(*_coded(x), y, np.ones(200)), _greedy(x, y)
+    rows = np.stack([r.uniform(-1, 10, 300), r.uniform(-1, 2, 300), r.uniform(-1, 31, 300)], 1)
+    assert np.allclose(tree.predict(rows), [want(row) for row in rows])
+    # a row that counts k times is k rows
+    times = r.integers(0, 4, 200)
+    again = grow(*_coded(x), y, times.astype(float))
+    whole = grow(*_coded(np.repeat(x, times, 0)), np.repeat(y, times), np.ones(times.sum()))
+    assert np.allclose(again.predict(x), whole.predict(x))
+
+
+def test_forest_edge_rows(spark, scratch):
+    """Null features are a value of their own; unseen ones, no rows and one row have a prediction."""
+    from farecast.operators.model import fit_forest
+
+    rows = [(i, "train", float(i % 3), i % 3 if i % 3 else None) for i in range(30)]
+    schema = "trip_id long, data_type string, tip_amount double, pickup_hour int"
+    split = spark.createDataFrame(rows, schema).withColumn("pickup_taxi_zone_id", F.lit(1))
+    exact = fit_forest(split, num_trees=1, features=["pickup_hour"], bootstrap=False)
+    got = {r["pickup_hour"]: r["prediction"] for r in exact.transform(split).collect()}
+    assert got == {None: 0.0, 1: 1.0, 2: 2.0}
+    assert exact.transform(spark.createDataFrame([(77,), (None,)], "pickup_hour int")).count() == 2
+    assert exact.transform(split.limit(0)).count() == 0
+    none = fit_forest(split.limit(0), num_trees=2, features=["pickup_hour"])
+    assert {r["prediction"] for r in none.transform(split).collect()} == {0.0}
+    bagged = fit_forest(split, num_trees=5, features=["pickup_hour"])
+    again = fit_forest(split.repartition(7), num_trees=5, features=["pickup_hour"])
+    assert [t.row(0) for t in bagged.trees] == [t.row(0) for t in again.trees]  # the same on any partitioning
+    with pytest.raises(ValueError, match="distinct feature rows"):
+        fit_forest(split, features=["trip_id"], bootstrap=False, fit_rows=10)
+
+
+def test_distributed_forest_on_all_rows(spark, scratch):
+    """``fit_rows=None`` takes Spark ML's forest; a run of it is saved, loaded and scored the same way."""
+    from farecast.operators.model import train_run
+    from farecast.plans.flows import training_split
+
+    silver = saved_silver(spark, SMALL)
+    result = train_run(training_split(silver), scratch("runs"), num_trees=2, max_depth=3, fit_rows=None)
+    run = load_run(spark, result.run.root, result.run.run_id)
+    assert run.model.stages[-1].getNumTrees == 2
+    assert score_flow(silver, run).count() == silver.count()
+
+
+def test_a_save_that_dies_leaves_no_run(spark, scratch, monkeypatch):
+    from farecast.operators import model
+    from farecast.operators.model import Run, save_run
+    from farecast.operators.forest import Forest
+
+    root = scratch("runs")
+    run = Run("r", root, Forest(["pickup_hour"], []), model.Scaler(1.0, 2.0))
+    monkeypatch.setattr(model, "touch", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        save_run(run)  # everything but the marker
+    with pytest.raises(FileNotFoundError):
+        load_run(spark, root, "r")
+    monkeypatch.undo()
+    save_run(run)
+    assert load_run(spark, root, "r").scaler == run.scaler
+    monkeypatch.setattr(Forest, "save", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        save_run(run)  # a second save that dies between model and scaler
+    with pytest.raises(FileNotFoundError):
+        load_run(spark, root, "r")
+
+
+# --- upsert log --------------------------------------------------------------------
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame(list(rows), "trip_id long, v string")
+
+
+def test_writers_that_begin_together_leave_one_row_a_key(spark, scratch):
+    from farecast.operators.sinks import reserve
+
+    path = scratch("log")
+    assert reserve(spark, path, 0, "a") == reserve(spark, path, 0, "b") == (0, False)
+    assert reserve(spark, path, 1, "a") == (0, False)  # and a second batch of one of them
+    upsert(_rows(spark, (1, "b"), (2, "b")), path, 0, writer="b")
+    upsert(_rows(spark, (1, "a0"), (3, "a0")), path, 0, writer="a")
+    upsert(_rows(spark, (3, "a1")), path, 1, writer="a")
+    assert sorted(map(tuple, latest(spark, path).collect())) == [(1, "b"), (2, "b"), (3, "a1")]
+    upsert(_rows(spark, (1, "later")), path, 7, writer="a")
+    assert dict(map(tuple, latest(spark, path).collect()))[1] == "later"
+
+
+def test_writers_that_look_like_other_types_are_text(spark, scratch):
+    path = scratch("log")
+    from farecast.operators.sinks import reserve
+
+    for w in ("10", "9", "007", "2024-01-01"):
+        reserve(spark, path, 0, w)
+    for w in ("10", "9", "007", "2024-01-01"):
+        upsert(_rows(spark, (1, w)), path, 0, writer=w)
+    assert [tuple(r) for r in latest(spark, path).collect()] == [(1, max("10", "9", "007", "2024-01-01"))]
+
+
+def test_a_batch_reads_nothing_of_the_log(spark, scratch):
+    """Numbers come from folder names: with every data file of the log destroyed, a new batch is still written,
+    and a replay is known before its rows are computed."""
+    import glob
+
+    from farecast.operators.sinks import Batch, reserve
+
+    path = scratch("log")
+    for i in range(3):
+        upsert(_rows(spark, (i, "x")), path, i)
+    for f in glob.glob(path.removeprefix("file:") + "/**/*.parquet", recursive=True):
+        with open(f, "wb") as out:
+            out.write(b"no parquet")
+    fails = _rows(spark, (1, "y")).withColumn("v", F.raise_error(F.lit("computed")).cast("string"))
+    replay = upsert(fails, path, 1, check_unique=True)
+    assert isinstance(replay, Batch) and not replay.new
+    assert upsert(_rows(spark, (9, "z")), path, 1000).new and reserve(spark, path, 1001) == (4, False)
+
+
+def test_a_batch_that_died_is_written_again_at_its_number(spark, scratch):
+    from farecast.operators.sinks import reserve
+
+    path = scratch("log")
+    upsert(_rows(spark, (1, "a")), path, 0)
+    with pytest.raises(Exception, match="died"):
+        upsert(_rows(spark, (1, "b")).withColumn("v", F.raise_error(F.lit("died")).cast("string")), path, 1, check_unique=False)
+    upsert(_rows(spark, (1, "c")), path, 2)
+    number, done = reserve(spark, path, 1)
+    assert not done and upsert(_rows(spark, (1, "b"), (2, "b")), path, 1).new
+    assert sorted(map(tuple, latest(spark, path).collect())) == [(1, "c"), (2, "b")]
+
+
+def test_changes_since_counts_inserted_and_updated_keys(spark, scratch):
+    from farecast.operators.sinks import changes_since, next_number, read_log
+
+    path = scratch("log")
+    assert next_number(spark, path) == 0
+    upsert(_rows(spark, (1, "a"), (2, "a")), path, 0)
+    first = next_number(spark, path)
+    assert tuple(changes_since(read_log(spark, path), first).first()) == (0, 0)
+    upsert(_rows(spark, (2, "b"), (3, "b")), path, 1)
+    upsert(_rows(spark, (3, "c"), (4, "c")), path, 2)
+    assert tuple(changes_since(read_log(spark, path), first).first()) == (2, 1)
+
+
+def test_a_compacted_log_can_remember_its_batches(spark, scratch):
+    path, new, forgets = scratch("log"), scratch("new"), scratch("forgets")
+    upsert(_rows(spark, (1, "a")), path, 0)
+    upsert(_rows(spark, (1, "b")), path, 1)
+    compact(spark, path, new, remember=True)
+    compact(spark, path, forgets)
+    assert not upsert(_rows(spark, (1, "a")), new, 0).new and upsert(_rows(spark, (1, "a")), forgets, 0).new
+    assert [tuple(r) for r in latest(spark, new).collect()] == [(1, "b")]
+
+
+# --- streams -------------------------------------------------------------------------
+
+
+def test_a_file_that_vanishes_before_it_is_read_counts_as_empty(spark, scratch):
+    """Removed after its batch was planned: passed over by default, a failure where the caller wants one."""
+    import os
+
+    bronze = saved_bronze(spark, SMALL)
+    for ignore in (True, False):
+        landing, log = scratch("in"), scratch("log")
+        land_files(bronze, landing, 3)
+        keep, lost = silver_batch(log), []
+
+        def removes_its_file(df, i):
+            if i == 1:
+                lost.append(df.count())
+                os.remove(df.select(F.input_file_name()).first()[0].removeprefix("file://"))
+            keep(df, i)
+
+        query = run_stream(stream_trips(spark, landing, max_files=1, ignore_missing=ignore), removes_its_file, scratch("ckpt"))
+        if ignore:
+            p = await_progress(query)
+            assert p.finished and p.written == latest(spark, log).count() == bronze.count() - lost[0]
+        else:
+            with pytest.raises(Exception):
+                await_progress(query)
+
+
+def test_a_missing_end_event_raises(spark, scratch, monkeypatch):
+    from farecast.streaming import stream
+
+    landing = scratch("in")
+    saved_bronze(spark, SMALL).limit(5).coalesce(1).write.parquet(landing)
+    monkeypatch.setattr(stream._Counter, "onQueryTerminated", lambda self, event: None)
+    query = run_stream(stream_trips(spark, landing), silver_batch(scratch("log")), scratch("ckpt"))
+    with pytest.raises(TimeoutError, match="not reported"):
+        await_progress(query, event_timeout_s=1)
+
+
+def test_progress_can_be_awaited_in_another_thread(spark, scratch):
+    import threading
+
+    landing, got = scratch("in"), []
+    saved_bronze(spark, SMALL).limit(7).coalesce(1).write.parquet(landing)
+    query = run_stream(stream_trips(spark, landing), silver_batch(scratch("log")), scratch("ckpt"))
+    waiter = threading.Thread(target=lambda: got.append(await_progress(query)))
+    waiter.start()
+    waiter.join(120)
+    assert [(p.batches, p.rows, p.written) for p in got] == [(1, 7, 7)]
+    from farecast.streaming import stream
+
+    assert str(query.runId) not in stream._RUNNING  # nothing is kept of a run that was reported
+
+
+# --- tables by name -------------------------------------------------------------------
+
+
+def test_load_month_into_named_tables(spark, scratch):
+    landing, name = scratch("land"), "farecast_named_load"
+    raw = raw_trips_from_events(events_table(spark, SMALL))
+    land_monthly(raw, landing)
+    for t in (f"{name}_b", f"{name}_s"):
+        drop_table(spark, t)
+    for month in (11, 12, 11):
+        loaded = load_month(spark, landing, 2022, month, f"{name}_b", f"{name}_s")
+        assert loaded.count() == raw.where(F.col("metadata_month") == month).count()
+    want = {(2022, m): raw.where(F.col("metadata_month") == m).count() for m in (11, 12)}
+    assert _periods(read_table(spark, f"{name}_s")) == want
+    replace_period(read_table(spark, scratch_of(spark, name, scratch)).where("false"), f"{name}_s", period=(2022, 12))
+    assert set(_periods(read_table(spark, f"{name}_s"))) == {(2022, 11)}
+    for t in (f"{name}_b", f"{name}_s"):
+        drop_table(spark, t)
+
+
+def scratch_of(spark, name, scratch):
+    """A copy of the named silver table at a path (a table cannot be overwritten from itself)."""
+    path = scratch("copy")
+    read_table(spark, f"{name}_s").write.parquet(path)
+    return path
+
+
+def test_read_months_by_glob_and_by_period(spark, scratch):
+    from farecast.sources.files import LANDED_FILE, read_months
+
+    landing = scratch("land")
+    raw = raw_trips_from_events(events_table(spark, SMALL))
+    periods = land_monthly(raw, landing)
+    want = raw.groupBy("metadata_year", "metadata_month").count()
+    for got in (read_months(spark, landing), read_months(spark, landing, periods)):
+        assert got.groupBy("metadata_year", "metadata_month").count().exceptAll(want).count() == 0
+    other = scratch("land")
+    raw.where("metadata_month = 1").drop("event_id").write.parquet(monthly_path(other, 2021, 3, LANDED_FILE))
+    got = read_months(spark, other, template=LANDED_FILE)
+    assert {(r["metadata_year"], r["metadata_month"], r["event_id"]) for r in got.collect()} == {(2021, 3, None)}

@@ -28,7 +28,10 @@ from pyspark.sql import types as T
 
 from farecast.llm.common import map_slices
 
-MEMO_ENTRIES = 1 << 19
+MEMO_BYTES = 128 << 20  # of each cache of a worker
+ENTRY_BYTES = 220  # of an entry beside its characters and ids
+LONGEST = 64  # characters of a kept key: texts without spaces make keys of whole paragraphs
+PAIRS = 1 << 20
 
 SCHEMA = T.StructType(
     [
@@ -41,11 +44,11 @@ SCHEMA = T.StructType(
 
 
 class Memo:
-    """Bounded two-generation cache: when the young half is full it becomes the old half, whose
-    entries move back when they are asked for again, so frequent keys stay."""
+    """Two-generation cache bounded in bytes: when the young half is full it becomes the old half, whose
+    entries move back when they are asked for again, so frequent keys stay. Long keys are not kept."""
 
-    def __init__(self, entries: int):
-        self.young, self.old, self.half = {}, {}, entries // 2
+    def __init__(self, size: int):
+        self.young, self.old, self.half, self.size = {}, {}, size // 2, 0
         self.get = self.young.get
 
     def find(self, key):
@@ -55,9 +58,12 @@ class Memo:
         return got
 
     def put(self, key, value) -> None:
-        if len(self.young) >= self.half:
-            self.young, self.old = {}, self.young
+        if len(key) > LONGEST:
+            return
+        if self.size >= self.half:
+            self.young, self.old, self.size = {}, self.young, 0
             self.get = self.young.get
+        self.size += len(key) + len(value) + ENTRY_BYTES
         self.young[key] = value
 
 
@@ -84,8 +90,8 @@ class ByteBPE:
         self.prefix: dict[int, int] = {}  # token -> next shorter token that is its prefix, -1 if none
         self.fits: dict[int, bool] = {}
         self.split: dict[int, tuple[int, int] | None] = {}
-        self.memo = Memo(MEMO_ENTRIES)  # chunk after a space -> ids
-        self.known = Memo(MEMO_ENTRIES)  # piece -> ids
+        self.memo = Memo(MEMO_BYTES)  # chunk after a space -> ids
+        self.known = Memo(MEMO_BYTES)  # piece -> ids
 
     # -- merges ---------------------------------------------------------
     def shorter(self, token: int) -> int:
@@ -136,7 +142,7 @@ class ByteBPE:
                 limit, b = b + 1, self.parts(b)[0]  # the same rank further left would have come first
             else:
                 break
-        if len(self.fits) > 2 * MEMO_ENTRIES:
+        if len(self.fits) > PAIRS:
             self.fits.clear()
         self.fits[left << 32 | right] = ok
         return ok

@@ -3,7 +3,9 @@
 No token of the word vocabularies served here spans white space, so the ids
 of a text are those of its white-space separated chunks one after another.
 Distinct chunks new to a worker are handed to the library together, joined
-by a marker token; what it returned for a chunk is kept in a bounded cache.
+by a marker token; what it returned for a chunk is kept in a cache bounded in
+bytes (chunks of over ``LONGEST`` characters, as texts without spaces have them,
+are not kept at all).
 The library alone turns text into ids. A text that holds the literal of a
 special token, in any case, goes to it whole: there the literal is that
 token's id (the library's default), which chunks must not make or break.
@@ -17,7 +19,9 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO_ENTRIES = 1 << 19
+MEMO_BYTES = 224 << 20  # of cached chunks a worker, in two generations; the older one is dropped whole
+ENTRY_BYTES = 220  # of a cached chunk beside its characters and ids
+LONGEST = 64
 MARK = "\x01"
 _ODD = "\x1c\x1d\x1e\x1f"  # white space to str.split(), not to the library
 _cut = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").findall
@@ -29,6 +33,17 @@ def _chunks(text: str) -> list[str]:
     return _cut(text) if any(c in text for c in _ODD) else text.split()
 
 
+def _lower(text: str) -> str:
+    """ASCII letters lowered, as the library does to all letters later. Before a combining mark they are left
+    to it: it composes letters and marks first, and some small letters compose where the large one does not."""
+    if text.isascii():
+        return text.lower()
+    raw = text.encode("utf-8", "surrogatepass")
+    if b"\xcc" in raw or b"\xcd" in raw:  # lead bytes of the combining marks
+        return " ".join([w.lower() if w.isascii() else w for w in _chunks(text)])
+    return raw.lower().decode("utf-8", "surrogatepass")
+
+
 class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
@@ -42,6 +57,7 @@ class WordIds:
         self.mark = marks[0] if len(marks) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.size = 0  # bytes of the young ones
 
     def _whole(self, text: str) -> bool:
         if not self.special or self.sign not in text:
@@ -58,11 +74,11 @@ class WordIds:
         odd = [w for w in words if MARK in w]
         out = {w: self._direct(w) for w in odd}
         plain = [w for w in words if MARK not in w] if odd else words
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            ids = np.array(
-                self.library.encode(f" {MARK} ".join([*part, ""]), add_special_tokens=False).ids, "<u4"
-            )
+        parts = [plain[at : at + 2_000] for at in range(0, len(plain), 2_000)]
+        # the fast form gives the same ids and spares the places of tokens in the text
+        joined = [f" {MARK} ".join([*part, ""]) for part in parts]
+        for part, got in zip(parts, self.library.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(got.ids, "<u4")
             ends = np.flatnonzero(ids == self.mark)
             if len(ends) != len(part):  # a word held the marker's token in another form
                 out |= {w: self._direct(w) for w in part}
@@ -92,26 +108,24 @@ class WordIds:
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; None is empty."""
         whole = {i: self._direct(t) for i, t in enumerate(texts) if t and self._whole(t)}
-        chunked = [
-            _chunks(t.lower()) if t.isascii() else [w.lower() if w.isascii() else w for w in _chunks(t)]
-            for t in (t if t and i not in whole else "" for i, t in enumerate(texts))
-        ]
+        chunked = [_chunks(_lower(t)) if t and i not in whole else [] for i, t in enumerate(texts)]
         young, old = self.young, self.old
-        seen = set().union(*chunked)
-        missing = set()
-        for w in seen:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    missing.add(w)
-        if missing:
-            young.update(self._learn(missing))
-        out = [b"".join(map(young.__getitem__, words)) for words in chunked]
+        new = set().union(*chunked).difference(young)
+        long: dict[str, bytes] = {}
+        if new:
+            fresh = {w: old[w] for w in new if w in old}
+            fresh |= self._learn(new.difference(fresh))
+            long = {w: fresh.pop(w) for w in [w for w in fresh if len(w) > LONGEST]}
+            young.update(fresh)
+            self.size += sum(map(len, fresh)) + sum(map(len, fresh.values())) + ENTRY_BYTES * len(fresh)
+        if long:
+            out = [b"".join([young[w] if w in young else long[w] for w in words]) for words in chunked]
+        else:
+            out = [b"".join(map(young.__getitem__, words)) for words in chunked]
         for i, ids in whole.items():
             out[i] = ids
-        if len(young) > MEMO_ENTRIES // 2:
-            self.young, self.old = {}, young
+        if self.size > MEMO_BYTES // 2:
+            self.young, self.old, self.size = {}, young, 0
         return out
 
 

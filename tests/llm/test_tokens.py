@@ -83,6 +83,41 @@ def test_word_ids_keep_what_only_python_calls_white_space(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_word_ids_compose_before_they_lower(tokenizer):
+    """Letters before combining marks, whose small and large forms do not compose alike."""
+    w, r = word_ids(WORDS), random.Random(8)
+    parts = ["H\u0331", "T\u0308", "W\u030a", "I\u0307", "J\u030c", "E\u0301", "K\u0338", "ΑΣ", "Σ", "ß", "É", "ab", "AB", " ", "\u0345", "x.", "'S"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 8))) for _ in range(4000)]
+    for t, ids in zip(texts, w.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_caches_are_bounded_in_bytes(monkeypatch, tokenizer, library):
+    """Many chunks without spaces, as in Chinese or base64 texts, and many distinct words."""
+    from farecast.llm import bytebpe, wordids
+
+    r = random.Random(9)
+    spaceless = ["".join(r.choice("的一是不了人我在有他这中大来上") for _ in range(120)) for _ in range(20_000)]
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 60))) for _ in range(20_000)]
+    monkeypatch.setattr(wordids, "MEMO_BYTES", 1 << 20)
+    w, bpe = wordids.WordIds(WORDS), bytebpe.ByteBPE(read_ranks(RANKS), P.PATTERN)
+    bpe.memo, bpe.known = bytebpe.Memo(1 << 20), bytebpe.Memo(1 << 20)
+    kept = lambda d: sum(len(k) + len(v) for k, v in d.items())
+    for at in range(0, 20_000, 200):
+        texts = [f"{a} {b} the" for a, b in zip(spaceless[at : at + 200], words[at : at + 200])]
+        got = w.encode_many(texts)
+        for t, ids in list(zip(texts, got))[:3]:
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+            assert bpe.encode(t) == library.encode_ordinary(t)
+        for t in texts[3:]:
+            bpe.encode_bytes(t)
+        slice_bytes = 200 * (wordids.ENTRY_BYTES + 64 * 5)
+        assert w.size <= (1 << 19) + slice_bytes and kept(w.young) + kept(w.old) <= (1 << 20) + 2 * slice_bytes
+        assert max(map(len, w.young), default=0) <= wordids.LONGEST
+        for memo in (bpe.memo, bpe.known):
+            assert kept(memo.young) + kept(memo.old) <= 1 << 20 and max(map(len, memo.young), default=0) <= bytebpe.LONGEST
+
+
 def test_special_literals_are_what_the_untouched_library_makes_of_them():
     library, w, r = Tokenizer.from_file(WORDS), word_ids(WORDS), random.Random(4)
     parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext", "|>", "<|", "É", "it's", " ", "\x1c", "!", "\x01", "\n", "word"]

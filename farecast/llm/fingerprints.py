@@ -1,15 +1,15 @@
 """Document fingerprints: mergeable bottom-k sketches of shingle hashes (2).
 
 A sketch is the k smallest distinct 48-bit hashes of a text's word shingles
-(all of them where there are fewer) and the shingle count class: full or
-whole. The k smallest of the union of two sketches are the sketch of the
+(all of them where there are no more) and whether that is the whole set. The k smallest of the union of two sketches are the sketch of the
 joined shingle sets, so sketches merge across parts in any order. From two
 sketches follow the resemblance (the share of the union's k smallest that
-both hold), the containment, and the number of distinct shingles
-((k - 1) / the k-th smallest hash as a fraction of the hash range).
+both hold), the containment, and the number of distinct shingles (of a whole
+set the very number, else (k - 1) / the k-th smallest hash as a fraction of the
+hash range).
 
-A fingerprint is base64 text: one byte ``W`` (whole) or ``K`` (full), then
-eight characters a hash, ascending; an empty set is ``W`` alone. Equal texts
+A fingerprint is base64 text: one byte ``W`` (whole) or ``K`` (the k smallest
+of more), then eight characters a hash, ascending; an empty set is ``W`` alone. Equal texts
 have equal fingerprints. Words are runs of anything but ASCII white space,
 A-Z lowered; a text with fewer words than the shingle is one shingle. Null
 text is empty. Two empty sets have likeness 1, an empty and another 0.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from bisect import bisect_right
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,38 +36,50 @@ WORDS = 5
 RANGE = 1 << 48
 
 
-def sketch(shingles: np.ndarray, k: int = K) -> np.ndarray:
-    """The k smallest distinct hashes, ascending."""
+class Sketch(NamedTuple):
+    """The k smallest distinct hashes, ascending, and whether they are the whole set."""
+
+    hashes: np.ndarray
+    whole: bool
+
+
+def sketch(shingles: np.ndarray, k: int = K) -> Sketch:
     top = shingles >> np.uint64(16)
     if len(top) > 4 * k:  # duplicates among the smallest are rare, but must not shorten the sketch
         some = np.unique(np.partition(top, 2 * k)[: 2 * k])
-        if len(some) >= k:
-            return some[:k]
-    return np.unique(top)[:k]
+        if len(some) > k:
+            return Sketch(some[:k], False)
+    top = np.unique(top)
+    return Sketch(top[:k], len(top) <= k)
 
 
-def sketches(texts: list[str | None], k: int = K, words: int = WORDS) -> list[np.ndarray]:
+def sketches(texts: list[str | None], k: int = K, words: int = WORDS) -> list[Sketch]:
     return [sketch(shingle_hashes(w, words), k) for w in hashed_words([lowered(t) for t in texts])]
 
 
-def to_text(s: np.ndarray, k: int = K) -> str:
-    raw = s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
-    return ("K" if len(s) == k else "W") + base64.b64encode(raw).decode()
+def to_text(s: Sketch) -> str:
+    raw = s.hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+    return ("W" if s.whole else "K") + base64.b64encode(raw).decode()
 
 
-def from_text(t: str) -> np.ndarray:
+def from_text(t: str) -> Sketch:
     raw = np.frombuffer(base64.b64decode(t[1:]), np.uint8).reshape(-1, 6)
     out = np.zeros((len(raw), 8), np.uint8)
     out[:, 2:] = raw
-    return out.reshape(-1).view(">u8").astype(np.uint64)
+    return Sketch(out.reshape(-1).view(">u8").astype(np.uint64), t[0] == "W")
 
 
-def merge(*parts: np.ndarray, k: int = K) -> np.ndarray:
-    return np.unique(np.concatenate(parts))[:k] if parts else np.zeros(0, np.uint64)
+def merge(*parts: Sketch, k: int = K) -> Sketch:
+    """The sketch of the union of the parts' sets."""
+    if not parts:
+        return Sketch(np.zeros(0, np.uint64), True)
+    union = np.unique(np.concatenate([p.hashes for p in parts]))
+    return Sketch(union[:k], len(union) <= k and all(p.whole for p in parts))
 
 
-def distinct_count(s: np.ndarray, k: int = K) -> float:
-    return float(len(s)) if len(s) < k else (k - 1) / ((float(s[-1]) + 1) / RANGE)
+def distinct_count(s: Sketch) -> float:
+    n = len(s.hashes)
+    return float(n) if s.whole else (n - 1) / ((float(s.hashes[-1]) + 1) / RANGE)
 
 
 def _shared(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
@@ -80,20 +93,20 @@ def _shared(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
     return int((both[twin] <= bound).sum()), k
 
 
-def resemblance(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
+def resemblance(a: Sketch, b: Sketch, k: int = K) -> float:
     """Estimated Jaccard similarity of the two shingle sets."""
-    if not len(a) or not len(b):
-        return 1.0 if len(a) == len(b) else 0.0
-    same, n = _shared(a, b, k)
+    if not len(a.hashes) or not len(b.hashes):
+        return 1.0 if len(a.hashes) == len(b.hashes) else 0.0
+    same, n = _shared(a.hashes, b.hashes, k)
     return same / n
 
 
-def containment(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
-    """Estimated share of a's shingles that b has."""
-    if not len(a):
+def containment(a: Sketch, b: Sketch, k: int = K) -> float:
+    """Estimated share of a's shingles that b has (1 for an empty a)."""
+    if not len(a.hashes):
         return 1.0
-    r = resemblance(a, b, k)
-    return min(1.0, r * (distinct_count(a, k) + distinct_count(b, k)) / ((1 + r) * distinct_count(a, k)))
+    r, n = resemblance(a, b, k), distinct_count(a)
+    return min(1.0, r * (n + distinct_count(b)) / ((1 + r) * n))
 
 
 def fingerprint(docs: DataFrame, k: int = K, words: int = WORDS) -> DataFrame:
@@ -111,8 +124,8 @@ def fingerprint(docs: DataFrame, k: int = K, words: int = WORDS) -> DataFrame:
             got = sketches(c["text"], k, words)
             return {
                 "doc_id": c["doc_id"],
-                "fingerprint": [to_text(s, k) for s in got],
-                "distinct_shingles": [distinct_count(s, k) for s in got],
+                "fingerprint": [to_text(s) for s in got],
+                "distinct_shingles": [distinct_count(s) for s in got],
             }
 
         return fn
@@ -135,16 +148,19 @@ def merge_by(prints: DataFrame, by: list[str], k: int = K, salts: int = 64) -> D
     ).withColumn("__v", F.hex(F.unbase64("__h")))
     hashes = hashes.where(F.col("__v") != "").dropDuplicates([*by, "__salt", "__v"])
     part = Window.partitionBy(*by, "__salt").orderBy("__v")
-    kept = hashes.withColumn("__r", F.row_number().over(part)).where(F.col("__r") <= k)
+    kept = hashes.withColumn("__r", F.row_number().over(part)).where(F.col("__r") <= k + 1)
     kept = kept.dropDuplicates([*by, "__v"])
     whole = Window.partitionBy(*by).orderBy("__v")
-    kept = kept.withColumn("__r", F.row_number().over(whole)).where(F.col("__r") <= k)
-    text = F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("__v", "__h"))), lambda x: x["__h"]))
-    merged = kept.groupBy(*by).agg(text.alias("t"), F.count(F.lit(1)).alias("n"))
-    full = merged.select(*by, F.concat(F.when(F.col("n") == k, "K").otherwise("W"), "t").alias("fingerprint"))
-    groups = prints.select(*by).distinct()
-    same = [groups[c].eqNullSafe(full[c]) for c in by]
-    return groups.join(full, same, "left").select(*[groups[c] for c in by], F.coalesce("fingerprint", F.lit("W")).alias("fingerprint"))
+    kept = kept.withColumn("__r", F.row_number().over(whole)).where(F.col("__r") <= k + 1)
+    first = F.collect_list(F.when(F.col("__r") <= k, F.struct("__v", "__h")))
+    text = F.concat_ws("", F.transform(F.sort_array(first), lambda x: x["__h"]))
+    merged = kept.groupBy(*by).agg(text.alias("t"), F.max("__r").alias("n"))
+    cut = F.coalesce(F.max(F.substring("fingerprint", 1, 1) == "K"), F.lit(False))
+    groups = prints.groupBy(*by).agg(cut.alias("cut"))
+    same = [groups[c].eqNullSafe(merged[c]) for c in by]
+    kind = F.when(F.col("cut") | (F.coalesce("n", F.lit(0)) > k), "K").otherwise("W")
+    print_ = F.concat(kind, F.coalesce("t", F.lit(""))).alias("fingerprint")
+    return groups.join(merged, same, "left").select(*[groups[c] for c in by], print_)
 
 
 EDITED = T.StructType(
@@ -156,6 +172,11 @@ EDITED = T.StructType(
         T.StructField("edited_fingerprint", T.StringType()),
         T.StructField("near_edited", T.DoubleType()),
         T.StructField("near_next", T.DoubleType()),
+        # further columns: from the sketches alone
+        T.StructField("distinct_shingles", T.DoubleType()),
+        T.StructField("kept_by_edit", T.DoubleType()),  # containment of the text in its edited text
+        T.StructField("in_next", T.DoubleType()),  # and in the next document
+        T.StructField("distinct_with_next", T.DoubleType()),  # of the merged sketch
     ]
 )
 
@@ -188,7 +209,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, words: int = WORDS) -> Data
     sorted_ = (
         _ranged(base, cuts, before)
         .withColumn("h", F.xxhash64("text"))
-        .repartition(len(firsts), "to")
+        .repartitionById(len(cuts) + 1, "to")  # a range is a task: hashing their numbers would put several into one
         .sortWithinPartitions("to", "guest", F.col("doc_id").desc_nulls_last(), "h", "text")
         .select("doc_id", "text", "to", "guest")
     )
@@ -210,10 +231,14 @@ def edited_fingerprints(docs: DataFrame, k: int = K, words: int = WORDS) -> Data
                 [i for i, _, _ in held],
                 [len(t) for t in texts],
                 [hashlib.sha256(e.encode("utf-8")).hexdigest() for e in edited],
-                [to_text(x, k) for x in a],
-                [to_text(x, k) for x in b],
+                [to_text(x) for x in a],
+                [to_text(x) for x in b],
                 [resemblance(x, y, k) for x, y in zip(a, b)],
                 [resemblance(x, y, k) for x, y in zip(a, c)],
+                [distinct_count(x) for x in a],
+                [containment(x, y, k) for x, y in zip(a, b)],
+                [containment(x, y, k) for x, y in zip(a, c)],
+                [distinct_count(merge(x, y, k=k)) for x, y in zip(a, c)],
             ]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, out)], schema=out)

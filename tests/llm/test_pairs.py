@@ -180,14 +180,29 @@ def test_sketch_estimates(spark):
     assert abs(resemblance(x, y) - len(sa & sb) / len(sa | sb)) < 0.15
     assert abs(containment(y, x) - len(sa & sb) / len(sb)) < 0.2
     assert abs(distinct_count(x) / len(sa) - 1) < 0.3
-    assert (from_text(to_text(x)) == x).all() and len(x) == K and int(x[-1]) < RANGE
+    assert (from_text(to_text(x)).hashes == x.hashes).all() and len(x.hashes) == K and int(x.hashes[-1]) < RANGE
+    assert not x.whole and not from_text(to_text(x)).whole
     both = sketches([" ".join(a[:3000]), " ".join(a[2996:])])
-    assert (merge(*both) == x).all()
+    assert (merge(*both).hashes == x.hashes).all() and not merge(*both).whole
+
+
+@pytest.mark.parametrize("n", [0, 1, K - 1, K, K + 1, 4 * K + 1])
+def test_sets_of_about_k_shingles_are_counted_exactly(n):
+    """Exactly k distinct shingles are a whole set, not the k smallest of more."""
+    text = " ".join(f"w{i}" for i in range(n + 4)) if n else ""
+    [s] = sketches([text])
+    assert s.whole == (n <= K) == from_text(to_text(s)).whole and len(s.hashes) == min(n, K)
+    if n <= K:
+        assert distinct_count(s) == n
+    halves = sketches([" ".join(f"w{i}" for i in range(a, b + 4)) for a, b in ((0, n // 2), (n // 2, n))]) if n > 1 else [s]
+    assert to_text(merge(*halves)) == to_text(s)
 
 
 def test_merge_by_group_equals_merge(spark):
-    docs = make_docs(spark, [(i, " ".join(f"w{i * 7 + j}" for j in range(40))) for i in range(40)] + [(99, None)])
-    prints = fingerprint(docs).withColumn("g", F.col("doc_id") % 3)
+    rows = [(i, " ".join(f"w{i * 7 + j}" for j in range(40))) for i in range(40)] + [(99, None)]
+    rows += [(1000, " ".join(f"x{j}" for j in range(K + 4))), (1001, " ".join(f"y{j}" for j in range(K + 5)))]  # K, K + 1
+    docs = make_docs(spark, rows)
+    prints = fingerprint(docs).withColumn("g", F.when(F.col("doc_id") > 999, F.col("doc_id")).otherwise(F.col("doc_id") % 3))
     got = {r["g"]: r["fingerprint"] for r in merge_by(prints, ["g"], salts=4).collect()}
     rows = prints.collect()
     for g in {r["g"] for r in rows}:
@@ -217,6 +232,10 @@ def test_edited_text_wraps_around(spark, n):
     texts = [f"document {i} " + " ".join(f"w{i}x{j}" for j in range(i % 40)) for i in range(n)]
     got = {r["doc_id"]: r for r in edited_fingerprints(make_docs(spark, list(enumerate(texts)))).collect()}
     for i, t in enumerate(texts):
+        a, b = shingles(t, 5), shingles(texts[(i - 1) % n], 5)
+        assert got[i]["distinct_shingles"] == len(a) and got[i]["distinct_with_next"] == len(a | b)  # small sets: exact
+        assert got[i]["in_next"] == pytest.approx(len(a & b) / len(a) if a else 1.0)
+        assert got[i]["near_next"] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
         nxt = texts[(i - 1) % n]
         edited = t[: len(t) - len(t) // 3] + nxt[: len(t) // 3]
         assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()

@@ -12,8 +12,12 @@ bits packed side by side, its high bits as ones in a unary bit vector, and
 the position of every 256th one as u32 for select. An offset is read with one
 select and one low-bits read; there is no table of 64-bit offsets.
 
+The documents' ids are an Elias-Fano sequence, too (they ascend): the number
+of null ids and the smallest id, then the differences from it.
+
 Spark writes the shards (so the commit protocol covers lost tasks) as a
-table (part, seq, n_docs, n_ids, doc_ids, shard), and reads it back.
+table (part, seq, n_docs, n_ids, doc_ids, shard), and reads it back: a
+document's place and length come through select.
 
 Order: doc_id ascending, null ids first; equal ids by hash of the text, then
 the text. Null text holds the end id alone. An empty table gives no shards.
@@ -42,7 +46,7 @@ SHARDS = T.StructType(
         T.StructField("seq", T.IntegerType()),
         T.StructField("n_docs", T.LongType()),
         T.StructField("n_ids", T.LongType()),
-        T.StructField("doc_ids", T.ArrayType(T.LongType())),
+        T.StructField("doc_ids", T.BinaryType()),
         T.StructField("shard", T.BinaryType()),
     ]
 )
@@ -111,6 +115,27 @@ class EliasFano:
         return out.astype(np.int64)
 
 
+class DocIds:
+    """Ascending document ids, nulls first: ``ids[i]`` by select."""
+
+    def __init__(self, raw: bytes):
+        self.nulls, self.least = struct.unpack_from("<Qq", raw)
+        self.rest = EliasFano.from_bytes(raw[struct.calcsize("<Qq") :])[0]
+
+    @staticmethod
+    def build(ids: list[int | None]) -> bytes:
+        known = [i for i in ids if i is not None]
+        least = known[0] if known else 0
+        gaps = np.array([i - least for i in known], np.uint64)  # Python integers: no difference overflows
+        return struct.pack("<Qq", len(ids) - len(known), least) + EliasFano.build(gaps).to_bytes()
+
+    def __len__(self) -> int:
+        return self.nulls + self.rest.n
+
+    def __getitem__(self, i: int) -> int | None:
+        return None if i < self.nulls else self.least + self.rest[i - self.nulls]
+
+
 def write_shard(documents: list[bytes]) -> bytes:
     """One shard from each document's ids (little-endian unsigned 32-bit)."""
     ids = np.frombuffer(b"".join(documents), "<u4")
@@ -163,8 +188,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard
         docs_, ids_, size = [], [], 0
 
         def shard():
-            cols = [[part], [seq], [len(docs_)], [size], [docs_], [write_shard(ids_)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            cols = [[part], [seq], [len(docs_)], [size], [DocIds.build(docs_)], [write_shard(ids_)]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=SHARDS.names)
 
         for got in batches:
@@ -187,12 +212,18 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard
 def read_spans(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone.
 
-    ``start`` counts over all shards: the running sum of the shards' id
-    counts (one row per shard) is joined to the documents' local offsets.
+    ``start`` counts over all shards: the running sum of the parts' id counts
+    (one row per writing task) and, within a part, of its shards' is joined to
+    the documents' local offsets.
     """
     shards = spark.read.schema(SHARDS).parquet(path)
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    bases = shards.select("part", "seq", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
+    counts = shards.select("part", "seq", "n_ids")
+    parts = counts.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.withColumn("ahead", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(parts, "part")
+    bases = bases.select("part", "seq", (F.col("base") + F.col("ahead")).alias("base"))
     local = T.StructType(
         [
             T.StructField("part", T.IntegerType()),
@@ -210,19 +241,20 @@ def read_spans(spark: SparkSession, path: str) -> DataFrame:
         for got in batches:
             for i in range(got.num_rows):
                 row = {n: got.column(n)[i].as_py() for n in ("part", "seq", "doc_ids", "shard")}
-                shard = Shard(row["shard"])
-                ends = shard.ends.all()
-                starts = np.concatenate([[0], ends[:-1]])
-                ids = shard.ids.astype("<u4")
-                crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
+                shard, names = Shard(row["shard"]), DocIds(row["doc_ids"])
                 n = shard.n_docs
+                spans = [shard.span(i) for i in range(n)]
+                if [b for _, b in spans] != shard.ends.all().tolist() or len(names) != n:
+                    raise ValueError(f"shard {row['part']}, {row['seq']} is damaged")
+                ids = shard.ids.astype("<u4")
+                crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in spans]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(n, row["part"], np.int32)),
                         pa.array(np.full(n, row["seq"], np.int32)),
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.array(starts.astype(np.int64)),
-                        pa.array(ends - starts, pa.int64()),
+                        pa.array([names[i] for i in range(n)], pa.int64()),
+                        pa.array([a for a, _ in spans], pa.int64()),
+                        pa.array([b - a for a, b in spans], pa.int64()),
                         pa.array(crcs, pa.int64()),
                     ],
                     names=local.names,

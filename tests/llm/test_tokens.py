@@ -13,7 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from farecast.llm.bytebpe import decode_ids, encode_documents, encode_ids, encoder, read_ranks
-from farecast.llm.idfiles import EliasFano, Shard, read_spans, write_ids, write_shard
+from farecast.llm.idfiles import DocIds, EliasFano, Shard, read_spans, write_ids, write_shard
 from farecast.llm.packing import Packer, best_fill, pack, sequences
 from farecast.llm.wordids import word_ids
 from tests.llm.conftest import EDGE, make_docs
@@ -138,6 +138,15 @@ def test_elias_fano_round_trip_and_select():
             assert ef[i] == values[i]
 
 
+def test_document_ids_round_trip_through_select():
+    r = random.Random(6)
+    for ids in ([], [None], [None, None, -(1 << 63), 0, 0, (1 << 63) - 1], [5], sorted(r.randrange(10**9) for _ in range(3000))):
+        got = DocIds(DocIds.build(ids))
+        assert len(got) == len(ids) and [got[i] for i in range(len(ids))] == ids
+    ids = sorted(r.sample(range(10**6), 20_000))
+    assert 8 * len(DocIds.build(ids)) / len(ids) < 2 + np.log2(10**6 / len(ids)) + 1
+
+
 def test_elias_fano_is_near_minimal():
     values = np.cumsum(np.random.default_rng(1).integers(1, 1000, 20_000))
     bits = 8 * len(EliasFano.build(values).to_bytes()) / len(values)

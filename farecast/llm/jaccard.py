@@ -368,7 +368,10 @@ class JaccardJoin:
         if comps is not None:
             rows = self.joined.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         sizes = rows.groupBy("s", "g").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-        return rows.join(sizes.where("x < y").select("s", "g", "k"), ["s", "g"])
+        # written first: the join then shuffles rows for itself, and a hot group's rows can be split over tasks
+        # (in one stage with the counts, which combine map-side, they could not)
+        sizes = _write(sizes.where("x < y").select("s", "g", "k"), "jaccard-sizes")
+        return rows.join(sizes, ["s", "g"])
 
     def _block_seats(self, rows: DataFrame) -> DataFrame:
         """Every pair of parts of a group is a block; a part sits in all its blocks."""
@@ -383,6 +386,7 @@ class JaccardJoin:
         """Every group's member of this turn against the others, in parts."""
         rank = F.struct(F.xxhash64("node", F.lit(turn + 100)).alias("h"), "node", "comp")
         centres = rows.groupBy("s", "g").agg(F.min(rank).alias("c"), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("m"))
+        centres = _write(centres, "jaccard-centres")  # as with the sizes: hot groups are split in the join
         part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("m")).cast("int")
         others = rows.join(centres, ["s", "g"]).where(F.col("comp") != F.col("c.comp")).select(
             "s", "g", F.lit(-1).alias("y"), part.alias("z"), F.lit(1).alias("side"), "node", "comp"
@@ -427,6 +431,7 @@ class JaccardJoin:
             F.coalesce("first_rid", "node").alias("first_rid"),
         )
         shape = [F.col("doc_id"), F.col("n").cast("long").alias("n_shingles")]
+        classes = _write(classes, "jaccard-classes")  # as above, for a class with many copies
         full = self.rows.where("n > 0").select("doc_id", "n", "rid", "key", "text_hash").join(classes, "key")
         none = self.rows.where("n = 0")
         return full.select(

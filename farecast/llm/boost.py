@@ -2,8 +2,10 @@
 
 Training bins every feature at quantiles, then grows each tree level by
 level: one ``bincount`` per feature and level gives the gradient sums of all
-(node, bin) pairs, and the split with the largest gain wins. A model is five
-flat arrays over all trees; scoring walks all rows down a tree at once.
+(node, bin) pairs, and the split with the largest gain wins (ties: the first
+feature, the lowest bin). A model is five flat arrays over all trees; scoring
+walks all rows down a tree at once. No rows, or rows of one label, give the base
+rate and no split; repeated rows count once each; features are finite numbers.
 """
 
 from __future__ import annotations

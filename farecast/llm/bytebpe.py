@@ -13,7 +13,8 @@ Pieces come from the public split pattern. A text is cut at single spaces
 first (no match of the pattern spans such a cut) and each distinct chunk is
 encoded once per worker; the memo is bounded and only a cache.
 
-Null text counts as empty: no ids, and the hash of no bytes.
+Null text counts as empty: no ids, and the hash of no bytes. Repeated rows
+stay; texts are encoded whole, however long; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Every round links each node's larger neighbours to its smallest neighbour
 (large star), then its smaller neighbours (small star), until the edges no
 longer change; they then point from each node to the smallest of its
 component. Rounds are written to the shared folder, which cuts the lineage.
-Only two sums per round reach the driver.
+Only two sums per round reach the driver. Links of a node with itself and
+repeated links change nothing; ends are never null; no links give no rows.
 """
 
 from __future__ import annotations

@@ -13,6 +13,8 @@ with the landmark matrix, then with the regressors.
 
 A text that is null or has no letter is ``und`` with score 0. Ties go to the
 language first in order. With no learnable row every prediction is ``und``.
+Repeated rows are predicted once each; texts are read whole, however long; an
+empty table gives no rows. Other columns are never read.
 
 The regression always names some language, with 1 / (number of languages) or
 more, so ``keep_known`` decides on another quantity, the familiarity: the mean

@@ -16,7 +16,7 @@ text with and without cues. A threshold per kind is calibrated on a second
 set so that at most one look-alike in 200 passes.
 
 Offsets count code points, ends are exclusive. Null text counts as empty: no
-spans. Repeated rows stay. Texts of any length are scanned whole; the email
+spans. Repeated rows stay; an empty table gives no rows. Texts of any length are scanned whole; the email
 scan starts from the @ signs, so long runs without one cost nothing.
 """
 

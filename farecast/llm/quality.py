@@ -7,7 +7,9 @@ outside the held-out fold; only ids are broadcast, only vectors come back)
 and go out as flat arrays; scoring is a map over all texts.
 
 Null text counts as empty; empty texts are scored like any others. Repeated
-rows stay. Without labels every score is the base rate 0.5.
+rows stay. Texts are read whole, however long. Without labels every score is
+the base rate 0.5; rows with a null label teach nothing. An empty table gives
+no rows. Other columns are never read (``keep_good`` carries them along).
 """
 
 from __future__ import annotations

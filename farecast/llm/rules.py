@@ -13,6 +13,8 @@ task), and 2**BITS sums reach the driver whatever the input.
 
 Null text counts as empty: no words, so the base rule fails. Texts without
 an n-gram score 0. With no labelled good text the ratio keeps everything.
+Repeated rows are judged and counted once each; texts are read whole, however
+long; an empty table gives no rows. Other columns are never read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ are entries, too; without labels they are the lexicon.
 
 A document's hits are summed, once in relation to its length and once as a
 logarithm; a logistic model over the two, fitted on the same sample, gives
-the score. Null text counts as empty; repeated rows stay.
+the score. Null text counts as empty, and an empty text has the base score;
+repeated rows stay; texts are read whole, however long; an empty table gives no
+rows. Rows with a null label teach nothing. Other columns are never read.
 
 Words are Latin-script words only: letters of other scripts that no Latin one
 looks like part words, are neither learned nor matched, and a text in such a

@@ -24,6 +24,7 @@ from farecast.operators.keys import key_period
 from farecast.operators.model import DEFAULT_TREES, load_run
 from farecast.operators.sinks import create_upsert_table, replace_period
 from farecast.schemas import PREDICTION, SILVER
+from farecast.session import clear_scratch
 from farecast.plans.flows import load_month, score_flow, train_flow
 from farecast.sources.files import MONTHLY_FILE, read_table
 from farecast.streaming.stream import await_progress, run_stream, scoring_batch, stream_trips
@@ -83,6 +84,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
+    own = spark is None  # an application of its own clears its intermediate tables when it is done
     spark = spark or SparkSession.builder.appName(f"farecast-{args.cmd}").getOrCreate()
     if args.cmd == "load":
         silver = load_month(spark, args.landing, args.year, args.month, args.bronze, args.silver, template=args.file)
@@ -116,6 +118,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         p = await_progress(query, args.timeout)
         out = {"batches": p.batches, "rows": p.rows, "finished": p.finished}
     print(json.dumps(out))
+    if own:
+        clear_scratch(spark)
     return out
 
 

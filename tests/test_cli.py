@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from farecast.cli import main
 from farecast.operators.keys import key_period, trip_key
+from farecast.sources.files import read_table
 from farecast.sources.fixtures import events_table, land_monthly, raw_trips_from_events
 from tests.conftest import SMALL
 
@@ -35,6 +36,14 @@ def test_cli_load_train_score_stream(spark, scratch):
     one = main(["score", "--silver", silver, "--runs", runs, "--run-id", trained["run_id"], "--out", out,
                 "--year", "2022", "--month", "11"], spark)
     assert one["rows"] == raw.where(F.col("metadata_month") == 11).count()
+    # a period that was emptied loses its old predictions, and only that one does
+    nov = ["--runs", runs, "--run-id", trained["run_id"], "--out", out, "--year", "2022", "--month", "11"]
+    emptied = scratch("emptied")
+    read_table(spark, silver).where("metadata_month <> 11").write.partitionBy("metadata_year", "metadata_month").parquet(emptied)
+    assert main(["score", "--silver", emptied, *nov], spark)["rows"] == 0
+    assert read_table(spark, out).count() == raw.where(F.col("metadata_month") != 11).count()
+    main(["score", "--silver", silver, *nov], spark)
+    assert read_table(spark, out).count() == raw.count()
     streamed = main(["stream", "--bronze", bronze, "--runs", runs, "--run-id", trained["run_id"],
                      "--silver-log", scratch("sl"), "--prediction-log", scratch("pl"), "--checkpoint", scratch("ck"),
                      "--max-files", "100", "--timeout", "300"], spark)

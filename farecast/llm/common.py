@@ -8,17 +8,15 @@ task holds one Arrow batch (bounded in bytes) and one slice at a time.
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farecast.session import ship_code
+
 SLICE_ROWS = 256
 BATCH_BYTES = 16 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -40,22 +38,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=8)
-def _ship(app_id: str) -> None:
-    """Send this package to the Python workers once per application, so that
-    nothing needs to be installed there (Spark's file server carries the archive)."""
-    root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="farecast-py-")) / "farecast_py.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    SparkSession.getActiveSession().sparkContext.addPyFile(str(archive))
-
-
 def bound_batches(spark: SparkSession) -> None:
     """Get a session ready for Python tasks: the package on the workers, and Arrow
     batches capped in bytes (very long texts) unless the session has a smaller cap."""
-    _ship(spark.sparkContext.applicationId)
+    ship_code(spark)
     if int(spark.conf.get(_BATCH_CONF, str(2**31 - 1)).rstrip("b")) > BATCH_BYTES:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 

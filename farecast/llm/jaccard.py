@@ -300,7 +300,11 @@ class JaccardJoin:
         self.groups = self._prefix_rows()
         self.joined = self._joined_groups()
         self.sets, self.table = self._candidate_sets()
-        self.links, self.comps = self._run()
+        try:
+            self.links, self.comps = self._run()
+        except BaseException:
+            self.close()  # a run that fails leaves no table in the catalog
+            raise
 
     def _prefix_rows(self) -> DataFrame:
         """(node, token, n): order one's prefixes, of shingles that several rows have."""

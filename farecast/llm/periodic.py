@@ -24,7 +24,8 @@ Periods are handled by octave, Q <= q < 2 Q (Q a power of two):
    tile carry theirs) to drop what repeats.
 
 The words a slice compares at once are bounded (``SLICE_BYTES``, or one
-document); a tile is bounded by its octave. Step 1 is written to the shared
+document, of which a task holds some 60 bytes a word); a tile is bounded by its
+octave. Step 1 is written to the shared
 folder, which fixes the row numbers and cuts the lineage.
 
 Nulls: a null text has no words; a null id is no number, so such a document

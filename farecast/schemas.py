@@ -30,6 +30,7 @@ MONEY_COLUMNS = [
     "airport_fee",
 ]
 
+# fixed values: names and order of the raw file's columns (RAW) and of the cleaned record (SILVER).
 # Raw monthly trip file as landed (bronze input). `event_id` is the natural id
 # of the source row; it makes the row order, and so the key, stable.
 RAW = T.StructType(
@@ -61,18 +62,18 @@ BRONZE = T.StructType(
 
 SILVER = T.StructType(
     [
-        _f("trip_id", T.LongType(), "Trip Id"),
-        _f("metadata_year", T.IntegerType(), "Year of the record"),
-        _f("metadata_month", T.IntegerType(), "Month of the record"),
-        _f("provider_id", T.StringType(), "TPEP provider that supplied the record"),
-        _f("pickup_taxi_zone_id", T.IntegerType(), "zone where the meter was engaged"),
-        _f("pickup_datetime", T.TimestampNTZType(), "time the meter was engaged"),
-        _f("dropoff_taxi_zone_id", T.IntegerType(), "zone where the meter was disengaged"),
-        _f("dropoff_datetime", T.TimestampNTZType(), "time the meter was disengaged"),
-        _f("number_passenger", T.IntegerType(), "number of passengers"),
-        _f("trip_distance_miles", T.FloatType(), "trip distance in miles"),
-        _f("rate_type", T.StringType(), "rate code at the end of the trip"),
-        _f("payment_type", T.StringType(), "how the passenger paid"),
+        _f("trip_id", T.LongType(), "key of the trip"),
+        _f("metadata_year", T.IntegerType(), "year of the load"),
+        _f("metadata_month", T.IntegerType(), "month of the load"),
+        _f("provider_id", T.StringType(), "who sent the record"),
+        _f("pickup_taxi_zone_id", T.IntegerType(), "zone of the start"),
+        _f("pickup_datetime", T.TimestampNTZType(), "start of the trip"),
+        _f("dropoff_taxi_zone_id", T.IntegerType(), "zone of the end"),
+        _f("dropoff_datetime", T.TimestampNTZType(), "end of the trip"),
+        _f("number_passenger", T.IntegerType(), "passengers on board"),
+        _f("trip_distance_miles", T.FloatType(), "miles driven"),
+        _f("rate_type", T.StringType(), "label of the rate code"),
+        _f("payment_type", T.StringType(), "label of the payment code"),
         *[_f(c, MONEY) for c in MONEY_COLUMNS],
     ]
 )
@@ -90,7 +91,7 @@ FEATURES = [
 
 PAYMENT_FLAGS = FEATURES[2:]
 
-PICKUP_HOUR = T.StructType([_f("trip_id", T.LongType()), _f("pickup_hour", T.IntegerType(), "hour of day, 24h clock")])
+PICKUP_HOUR = T.StructType([_f("trip_id", T.LongType()), _f("pickup_hour", T.IntegerType(), "0 to 23")])
 
 PAYMENT = T.StructType([_f("trip_id", T.LongType()), *[_f(c, T.BooleanType()) for c in PAYMENT_FLAGS]])
 
@@ -112,7 +113,7 @@ METRICS = T.StructType(
 
 SCALED_PREDICTION = T.StructType([_f("trip_id", T.LongType()), _f("scaled_predicted_tip_amount", T.DoubleType())])
 
-PREDICTION = T.StructType([_f("trip_id", T.LongType()), _f("predicted_tip_amount", MONEY, "Predicted Tip Amount")])
+PREDICTION = T.StructType([_f("trip_id", T.LongType()), _f("predicted_tip_amount", MONEY, "tip that the model expects")])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

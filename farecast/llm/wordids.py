@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 
@@ -23,6 +24,7 @@ MEMO_BYTES = 224 << 20  # of cached chunks a worker, in two generations; the old
 ENTRY_BYTES = 220  # of a cached chunk beside its characters and ids
 LONGEST = 64
 MARK = "\x01"
+CLOSE = "</w>"  # ends the tokens that end a word
 _ODD = "\x1c\x1d\x1e\x1f"  # white space to str.split(), not to the library
 _cut = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").findall
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation without the apostrophe
@@ -55,6 +57,11 @@ class WordIds:
         self.sign = re.match("[^a-z]*", os.path.commonprefix(self.special)).group()
         marks = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark = marks[0] if len(marks) == 1 else None
+        vocabulary = self.library.get_vocab()
+        self.marks, self.closes = (np.zeros(max(vocabulary.values(), default=0) + 1, bool) for _ in range(2))
+        self.marks[marks] = True
+        # a run of letters is one word to the library, and only its last token closes a word
+        self.closes[[i for t, i in vocabulary.items() if t.endswith(CLOSE)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.size = 0  # bytes of the young ones
@@ -69,22 +76,25 @@ class WordIds:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _ask(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, many handed over at once; letters alone are told apart by their last tokens, the rest by a mark."""
         if self.mark is None:
             return {w: self._direct(w) for w in words}
+        letters = [w for w in words if w.isalpha()]
         odd = [w for w in words if MARK in w]
+        rest = [w for w in words if not w.isalpha() and MARK not in w]
         out = {w: self._direct(w) for w in odd}
-        plain = [w for w in words if MARK not in w] if odd else words
-        parts = [plain[at : at + 2_000] for at in range(0, len(plain), 2_000)]
-        # the fast form gives the same ids and spares the places of tokens in the text
-        joined = [f" {MARK} ".join([*part, ""]) for part in parts]
-        for part, got in zip(parts, self.library.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(got.ids, "<u4")
-            ends = np.flatnonzero(ids == self.mark)
-            if len(ends) != len(part):  # a word held the marker's token in another form
-                out |= {w: self._direct(w) for w in part}
-                continue
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
-            out |= {w: raw[a:b] for w, a, b in zip(part, [0, *(e + 4 for e in ends)], ends)}
+        for some, between, is_end, skip in ((letters, " ", self.closes, 0), (rest, f" {MARK} ", self.marks, 1)):
+            parts = [some[at : at + 2_000] for at in range(0, len(some), 2_000)]
+            # the fast form gives the same ids and spares the places of tokens in the text
+            got = self.library.encode_batch_fast([between.join([*part, ""]) for part in parts], add_special_tokens=False)
+            for part, encoded in zip(parts, got):
+                ids = np.array(encoded.ids, "<u4")
+                ends = np.flatnonzero(is_end[ids])
+                if len(ends) != len(part):  # a word is several words to the library, or held the mark's token
+                    out |= {w: self._direct(w) for w in part}
+                    continue
+                raw, ends = ids.tobytes(), (4 * (ends + 1)).tolist()
+                out |= {w: raw[a : b - 4 * skip] for w, a, b in zip(part, [0, *ends], ends)}
         return out
 
     def _learn(self, missing: set[str]) -> dict[str, bytes]:
@@ -99,10 +109,11 @@ class WordIds:
                 ask.update(w for w in (stem, tail) if w not in young and w not in old)
             else:
                 ask.add(c)
-        got = self._ask(sorted(ask))
-        find = lambda w: got.get(w) or young.get(w) or old.get(w) or b""
+        got = self._ask(list(ask))
         for c, (stem, tail) in parts.items():
-            got[c] = find(stem) + find(tail)
+            a = got[stem] if stem in got else young[stem] if stem in young else old[stem]
+            b = got[tail] if tail in got else young[tail] if tail in young else old[tail]
+            got[c] = a + b
         return got
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
@@ -121,7 +132,8 @@ class WordIds:
         if long:
             out = [b"".join([young[w] if w in young else long[w] for w in words]) for words in chunked]
         else:
-            out = [b"".join(map(young.__getitem__, words)) for words in chunked]
+            # one call looks all of a text's chunks up (two at least, so that it gives a tuple)
+            out = [b"".join(itemgetter(*words)(young)) if len(words) > 1 else young[words[0]] if words else b"" for words in chunked]
         for i, ids in whole.items():
             out[i] = ids
         if self.size > MEMO_BYTES // 2:

@@ -83,6 +83,14 @@ def test_word_ids_keep_what_only_python_calls_white_space(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_letters_that_are_several_words_to_the_library(tokenizer):
+    """Runs of letters that change when they are lowered or composed, among plain ones."""
+    w = word_ids(WORDS)
+    texts = ["ŉa İb plain ǰc ﬁd ⅷ ªº ʼn ẞß DŽ ǅ ΐ ﬃ ᾳ", "İİİ a İ", "İ", "kﬁ İstanbul x", "ＡＢ ａｂ Ⅷ", "à̀ é̂́ a", "中文字 한국어 कखग ไทย"]
+    for t, ids in zip(texts, w.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_word_ids_compose_before_they_lower(tokenizer):
     """Letters before combining marks, whose small and large forms do not compose alike."""
     w, r = word_ids(WORDS), random.Random(8)
@@ -157,6 +165,7 @@ def test_shard_holds_wide_ids():
     docs = [np.array([1, 70_000], "<u4").tobytes(), b"", np.array([5], "<u4").tobytes()]
     shard = Shard(write_shard(docs))
     assert [shard[i].tolist() for i in range(3)] == [[1, 70_000], [], [5]]
+    assert shard.spans() == [shard.span(i) for i in range(3)] == [(0, 2), (2, 2), (2, 3)]
     with pytest.raises(ValueError):
         Shard(b"nope")
 

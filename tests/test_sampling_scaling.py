@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from farecast.functions.hashing import HASH_RANGE, SAMPLE, SPLIT, TOP, hash_order

@@ -17,9 +17,15 @@ from farecast.session import scratch_path
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """edges (u, v) with u > v."""
+    """edges (u, v) with u > v.
+
+    The smallest neighbours are written before the edges meet them: edges are then shuffled for that
+    join alone, and those of a node with very many can be split over tasks."""
+    spark = edges.sparkSession
     both = edges.union(edges.select(F.col("v"), F.col("u"))) if large else edges
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least, path = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), scratch_path(spark, "components-least")
+    least.write.parquet(path)
+    least = spark.read.schema(least.schema).parquet(path)
     got = both.join(least, "u")
     if large:  # larger neighbours go to the smallest
         return got.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -101,11 +101,11 @@ def resemblance(a: Sketch, b: Sketch, k: int = K) -> float:
     return same / n
 
 
-def containment(a: Sketch, b: Sketch, k: int = K) -> float:
-    """Estimated share of a's shingles that b has (1 for an empty a)."""
+def containment(a: Sketch, b: Sketch, k: int = K, r: float | None = None) -> float:
+    """Estimated share of a's shingles that b has (1 for an empty a); ``r`` is their resemblance, if known."""
     if not len(a.hashes):
         return 1.0
-    r, n = resemblance(a, b, k), distinct_count(a)
+    r, n = resemblance(a, b, k) if r is None else r, distinct_count(a)
     return min(1.0, r * (n + distinct_count(b)) / ((1 + r) * n))
 
 
@@ -227,17 +227,19 @@ def edited_fingerprints(docs: DataFrame, k: int = K, words: int = WORDS) -> Data
             texts = [t for _, t, _ in held]
             edited = [t[: len(t) - len(t) // 3] + n[: len(t) // 3] for _, t, n in held]
             a, b, c = sketches(texts, k, words), sketches(edited, k, words), sketches([n for _, _, n in held], k, words)
+            near_edited = [resemblance(x, y, k) for x, y in zip(a, b)]
+            near_next = [resemblance(x, y, k) for x, y in zip(a, c)]
             cols = [
                 [i for i, _, _ in held],
                 [len(t) for t in texts],
                 [hashlib.sha256(e.encode("utf-8")).hexdigest() for e in edited],
                 [to_text(x) for x in a],
                 [to_text(x) for x in b],
-                [resemblance(x, y, k) for x, y in zip(a, b)],
-                [resemblance(x, y, k) for x, y in zip(a, c)],
+                near_edited,
+                near_next,
                 [distinct_count(x) for x in a],
-                [containment(x, y, k) for x, y in zip(a, b)],
-                [containment(x, y, k) for x, y in zip(a, c)],
+                [containment(x, y, k, r) for x, y, r in zip(a, b, near_edited)],
+                [containment(x, y, k, r) for x, y, r in zip(a, c, near_next)],
                 [distinct_count(merge(x, y, k=k)) for x, y in zip(a, c)],
             ]
             held.clear()

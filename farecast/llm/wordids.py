@@ -20,7 +20,7 @@ from operator import itemgetter
 
 import numpy as np
 
-MEMO_BYTES = 224 << 20  # of cached chunks a worker, in two generations; the older one is dropped whole
+MEMO_BYTES = 128 << 20  # of cached chunks a worker, in two generations; the older one is dropped whole
 ENTRY_BYTES = 220  # of a cached chunk beside its characters and ids
 LONGEST = 64
 MARK = "\x01"

@@ -46,6 +46,15 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
+_RELEASE: list[Callable[[], None]] = []
+
+
+def release_before_other_work(clear: Callable[[], None]) -> None:
+    """``clear`` frees a cache that a worker keeps between tasks; it is called when the worker turns to
+    another operator, whose memory the cache would take."""
+    _RELEASE.append(clear)
+
+
 def map_slices(
     df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: T.StructType, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
@@ -57,6 +66,10 @@ def map_slices(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
+        from farecast.llm import common
+
+        for clear in common._RELEASE:
+            clear()
         out = pa.schema([pa.field(n, to_arrow_type(t)) for n, t in fields])
         fn = make()
         for batch in batches:

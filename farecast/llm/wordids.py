@@ -20,7 +20,9 @@ from operator import itemgetter
 
 import numpy as np
 
-MEMO_BYTES = 128 << 20  # of cached chunks a worker, in two generations; the older one is dropped whole
+from farecast.llm.common import release_before_other_work
+
+MEMO_BYTES = 224 << 20  # of cached chunks a worker, in two generations; the older one is dropped whole
 ENTRY_BYTES = 220  # of a cached chunk beside its characters and ids
 LONGEST = 64
 MARK = "\x01"
@@ -145,3 +147,6 @@ class WordIds:
 def word_ids(path: str) -> WordIds:
     """One encoder per worker process and vocabulary file."""
     return WordIds(path)
+
+
+release_before_other_work(word_ids.cache_clear)

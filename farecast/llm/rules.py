@@ -2,14 +2,17 @@
 
 Base counts come from each whole text. The verdict compares two multinomials
 over hashed byte n-grams (n = 3, ``BITS`` bits, case kept): the raw one counts all
-documents, the trusted one a bounded sample of documents labelled good
-(``SAMPLE_ROWS``). A text's score is the mean of log(trusted / raw) over its
-n-grams; it is kept when the score reaches the threshold, a fixed low
-quantile of the trusted sample's own scores less a margin, and no base rule
-fails. Every text is held against the same threshold; nothing is drawn.
+documents, the trusted one all documents labelled good. A text's score is the
+mean of log(trusted / raw) over its n-grams; it is kept when the score reaches
+the threshold, a fixed low quantile of the trusted documents' own scores less
+a margin, and no base rule fails. Every text is held against the same
+threshold; nothing is drawn.
 
 Counts are summed per task before they are shuffled (one row per bucket and
-task), and 2**BITS sums reach the driver whatever the input.
+task), and 2**BITS sums reach the driver whatever the input. The quantile is
+exact: scores, written without their texts, are counted by parts of their
+range until the part that holds the position is one score. Trusted ids are
+not broadcast: every text is shuffled once to meet them.
 
 Null text counts as empty: no words, so the base rule fails. Texts without
 an n-gram score 0. With no labelled good text the ratio keeps everything.
@@ -19,6 +22,7 @@ long; an empty table gives no rows. Other columns are never read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,11 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farecast.llm.common import bound_batches, labelled_sample, map_slices
+from farecast.llm.common import bound_batches, map_slices
 from farecast.llm.shingles import _BLANK, hashed_words, shingle_hashes
+from farecast.session import scratch_path
 
 BITS = 14
-SAMPLE_ROWS = 8_000
+PARTS = 4_096  # a pass of the selection brings at most one count more to the driver
 QUANTILE = 0.002
 MARGIN = 0.25  # texts of a few words vary; junk lies far lower
 _SYMBOL = np.zeros(256, bool)
@@ -104,25 +109,44 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> Ratio:
+def nth_smallest(scores: DataFrame, position: Callable[[int], int]) -> float:
+    """The value of ``s`` at a 0-based position of its order, given by the number of rows (one at least)."""
+    rows, low, high = scores.agg(F.count("s"), F.min("s"), F.max("s")).first()
+    at = position(rows)
+    while low < high:
+        inside = scores.where((F.col("s") >= F.lit(low)) & (F.col("s") <= F.lit(high)))
+        part = F.floor((F.col("s") - F.lit(low)) / F.lit(high - low) * F.lit(PARTS)).alias("part")
+        parts = inside.groupBy(part).agg(F.count("s").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")).collect()
+        for p in sorted(parts, key=lambda r: r["part"]):
+            if at < p["n"]:
+                break
+            at -= p["n"]
+        low, high = p["low"], p["high"]
+    return low
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Ratio:
     """The ratio and its threshold; ``labels`` marks trusted documents with 1."""
     spark: SparkSession = docs.sparkSession
-    trusted = labelled_sample(spark, labels.where(F.col(label) == 1), label, 1, -1, rows, T.LongType())
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(trusted, "doc_id").select("text")
-    target = bucket_counts(texts)
+    # trusted ids grow with the labels, so they are never broadcast: texts are shuffled to them, once
+    trusted = labels.where(F.col(label) == 1).select(F.col("doc_id").cast("long").alias("doc_id")).distinct().hint("merge")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    target = bucket_counts(docs.join(trusted, "doc_id", "left_semi"))
     if not target.sum():
         return Ratio(np.zeros(1 << BITS))
     raw = bucket_counts(docs)
     smooth = 0.5
     log_ratio = np.log((target + smooth) / (target + smooth).sum()) - np.log((raw + smooth) / (raw + smooth).sum())
     model = Ratio(log_ratio)
-    schema = T.StructType([T.StructField("s", T.DoubleType())])
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("s", T.DoubleType())])
 
     def make():
-        return lambda c: {"s": [model.score(t) for t in c["text"]]}
+        return lambda c: {"doc_id": c["doc_id"], "s": [model.score(t) for t in c["text"]]}
 
-    scores = sorted(r[0] for r in map_slices(texts, make, schema).limit(2 * rows).collect())
-    model.threshold = scores[int(QUANTILE * len(scores))] - MARGIN
+    path = scratch_path(spark, "rules-scores")  # ids meet scores here, so no text is shuffled for the threshold
+    map_slices(docs, make, schema).join(trusted, "doc_id", "left_semi").select("s").write.parquet(path)
+    scores = spark.read.schema("s double").parquet(path)
+    model.threshold = nth_smallest(scores, lambda rows: int(QUANTILE * rows)) - MARGIN
     return model
 
 

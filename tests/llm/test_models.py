@@ -15,7 +15,7 @@ from farecast.llm import boost, langid, pii, quality, rules, toxicity
 from farecast.llm.common import fold, fold_of
 from farecast.llm.queries import QUERIES
 from tests.conftest import MEDIUM
-from tests.llm.conftest import EDGE, make_docs
+from tests.llm.conftest import EDGE, LABELS, make_docs
 
 LARGE = "/root/testdata/sf0.1"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -196,6 +196,30 @@ def test_ratio_counts_all_documents(spark):
     assert (rules.bucket_counts(docs) == want).all()
 
 
+def test_ratio_learns_from_all_trusted_documents(spark):
+    """More of them than a bounded sample held, some of them twice, and labels of ids that are not there."""
+    rows = [(i, f"text number {i} of {i % 7}") for i in range(9_000)] + [(3, "text number three")] + [(None, "no id")]
+    labels = spark.createDataFrame(
+        [(i, int(i % 50 > 0), 0) for i in range(9_500)] + [(3, 1, 0), (3, 0, 0), (None, 1, 0), (4, None, 0)], LABELS
+    )
+    model = rules.learn(make_docs(spark, rows), labels)
+    count = lambda texts: sum(np.bincount(rules.grams(t.encode()), minlength=1 << rules.BITS) for t in texts) + 0.5
+    good = [t for i, t in rows if i is not None and i % 50]
+    assert len(good) > 8_800
+    target, raw = count(good), count([t for _, t in rows])
+    assert np.allclose(model.log_ratio, np.log(target / target.sum()) - np.log(raw / raw.sum()), rtol=0, atol=1e-12)
+    scores = sorted(model.score(t) for t in good)
+    assert model.threshold == scores[int(rules.QUANTILE * len(scores))] - rules.MARGIN
+
+
+def test_nth_smallest_is_exact(spark):
+    r = random.Random(8)
+    for values in ([0.5], [2.0] * 9, [r.choice([-1e300, 3.0, r.random() * 1e-9]) for _ in range(500)], [r.gauss(0, 1) for _ in range(500)]):
+        scores = spark.createDataFrame([(v,) for v in values], "s double")
+        for at in (0, len(values) // 3, len(values) - 1):
+            assert rules.nth_smallest(scores, lambda n: at) == sorted(values)[at]
+
+
 # --- personal data -----------------------------------------------------------------
 
 FORMS = {

@@ -26,6 +26,8 @@ from farecast.operators.sinks import DEFAULT_WRITER, Batch, upsert, upsert_into
 from farecast.schemas import BRONZE
 from farecast.session import session_id
 
+ROW_GROUP_BYTES = 4 << 20  # of a landed file; Spark's smallest split is as large
+
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -63,8 +65,11 @@ def stream_trips(
 
 
 def land_files(df: DataFrame, path: str, files: int, key: str = "trip_id") -> None:
-    """Write ``df`` as up to ``files`` files split by key range (to feed a stream)."""
-    df.repartitionByRange(int(files), key).write.mode("append").parquet(path)
+    """Write ``df`` as up to ``files`` files split by key range (to feed a stream).
+
+    Their row groups are small, so that a micro-batch of one file is read by many tasks."""
+    writer = df.repartitionByRange(int(files), key).write.mode("append")
+    writer.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
 
 
 def _writer(batch: DataFrame) -> str:

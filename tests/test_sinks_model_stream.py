@@ -720,3 +720,38 @@ def test_read_months_by_glob_and_by_period(spark, scratch):
     raw.where("metadata_month = 1").drop("event_id").write.parquet(monthly_path(other, 2021, 3, LANDED_FILE))
     got = read_months(spark, other, template=LANDED_FILE)
     assert {(r["metadata_year"], r["metadata_month"], r["event_id"]) for r in got.collect()} == {(2021, 3, None)}
+
+
+def test_forest_walks_once_for_all_rows_that_share_the_other_features(monkeypatch):
+    """Same predictions, bit by bit, as row by row, on values between, beyond and at thresholds, and null ones."""
+    import numpy as np
+
+    from farecast.operators import forest
+
+    r = np.random.default_rng(3)
+    x = np.stack([r.integers(0, 900, 3000), r.integers(0, 24, 3000), r.integers(0, 2, 3000)], 1).astype(float)
+    x[::40, 0], x[::70, 1] = np.inf, np.inf
+    y, values = r.normal(size=3000) + x[:, 2], [np.unique(x[:, j]) for j in range(3)]
+    codes = np.stack([np.searchsorted(v, x[:, j]) for j, v in enumerate(values)], 1).astype(np.int32)
+    trees = [forest.grow(codes, values, y, np.bincount(r.integers(0, 3000, 3000), minlength=3000).astype(float)) for _ in range(6)]
+    for kept in (trees, trees[:1], [forest.grow(codes, values, np.ones(3000), np.ones(3000))]):  # the last is one leaf
+        model = forest.Forest(["zone", "hour", "flag"], kept)
+        at, cuts = axis = model.axis()
+        assert at == 0 and (np.diff(cuts) > 0).all()
+        z = np.stack([r.integers(-50, 2000, 9000) / 2, r.integers(0, 26, 9000), r.integers(0, 2, 9000)], 1)
+        z[::31, 0], z[::37, 1] = np.inf, np.inf
+        z[: len(cuts), 0] = cuts[:9000]
+        want, few = model.predict(z), model.predict(z[:20], axis)
+        assert (few == want[:20]).all()
+        with monkeypatch.context() as m:
+            m.setattr(forest.Tree, "predict", None)  # no row goes down a tree
+            assert (model.predict(z, axis) == want).all()
+    hour_only = forest.Forest(["hour"], [forest.grow(codes[:, 1:2], values[1:2], y, np.ones(3000))])
+    assert (hour_only.predict(z[:, 1:2], hour_only.axis()) == hour_only.predict(z[:, 1:2])).all()
+
+
+def test_a_landed_file_is_read_by_many_tasks(spark, scratch):
+    path = scratch()
+    land_files(spark.range(1_200_000).select(F.col("id").alias("trip_id"), F.xxhash64("id").alias("x")), path, 1)
+    assert spark.read.parquet(path).where("x is not null").groupBy(F.spark_partition_id()).count().count() > 1
+    assert spark.read.parquet(path).count() == 1_200_000

@@ -87,7 +87,9 @@ class Ratio:
 
 
 def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """n-gram counts over all texts of ``docs``."""
+    """n-gram counts over all texts of ``docs``.
+
+    Every task gives a row for each bucket it met, so there are a few tasks a core, not one a partition."""
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
     bound_batches(docs.sparkSession)
 
@@ -104,7 +106,8 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], names=schema.names)
 
     out = np.zeros(1 << BITS, np.float64)
-    for r in docs.select("text").mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    texts = docs.select("text").coalesce(4 * docs.sparkSession.sparkContext.defaultParallelism)
+    for r in texts.mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 

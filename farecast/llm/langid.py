@@ -17,11 +17,14 @@ Repeated rows are predicted once each; texts are read whole, however long; an
 empty table gives no rows. Other columns are never read.
 
 The regression always names some language, with 1 / (number of languages) or
-more, so ``keep_known`` decides on another quantity, the familiarity: the mean
+more, so ``keep_known`` identifies every text and then asks whether it is as
+familiar as texts of the language it was given: the familiarity is the mean
 over a text's n-grams, each time they occur, of the share of a language's
 landmarks that hold them (the language with the most), less what any n-gram
 has on average. It is near 0 for foreign scripts and random signs, whatever
-their length, and does not fall where known languages are mixed.
+their length, and does not fall where known languages are mixed. What is usual
+for a language comes from all its documents: their familiarity is counted by
+steps of 1 / ``STEPS``, and those counts reach the driver.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ BITS = 15
 SAMPLE_ROWS = 4_000
 LANDMARKS = 48  # per language
 RIDGE = 1e-2
+STEPS = 4_096  # a language's documents bring at most one count more to the driver
 NONE = "und"
 _letter = re.compile(r"[^\W\d_]").search
 _MULTIPLY = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -194,34 +198,59 @@ def identify(docs: DataFrame, model: Kernel, mod: int = 5, held_out: int = 0) ->
     return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, schema)
 
 
-def usual_familiarity(docs: DataFrame, shares: np.ndarray, rows: int = SAMPLE_ROWS) -> float:
-    """What 19 of 20 documents with a language reach, from at most ``rows`` of them."""
-    known = F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-    ids = hash_sample(docs.where(known).select("doc_id"), ["doc_id"], rows).distinct()
-    wanted = docs.where(known).select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")
+def low_quantile(x: np.ndarray, n: np.ndarray, q: float = 0.05) -> float:
+    """The quantile of values ``x`` that occur ``n`` times each, as numpy's of the single values."""
+    order = np.argsort(x)
+    x, until = x[order], np.cumsum(n[order])
+    at = q * (until[-1] - 1)
+    low, high = x[np.searchsorted(until, [np.floor(at), np.ceil(at)], side="right")]
+    return float(low + (at - np.floor(at)) * (high - low))
+
+
+def usual_familiarity(docs: DataFrame, shares: np.ndarray) -> dict[str | None, float]:
+    """What 19 of 20 documents of a language reach, for each language and, as None, for all with one."""
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("x", T.DoubleType())])
 
     def make():
-        return lambda c: {"x": [familiarity(t, shares) for t in c["text"] if t and _letter(t)]}
+        def fn(c):
+            kept = [(g, t) for g, t in zip(c["lang"], c["text"]) if t and _letter(t)]
+            return {"lang": [g for g, _ in kept], "x": [familiarity(t, shares) for _, t in kept]}
 
-    got = map_slices(wanted, make, T.StructType([T.StructField("x", T.DoubleType())])).limit(2 * rows).collect()
-    return float(np.quantile([r["x"] for r in got], 0.05)) if got else 0.0
+        return fn
+
+    values = map_slices(docs.where(F.col("lang").isNotNull()).select("lang", "text"), make, schema)
+    step = F.floor(F.col("x") * F.lit(STEPS))
+    counts = values.groupBy("lang", step).agg(F.min("x").alias("x"), F.count("x").alias("n")).collect()
+    groups: dict[str | None, list] = {}
+    for r in counts:
+        groups.setdefault(r["lang"], []).append((r["x"], r["n"]))
+        groups.setdefault(None, []).append((r["x"], r["n"]))
+    return {lang: low_quantile(*map(np.array, zip(*rows))) for lang, rows in groups.items()}
 
 
 def keep_known(docs: DataFrame, model: Kernel, least: float = 0.75) -> DataFrame:
-    """The rows, with all their columns, with a letter and ``least`` times the usual familiarity or more."""
+    """The rows, with all their columns, with a letter and ``least`` times the familiarity that is usual for
+    their predicted language or more; a language without documents here is held to what is usual for all."""
     if not model.langs:
         return docs.where(F.lit(False))
     shares = model.shares()
-    bound = least * usual_familiarity(docs, shares)
+    usual = usual_familiarity(docs, shares)
+    bounds = {x: least * usual.get(x, usual.get(None, 0.0)) for x in model.langs}
 
     def run(batches):
         import pyarrow as pa
 
+        from farecast.llm import common
+
+        for clear in common._RELEASE:
+            clear()
+        matrix = model.unpacked()
         for got in batches:
             for at in range(0, got.num_rows, 256):
                 part = got.slice(at, 256)
                 texts = part.column(part.schema.get_field_index("text")).to_pylist()
-                keep = [bool(t and _letter(t)) and familiarity(t, shares) >= bound for t in texts]
+                langs, _ = predict(texts, model, matrix)
+                keep = [bool(t and _letter(t)) and familiarity(t, shares) >= bounds[x] for x, t in zip(langs, texts)]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     bound_batches(docs.sparkSession)

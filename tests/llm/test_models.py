@@ -124,6 +124,52 @@ def test_language_edge_rows(spark, edge, empty):
     assert kept.columns == edge.columns and kept.count() == len(EDGE) - 4
 
 
+def test_known_texts_are_as_familiar_as_their_predicted_language(spark):
+    """One language has few words and one has many, so half-foreign texts of the first are as familiar as whole ones of the second."""
+    r = random.Random(3)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(3, 7)))
+    few, say = [word("abcdefg") for _ in range(10)], lambda words, n: " ".join(words() for _ in range(n))
+    docs = [(i, say(lambda: r.choice(few), 40), "few") for i in range(60)]
+    docs += [(100 + i, say(lambda: word("nopqrst"), 40), "many") for i in range(60)]
+    docs += [(200 + i, f"{say(lambda: r.choice(few), 20)} {say(lambda: word('uvwxyzåäö'), 20)}") for i in range(10)]
+    docs += [(300 + i, say(lambda: word("абвгдежзи"), 40)) for i in range(10)]
+    frame = make_docs(spark, docs)
+    model = langid.learn(frame)
+    langs, _ = langid.predict([d[1] for d in docs], model, model.unpacked())
+    assert {x for d, x in zip(docs, langs) if 200 <= d[0] < 300} == {"few"}
+    near = [langid.familiarity(d[1], model.shares()) for d in docs]
+    usual = {g: np.quantile([x for d, x in zip(docs, near) if d[2:] == (g,)], 0.05) for g in ("few", "many")}
+    want = {d[0] for d, g, x in zip(docs, langs, near) if x >= 0.75 * usual[g]}
+    assert {d["doc_id"] for d in langid.keep_known(frame, model).collect()} == want
+    assert want >= set(range(60)) | set(range(100, 160)) and not want & set(range(200, 400))
+    assert min(near[120:130]) >= 0.75 * np.quantile(near[:120], 0.05)  # one bound for all languages would keep them
+
+
+def test_usual_familiarity_comes_from_all_documents(spark):
+    """More of them than the regression learns from, some of them twice; those without a letter or language do not count."""
+    r = random.Random(4)
+    say = lambda words: " ".join(r.choice(words) for _ in range(r.randint(1, 9)))
+    words = {"x": "ab abc bcd cde".split(), "y": "kl klm lmn mno opq".split()}
+    docs = [(i % 3_900, say(words[g]), g) for i in range(langid.SAMPLE_ROWS + 500) for g in ("xy"[i % 5 > 1],)]
+    docs += [(None, "ab klm", "x"), (5_000, "12 34", "x"), (5_001, None, "y"), (5_002, "ab abc", None)]
+    frame = make_docs(spark, docs)
+    shares = langid.learn(frame, rows=200).shares()
+    near = {g: [langid.familiarity(t, shares) for _, t, x in docs if x == g and t and t != "12 34"] for g in words}
+    want = {g: np.quantile(x, 0.05) for g, x in near.items()} | {None: np.quantile(near["x"] + near["y"], 0.05)}
+    got = langid.usual_familiarity(frame, shares)
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) <= 1 / langid.STEPS for g in want)
+    assert langid.usual_familiarity(frame.where("lang is null"), shares) == {}
+
+
+def test_low_quantile_is_numpys():
+    r = random.Random(6)
+    for n in (1, 2, 7, 20, 21, 500):
+        values = [r.choice([0.25, 0.5, r.random()]) for _ in range(n)]
+        x, counts = np.unique(values, return_counts=True)
+        order = np.random.default_rng(n).permutation(len(x))
+        assert langid.low_quantile(x[order], counts[order]) == pytest.approx(np.quantile(values, 0.05), rel=1e-12)
+
+
 def test_kernel_equals_definition():
     r = random.Random(2)
     texts = ["".join(r.choice("abc") for _ in range(30)) for _ in range(12)]
